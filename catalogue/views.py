@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The months the test tables cover; the flagship thresholds; a cut-off inside the range.
-START, END = "1995-01-01", "2002-12-01"
+START, END = "1995-01-01", "2002-03-01"
 STARTED_BEFORE = "2000-01-01"
 FINAL_INSTALLMENT = 7
 

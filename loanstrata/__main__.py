@@ -1,17 +1,15 @@
 """Backfill a lake from a folder of raw CSV files.
 
-    spark-submit --py-files ... -m loanstrata --raw s3://…/data --lake s3://…/lake \
-        --start 2023-01-01 --end 2024-12-01
+    python -m loanstrata --raw data --lake lake --start 2023-01-01 --end 2024-12-01
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
-
 from loanstrata.plans.backfill import backfill
 from loanstrata.plans.quality import store_summary
+from loanstrata.session import builder
 from loanstrata.sources.lake import Lake
 from loanstrata.sources.raw import read_raw_sources
 
@@ -27,7 +25,7 @@ def main() -> None:
     parser.add_argument("--on-missing", choices=["skip", "strict"], default="skip")
     args = parser.parse_args()
 
-    spark = SparkSession.builder.appName("loanstrata").getOrCreate()
+    spark = builder().getOrCreate()
     lake = Lake(spark, args.lake)
     backfill(lake, read_raw_sources(spark, args.raw), args.start, args.end, args.dpd, args.mob, args.on_missing)
 

@@ -20,7 +20,7 @@ def month_starts(start: date | str, end: date | str) -> list[date]:
 
 def month_calendar(df: DataFrame, column: str) -> DataFrame:
     """One row per month between the first and last date found in ``column``."""
-    span = df.agg(F.min(column).alias("first"), F.max(column).alias("last"))
+    span = df.agg(F.to_date(F.min(column)).alias("first"), F.to_date(F.max(column)).alias("last"))
     months = F.sequence(F.trunc("first", "MM"), F.col("last"), F.expr("interval 1 month"))
     return span.select(F.explode(months).alias("snapshot_date"))
 

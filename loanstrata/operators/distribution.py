@@ -9,31 +9,37 @@ from pyspark.sql import functions as F
 def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal bins between the smallest and the largest value, last bin closed.
 
-    The table is read once: values are counted first, and range and bins come from the counts.
-    Bin numbers use whole-number arithmetic, so a value on a bin edge always falls into the bin that
-    starts there. When all values are equal the range is one unit around them.
+    Values are counted first; range and bins both come from the counts, so the table is read once.
+    A value on a bin edge falls into the bin that starts there. When all values are equal the range
+    is one unit around them.
     """
     counts = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("bigint").alias("value"))
         .agg(F.count("*").alias("n"))
     )
-    span = counts.agg(F.struct(F.min("value").alias("low"), F.max("value").alias("high")).alias("span"))
-    low, high = span.select("span.low").scalar(), span.select("span.high").scalar()
+    # The count goes along with the extreme values: without it the optimizer would take them from
+    # the table in a second scan instead of from the shuffled counts.
+    counted = F.struct("value", "n")
+    span = counts.agg(F.min(counted).alias("low"), F.max(counted).alias("high"))
+    span = span.select("low.value", "high.value").toDF("low", "high")
     # Twice the bounds keeps the half units of a one-value range whole.
-    low2 = F.when(low == high, 2 * low - 1).otherwise(2 * low)
-    width2 = F.when(low == high, F.lit(2)).otherwise(2 * (high - low))
-    position = F.floor(((2 * F.col("value") - low2) * bins) / width2)
+    one = F.col("low") == F.col("high")
+    range2 = span.select(
+        (2 * F.col("low") - F.when(one, 1).otherwise(0)).alias("low"),
+        F.when(one, 2).otherwise(2 * (F.col("high") - F.col("low"))).alias("width"),
+    )
+    low, width = (range2.select(c).scalar() for c in ("low", "width"))
+    position = F.floor((2 * F.col("value") - low) * bins / width)
     binned = counts.groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("bin")).agg(
         F.sum("n").alias("n_obs")
     )
-    edge = low2 / F.lit(2.0)
-    step = width2 / F.lit(2.0 * bins)
+    start, step = low / F.lit(2.0), width / F.lit(2.0 * bins)
     spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return spine.join(binned, "bin", "left").select(
         "bin",
-        (edge + F.col("bin") * step).alias("bin_start"),
-        (edge + (F.col("bin") + 1) * step).alias("bin_end"),
+        (start + F.col("bin") * step).alias("bin_start"),
+        (start + (F.col("bin") + 1) * step).alias("bin_end"),
         F.coalesce("n_obs", F.lit(0)).alias("n_obs"),
     )
 

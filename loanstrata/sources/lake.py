@@ -27,17 +27,20 @@ class Lake:
         self, layer: str, table: str, snapshots: Sequence[date] | None = None
     ) -> DataFrame | None:
         """A table, pruned to the given snapshots; None if it was never written."""
-        df = self._load(self.path(layer, table))
-        if df is None or snapshots is None:
-            return df
-        return df.where(F.col(SNAPSHOT).isin(list(snapshots)))
+        try:
+            df = self.spark.read.parquet(self.path(layer, table))
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+        return df if snapshots is None else df.where(F.col(SNAPSHOT).isin(list(snapshots)))
 
     def write(self, df: DataFrame, layer: str, table: str, snapshots: Sequence[date]) -> None:
         """Replace the given snapshots of a table with the rows of ``df`` and leave all others.
 
         The rebalance lets AQE size the files: small snapshots share a task, one that holds most of
-        the rows is split over many. A snapshot without rows any more is emptied, too, so a rerun
-        with other parameters leaves nothing behind.
+        the rows is split over many. A snapshot without rows gets an empty partition, so a rerun with
+        other parameters leaves nothing behind.
         """
         seen = Observation()
         rows = df.where(F.col(SNAPSHOT).isin(list(snapshots)))
@@ -50,20 +53,8 @@ class Lake:
             .parquet(self.path(layer, table))
         )
         for snapshot in sorted(set(snapshots) - set(seen.get["written"])):
-            self._clear(df, f"{self.path(layer, table)}/{SNAPSHOT}={snapshot}")
-
-    def _load(self, path: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-
-    def _clear(self, like: DataFrame, partition: str) -> None:
-        if self._load(partition) is not None:
-            empty = self.spark.createDataFrame([], like.drop(SNAPSHOT).schema)
-            empty.coalesce(1).write.mode("overwrite").parquet(partition)
+            empty = self.spark.createDataFrame([], df.drop(SNAPSHOT).schema).coalesce(1)
+            empty.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{SNAPSHOT}={snapshot}")
 
 
 def export_csv(df: DataFrame, path: str) -> None:
