@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 SNAPSHOT = "snapshot_date"
 CUSTOMER = "customer_id"
-KEYS = [SNAPSHOT, CUSTOMER]
+# The customer comes first: it tells rows apart soonest when they are sorted by key.
+KEYS = [CUSTOMER, SNAPSHOT]
 
 
 @dataclass(frozen=True)
@@ -92,6 +93,9 @@ FEATURE_STORE = {
     **{name: dtype for cols in FEATURES.values() for name, dtype in cols.items()},
 }
 
+# Tables with a fixed schema, by layer and name.
+FIXED = {("gold", "label_store"): LABEL_STORE, ("gold", "feature_store"): FEATURE_STORE}
+
 
 def ddl(columns: dict[str, str]) -> str:
     """DDL string of a column → type mapping, as ``spark.read.schema`` takes it."""

@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanstrata.schemas import SNAPSHOT
+from loanstrata.schemas import FIXED, SNAPSHOT, ddl
 
 
 @dataclass(frozen=True)
@@ -26,35 +26,64 @@ class Lake:
     def read(
         self, layer: str, table: str, snapshots: Sequence[date] | None = None
     ) -> DataFrame | None:
-        """A table, pruned to the given snapshots; None if it was never written."""
-        try:
-            df = self.spark.read.parquet(self.path(layer, table))
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-        return df if snapshots is None else df.where(F.col(SNAPSHOT).isin(list(snapshots)))
+        """A table, pruned to the given snapshots; None if it was never written.
+
+        The gold tables have fixed schemas: no file footer is read to find them, and a store without
+        any row is an empty table.
+        """
+        fixed = FIXED.get((layer, table))
+        schema = ddl(fixed) if fixed else None
+        return self._load("parquet", self.path(layer, table), snapshots, schema)
 
     def write(self, df: DataFrame, layer: str, table: str, snapshots: Sequence[date]) -> None:
         """Replace the given snapshots of a table with the rows of ``df`` and leave all others.
 
         The rebalance lets AQE size the files: small snapshots share a task, one that holds most of
-        the rows is split over many. A snapshot without rows gets an empty partition, so a rerun with
-        other parameters leaves nothing behind.
+        the rows is split over many. A snapshot that had rows before and has none now is emptied, so
+        a rerun with other parameters leaves nothing behind.
         """
-        seen = Observation()
-        rows = df.where(F.col(SNAPSHOT).isin(list(snapshots)))
+        path = self.path(layer, table)
+        before = self._newest_files(path, snapshots)
         (
-            rows.observe(seen, F.collect_set(SNAPSHOT).alias("written"))
+            df.where(F.col(SNAPSHOT).isin(list(snapshots)))
             .hint("rebalance", SNAPSHOT)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(SNAPSHOT)
-            .parquet(self.path(layer, table))
+            .parquet(path)
         )
-        for snapshot in sorted(set(snapshots) - set(seen.get["written"])):
+        after = self._newest_files(path, snapshots) if before else {}
+        for snapshot in [s for s, file in before.items() if after.get(s) == file]:
             empty = self.spark.createDataFrame([], df.drop(SNAPSHOT).schema).coalesce(1)
-            empty.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{SNAPSHOT}={snapshot}")
+            empty.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={snapshot}")
+
+    def _newest_files(self, path: str, snapshots: Sequence[date]) -> dict[date, str]:
+        """One file name per partition, at most one row each; only lists, opens no file.
+
+        File names carry the id of the job that wrote them, so a replaced partition has a new name.
+        """
+        files = self._load("binaryFile", path, snapshots)
+        if files is None or SNAPSHOT not in files.columns:
+            return {}
+        return dict(files.groupBy(SNAPSHOT).agg(F.max("path")).collect())
+
+    def _load(
+        self,
+        file_format: str,
+        path: str,
+        snapshots: Sequence[date] | None,
+        schema: str | None = None,
+    ) -> DataFrame | None:
+        reader = self.spark.read.format(file_format)
+        try:
+            df = (reader.schema(schema) if schema else reader).load(path)
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+        if snapshots is None or SNAPSHOT not in df.columns:
+            return df
+        return df.where(F.col(SNAPSHOT).isin(list(snapshots)))
 
 
 def export_csv(df: DataFrame, path: str) -> None:

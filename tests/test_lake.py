@@ -1,0 +1,190 @@
+"""The lake: raw CSV in, stores out, reruns, single snapshots."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalogue import views
+from loanstrata.functions.dates import month_starts
+from loanstrata.plans import quality
+from loanstrata.plans.backfill import backfill, load_bronze, load_labels, load_silver
+from loanstrata.plans.gold import feature_store, label_store
+from loanstrata.plans.bronze import bronze_rows
+from loanstrata.plans.silver import clean
+from loanstrata.schemas import FEATURE_STORE, LABEL_STORE, LMS_TYPES, SOURCES
+from loanstrata.sources.lake import Lake, export_csv
+from loanstrata.sources.raw import read_raw, read_raw_sources
+
+SF = "/root/testdata/sf0.001"
+START, END = "1997-01-01", "1997-12-01"
+
+
+def same(a, b):
+    columns = sorted(a.columns)
+    assert columns == sorted(b.columns)
+    a, b = a.select(columns), b.select(columns)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+@pytest.fixture(scope="module")
+def raw_folder(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("raw"))
+    for name, source in SOURCES.items():
+        export_csv(views.RAW[name](spark, SF), f"{folder}/{source.file_name}")
+    return folder
+
+
+@pytest.fixture(scope="module")
+def built(spark, raw_folder, tmp_path_factory):
+    lake = Lake(spark, str(tmp_path_factory.mktemp("lake")))
+    backfill(lake, read_raw_sources(spark, raw_folder), START, END)
+    return lake
+
+
+def test_raw_scan_keeps_every_column_as_text(spark, raw_folder):
+    raw = read_raw(spark, f"{raw_folder}/{SOURCES['lms'].file_name}")
+    assert {t for _, t in raw.dtypes} == {"string"}
+    assert [c.lower() for c in raw.columns] == list(LMS_TYPES)
+
+
+def test_missing_raw_file_leaves_its_source_out(spark, raw_folder, tmp_path):
+    export_csv(views.raw_lms(spark, SF), f"{tmp_path}/{SOURCES['lms'].file_name}")
+    assert set(read_raw_sources(spark, str(tmp_path))) == {"lms"}
+
+
+def test_files_with_different_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("customer_id,snapshot_date\n1,2023-01-01\n")
+    (tmp_path / "b.csv").write_text("snapshot_date,customer_id\n2023-01-01,1\n")
+    with pytest.raises(Exception, match="header"):
+        read_raw(spark, str(tmp_path)).collect()
+
+
+def test_stores_equal_the_jobs_without_a_lake(spark, built):
+    months = month_starts(START, END)
+    silver = {n: clean(n, bronze_rows(views.RAW[n](spark, SF), months)) for n in SOURCES}
+    same(built.read("gold", "label_store"), label_store(silver["lms"]))
+    same(built.read("gold", "feature_store"), feature_store(silver))
+    for name, df in silver.items():
+        same(built.read("silver", name), df)
+
+
+def test_schemas_and_partitions(built):
+    labels, features = built.read("gold", "label_store"), built.read("gold", "feature_store")
+    assert dict(labels.dtypes) == LABEL_STORE
+    assert dict(features.dtypes) == FEATURE_STORE
+    found = {r[0] for r in built.read("bronze", "lms").select("snapshot_date").distinct().collect()}
+    assert found == set(month_starts(START, END))
+
+
+def test_invariants(built):
+    labels, features = built.read("gold", "label_store"), built.read("gold", "feature_store")
+    keys = ["snapshot_date", "customer_id"]
+    assert labels.where("label not in (0, 1)").isEmpty()
+    assert not features.isEmpty()
+    assert features.groupBy(*keys).count().where("count > 1").isEmpty()
+    for name in ("clickstream", "attributes", "financials"):
+        assert features.join(built.read("silver", name), keys, "left_anti").isEmpty()
+    ages = built.read("silver", "attributes")
+    assert ages.where("age is null or age < 1 or age > 120").isEmpty()
+    loans = built.read("silver", "financials")
+    items = F.when(F.col("type_of_loan") == "", 0).otherwise(F.size(F.split("type_of_loan", ", ")))
+    assert loans.where(items != F.col("num_of_loan")).isEmpty()
+
+
+def test_rerun_changes_nothing(spark, raw_folder, built):
+    tables = [("silver", n) for n in SOURCES] + [("gold", "label_store"), ("gold", "feature_store")]
+    before = {t: sorted(map(str, built.read(*t).collect())) for t in tables}
+    backfill(built, read_raw_sources(spark, raw_folder), START, END)
+    for table, rows in before.items():
+        assert sorted(map(str, built.read(*table).collect())) == rows
+
+
+def test_single_snapshots_equal_one_job(spark, raw_folder, built, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    raw = read_raw(spark, f"{raw_folder}/{SOURCES['lms'].file_name}")
+    months = month_starts("1997-04-01", "1997-06-01")
+    for month in months:
+        load_bronze(lake, "lms", raw, [month])
+        load_silver(lake, "lms", [month])
+        load_labels(lake, [month])
+    same(lake.read("gold", "label_store"), built.read("gold", "label_store", months))
+    same(lake.read("silver", "lms"), built.read("silver", "lms", months))
+
+
+def test_rerun_replaces_only_its_snapshots_and_leaves_nothing_stale(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    first, second = date(2023, 1, 1), date(2023, 2, 1)
+
+    def table(*rows):
+        return spark.createDataFrame(list(rows), "v int, snapshot_date date")
+
+    lake.write(table((1, first), (2, second)), "gold", "t", [first, second])
+    lake.write(table((3, second), (9, first)), "gold", "t", [second])
+    assert sorted(map(tuple, lake.read("gold", "t").collect())) == [(1, first), (3, second)]
+    lake.write(table((5, second)), "gold", "t", [first, second])
+    assert sorted(map(tuple, lake.read("gold", "t").collect())) == [(5, second)]
+    lake.write(table(), "gold", "t", [second])
+    assert lake.read("gold", "t").count() == 0
+
+
+def test_reading_is_pruned_to_the_snapshots(built):
+    plan = built.read("silver", "lms", [date(1997, 1, 1)])
+    assert len(plan.select("snapshot_date").distinct().collect()) == 1
+    assert built.read("silver", "nothing") is None
+
+
+def test_one_source_alone(spark, raw_folder, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    raw = read_raw_sources(spark, raw_folder)
+    backfill(lake, {"lms": raw["lms"]}, START, END)
+    assert lake.read("gold", "label_store").count() > 0
+    features = lake.read("gold", "feature_store")
+    assert dict(features.dtypes) == FEATURE_STORE
+    assert features.where("age_group is not null").isEmpty() and features.count() > 0
+
+
+def test_store_without_rows_is_an_empty_table(spark, raw_folder, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    raw = {n: df for n, df in read_raw_sources(spark, raw_folder).items() if n != "lms"}
+    backfill(lake, raw, "1990-01-01", "1990-02-01", on_missing="strict")
+    assert lake.read("gold", "label_store") is None
+    backfill(lake, read_raw_sources(spark, raw_folder), START, "1997-01-01", mob=99, on_missing="strict")
+    labels, features = lake.read("gold", "label_store"), lake.read("gold", "feature_store")
+    assert labels.isEmpty() and dict(labels.dtypes) == LABEL_STORE
+    assert features.isEmpty() and dict(features.dtypes) == FEATURE_STORE
+
+
+def test_export_of_one_snapshot(spark, built, tmp_path):
+    export_csv(built.read("silver", "lms", [date(1997, 2, 1)]), f"{tmp_path}/out")
+    back = read_raw(spark, f"{tmp_path}/out")
+    assert back.count() == built.read("silver", "lms", [date(1997, 2, 1)]).count()
+
+
+def test_metrics_add_up(spark, built):
+    raw = views.raw_sources(spark, SF)
+    metrics = {}
+    for r in quality.run_metrics(raw, built.read("silver", "lms")).collect():
+        metrics.setdefault((r.source, r.metric), {})[r.snapshot_date] = r.value
+    for name, df in raw.items():
+        loaded = sum(metrics[name, "rows_loaded"].values())
+        assert loaded == df.count()
+        assert loaded == sum(metrics[name, "rows_kept"].values()) + sum(
+            metrics[name, "duplicates_removed"].values()
+        )
+    at_mob = metrics["lms", "rows_at_mob"]
+    assert sum(at_mob.values()) == built.read("gold", "label_store").count()
+
+
+def test_unreadable_snapshots_are_counted(spark):
+    raw = spark.createDataFrame([("a", "nope"), ("b", "2023-01-01")], "customer_id string, snapshot_date string")
+    got = {(r.snapshot_date, r.metric): r.value for r in quality.bronze_metrics({"lms": raw}).collect()}
+    assert got[None, "rows_loaded"] == 1 and got[date(2023, 1, 1), "rows_loaded"] == 1
+
+
+def test_store_summary(spark, built):
+    stores = {"label_store": built.read("gold", "label_store")}
+    (row,) = quality.store_summary(stores).collect()
+    assert row.n_rows == stores["label_store"].count() >= row.n_customers

@@ -1,0 +1,140 @@
+"""Cleaners on edge rows."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from loanstrata.plans.bronze import bronze_rows
+from loanstrata.plans.silver import clean, clean_attributes, clean_financials, clean_lms, normalize
+from loanstrata.schemas import LMS_TYPES
+
+LMS_TEXT = ", ".join(f"{c} string" for c in LMS_TYPES)
+
+
+def lms(spark, *loans):
+    """Loans as (customer, overdue, due, snapshot) text."""
+    return spark.createDataFrame(
+        [
+            ("l" + customer, customer, "2022-09-01", "10", "6", "1000", due, "0", overdue, "0", snapshot)
+            for customer, overdue, due, snapshot in loans
+        ],
+        LMS_TEXT,
+    )
+
+
+def test_delinquency(spark):
+    raw = lms(
+        spark,
+        ("a", "0", "100", "2023-03-01"),
+        ("b", "5", "0", "2023-03-01"),
+        ("c", "100", "100", "2023-03-01"),
+        ("d", "200", "100", "2023-03-01"),
+        ("e", None, "100", "2023-03-01"),
+        ("f", "101", "100", "2023-08-01"),
+        ("g", "100", "100", "2023-08-01"),
+        ("h", "1e12", "0.001", "2023-08-01"),
+    )
+    got = {r.customer_id: r for r in clean_lms(bronze_rows(raw)).collect()}
+    assert {c: (r.installments_missed, r.dpd) for c, r in got.items() if c != "h"} == {
+        "a": (0, 0),
+        "b": (0, None),
+        "c": (1, 28),
+        "d": (2, 59),
+        "e": (0, 0),
+        "f": (2, 61),
+        "g": (1, 31),
+    }
+    assert got["c"].first_missed_date == date(2023, 2, 1)
+    assert got["e"].overdue_amt == 0.0
+    assert got["a"].mob == 6
+    assert got["h"].installments_missed == 0 and got["h"].dpd is None
+
+
+def test_silver_types(spark):
+    df = clean_lms(bronze_rows(lms(spark, ("a", "0", "1", "2023-01-01"))))
+    types = {**LMS_TYPES, "mob": "int", "installments_missed": "int", "first_missed_date": "date", "dpd": "int"}
+    assert dict(df.dtypes) == types
+
+
+def test_unreadable_numbers_become_zero_and_dates_null(spark):
+    raw = spark.createDataFrame(
+        [("l", "c", "soon", "ten", "x", None, "", "?", "1", "2", "2023-01-01")], LMS_TEXT
+    )
+    (row,) = clean_lms(bronze_rows(raw)).collect()
+    assert (row.tenure, row.installment_num, row.loan_amt, row.due_amt) == (0, 0, 0.0, 0.0)
+    assert row.loan_start_date is None
+
+
+def test_loan_grain_is_possible(spark):
+    raw = lms(spark, ("a", "0", "1", "2023-01-01"))
+    both = raw.unionAll(raw.withColumn("loan_id", F.lit("other")))
+    assert clean_lms(bronze_rows(both)).count() == 1
+    keys = ["snapshot_date", "customer_id", "loan_id"]
+    assert clean_lms(bronze_rows(both), keys).count() == 2
+
+
+def test_age_repair_uses_the_median_of_the_same_snapshot(spark):
+    ages = {
+        "2023-01-01": ["28_", "-30", "28.0", "-500", "0", "121", None, "", "33"],
+        "2023-02-01": ["40", "41", "999"],
+        "2023-03-01": ["x", "-500"],
+    }
+    raw = spark.createDataFrame(
+        [(f"c{i}", s, a) for s, values in ages.items() for i, a in enumerate(values)],
+        "customer_id string, snapshot_date string, age string",
+    )
+    got = {}
+    for r in clean_attributes(bronze_rows(raw)).orderBy("customer_id").collect():
+        got.setdefault(str(r.snapshot_date), []).append(r.age)
+    assert got["2023-01-01"] == [28.0, 30.0, 28.0, 29.0, 29.0, 29.0, 29.0, 29.0, 33.0]
+    assert got["2023-02-01"] == [40.0, 41.0, 40.5]
+    assert got["2023-03-01"] == [30.0, 30.0]
+
+
+def test_financials(spark):
+    raw = spark.createDataFrame(
+        [("CUS_1 ", "2023-01-01", "15000.5_", "-3", "5 Years and 6 Months", "_", "!@9", "A Loan, and B Loan", "9", "x")],
+        "`Customer_ID` string, snapshot_date string, `Annual_Income` string, `Delay_from_due_date` string,"
+        " `Credit_History_Age` string, `Credit_Mix` string, `Payment_Behaviour` string,"
+        " `Type_of_Loan` string, `Num_of_Loan` string, `Extra Column` string",
+    )
+    (row,) = clean_financials(bronze_rows(raw)).collect()
+    assert row.asDict() == {
+        "customer_id": "cus_1",
+        "snapshot_date": date(2023, 1, 1),
+        "annual_income": 15000.5,
+        "delay_from_due_date": 3,
+        "credit_history_age": 5.5,
+        "credit_mix": "unknown",
+        "payment_behaviour": "unknown",
+        "type_of_loan": "a loan, b loan",
+        "num_of_loan": 2,
+        "extra_column": "x",
+    }
+
+
+def test_empty_loan_list(spark):
+    raw = spark.createDataFrame(
+        [("c", "2023-01-01", None)], "customer_id string, snapshot_date string, type_of_loan string"
+    )
+    (row,) = clean_financials(bronze_rows(raw)).collect()
+    assert (row.num_of_loan, row.type_of_loan) == (0, "")
+
+
+def test_tables_without_keys_are_not_deduplicated(spark):
+    df = spark.createDataFrame([("a",), ("a",)], "x string")
+    assert normalize(df).count() == 2
+
+
+def test_rows_without_a_readable_snapshot_are_left_out(spark):
+    raw = lms(spark, ("a", "0", "1", "2023-01-01"), ("b", "0", "1", "01/02/2023"), ("c", "0", "1", None))
+    assert [r.customer_id for r in bronze_rows(raw).collect()] == ["a"]
+    assert bronze_rows(raw, [date(2023, 2, 1)]).count() == 0
+
+
+def test_unknown_source(spark):
+    with pytest.raises(ValueError, match="unknown source"):
+        clean("bureau", spark.range(1))
