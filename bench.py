@@ -22,15 +22,12 @@ HEADLINE = [
     "silver_financials",
     "label_store",
     "feature_store",
-    "feature_store_strict",
     "merged_features",
     "join_audit",
     "run_metrics",
-    "actual_bads_summary",
     "mob_profile",
+    "actual_bads_summary",
     "dpd_histogram",
-    "dpd_thresholds",
-    "backfill_label_store",
     "backfill_feature_store",
 ]
 
@@ -44,7 +41,7 @@ def seconds(spark: SparkSession, sf_dir: str, name: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = (
         builder("loanstrata-bench")
         .master(f"local[{cpus}]")

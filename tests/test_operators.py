@@ -59,7 +59,7 @@ def test_latest(spark):
 def test_inner_merge_keeps_left_columns(spark):
     a = spark.createDataFrame([(S1, "c", 1)], "snapshot_date date, customer_id string, x int")
     b = spark.createDataFrame([(S1, "c", 2, 3), (S1, "d", 2, 3)], "snapshot_date date, customer_id string, x int, y int")
-    assert rows(inner_merge([a, b])) == [(S1, "c", 1, 3)]
+    assert rows(inner_merge([a, b])) == [("c", S1, 1, 3)]
     with pytest.raises(ValueError, match="key"):
         inner_merge([a, b.drop("customer_id")])
 
