@@ -43,9 +43,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = (
-        builder("loanstrata-bench")
+        builder("loanstrata-bench", shuffle_partitions=int(cpus))
         .master(f"local[{cpus}]")
-        .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .getOrCreate()

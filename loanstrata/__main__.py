@@ -23,11 +23,22 @@ def main() -> None:
     parser.add_argument("--dpd", type=int, default=30, help="days past due that make a loan bad")
     parser.add_argument("--mob", type=int, default=6, help="months on book of the label")
     parser.add_argument("--on-missing", choices=["skip", "strict"], default="skip")
+    parser.add_argument("--months-per-job", type=int, help="clean the months in groups of this size")
+    parser.add_argument("--shuffle-partitions", type=int, help="bytes a job shuffles / 128 MB")
     args = parser.parse_args()
 
-    spark = builder().getOrCreate()
+    spark = builder(shuffle_partitions=args.shuffle_partitions).getOrCreate()
     lake = Lake(spark, args.lake)
-    backfill(lake, read_raw_sources(spark, args.raw), args.start, args.end, args.dpd, args.mob, args.on_missing)
+    backfill(
+        lake,
+        read_raw_sources(spark, args.raw),
+        args.start,
+        args.end,
+        args.dpd,
+        args.mob,
+        args.on_missing,
+        args.months_per_job,
+    )
 
     stores = {name: lake.read("gold", name) for name in ("label_store", "feature_store")}
     store_summary({name: df for name, df in stores.items() if df is not None}).show()

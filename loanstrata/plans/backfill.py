@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
-from concurrent.futures import ThreadPoolExecutor
 
 from loanstrata.functions.dates import month_starts
 from loanstrata.plans.bronze import bronze_rows
@@ -20,7 +20,7 @@ from loanstrata.sources.lake import Lake
 def _side_by_side(lake: Lake, jobs: Iterable[Callable[[], None]]) -> None:
     """Run independent Spark jobs at the same time, so one source's last tasks leave no core idle."""
     jobs = list(jobs)
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+    with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
         runs = [pool.submit(inheritable_thread_target(lake.spark)(job)) for job in jobs]
         for run in runs:
             run.result()
@@ -32,10 +32,13 @@ def load_bronze(lake: Lake, name: str, raw: DataFrame, snapshots: list[date]) ->
 
 
 def load_silver(lake: Lake, name: str, snapshots: list[date]) -> None:
-    """Clean the bronze slices of one source; a source without bronze is left out."""
+    """Clean the bronze slices of one source; a source without bronze is left out.
+
+    Deduplication has just shuffled the rows, so a single snapshot is written as it comes.
+    """
     rows = lake.read("bronze", source(name).name, snapshots)
     if rows is not None:
-        lake.write(clean(name, rows), "silver", name, snapshots)
+        lake.write(clean(name, rows), "silver", name, snapshots, rebalance=len(snapshots) > 1)
 
 
 def load_labels(lake: Lake, snapshots: list[date], dpd: int = 30, mob: int = 6) -> None:
@@ -52,7 +55,7 @@ def load_features(
     silver = {name: lake.read("silver", name, snapshots) for name in SOURCES}
     if any(df is not None for df in silver.values()):
         store = feature_store(silver, mob, on_missing)
-        lake.write(store, "gold", "feature_store", snapshots)
+        lake.write(store, "gold", "feature_store", snapshots, rebalance=len(snapshots) > 1)
 
 
 def backfill(
@@ -63,22 +66,27 @@ def backfill(
     dpd: int = 30,
     mob: int = 6,
     on_missing: str = "skip",
+    months_per_job: int | None = None,
 ) -> None:
     """Rebuild all layers for the months from ``start`` to ``end``.
 
-    Each layer is one job per table over all months. Every layer is a written table, so a lost
-    executor costs the tasks it ran and a failed run can be started again: it overwrites the same
-    snapshots and no others.
+    Each layer is one job per table over all months. ``months_per_job`` bounds what one silver or
+    gold job shuffles: the months are then cleaned in groups, while the raw tables are still read
+    once. Every layer is a written table, so a lost executor costs the tasks it ran and a failed run
+    can be started again: it overwrites the same snapshots and no others.
     """
     months = month_starts(start, end)
     _side_by_side(
         lake, [lambda n=n, df=df: load_bronze(lake, n, df, months) for n, df in raw.items()]
     )
-    _side_by_side(lake, [lambda n=n: load_silver(lake, n, months) for n in SOURCES])
-    _side_by_side(
-        lake,
-        [
-            lambda: load_labels(lake, months, dpd, mob),
-            lambda: load_features(lake, months, mob, on_missing),
-        ],
-    )
+    size = months_per_job or max(len(months), 1)
+    for first in range(0, len(months), size):
+        group = months[first : first + size]
+        _side_by_side(lake, [lambda n=n: load_silver(lake, n, group) for n in SOURCES])
+        _side_by_side(
+            lake,
+            [
+                lambda: load_labels(lake, group, dpd, mob),
+                lambda: load_features(lake, group, mob, on_missing),
+            ],
+        )

@@ -8,15 +8,23 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Adaptive execution sizes shuffle partitions, splits skewed ones and rebalances writes.
     "spark.sql.adaptive.enabled": "true",
-    # The cleaners fill large generated methods. The JIT compiles none beyond 8000 bytes of code;
-    # Spark then splits the expressions into small methods instead.
+    # The financial cleaner fills a large generated method, and the JIT compiles none beyond 8000
+    # bytes of code. With this limit Spark splits the expressions into small methods instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
-def builder(app_name: str = "loanstrata") -> SparkSession.Builder:
-    """A session builder with these settings; master and resources are the caller's."""
+def builder(
+    app_name: str = "loanstrata", shuffle_partitions: int | None = None
+) -> SparkSession.Builder:
+    """A session builder with these settings; master and resources are the caller's.
+
+    ``shuffle_partitions`` is the number AQE starts from and merges down: about the bytes one job
+    shuffles divided by 128 MB.
+    """
     build = SparkSession.builder.appName(app_name)
     for key, value in SETTINGS.items():
         build = build.config(key, value)
+    if shuffle_partitions:
+        build = build.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return build

@@ -35,18 +35,27 @@ class Lake:
         schema = ddl(fixed) if fixed else None
         return self._load("parquet", self.path(layer, table), snapshots, schema)
 
-    def write(self, df: DataFrame, layer: str, table: str, snapshots: Sequence[date]) -> None:
+    def write(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        snapshots: Sequence[date],
+        rebalance: bool = True,
+    ) -> None:
         """Replace the given snapshots of a table with the rows of ``df`` and leave all others.
 
         The rebalance lets AQE size the files: small snapshots share a task, one that holds most of
-        the rows is split over many. A snapshot that had rows before and has none now is emptied, so
-        a rerun with other parameters leaves nothing behind.
+        the rows is split over many. Without it the tasks of ``df`` write what they have, which saves
+        a shuffle where they hold a single snapshot in well-sized partitions already. A snapshot that
+        had rows before and has none now is emptied, so a rerun with other parameters leaves nothing
+        behind.
         """
         path = self.path(layer, table)
         before = self._newest_files(path, snapshots)
+        rows = df.where(F.col(SNAPSHOT).isin(list(snapshots)))
         (
-            df.where(F.col(SNAPSHOT).isin(list(snapshots)))
-            .hint("rebalance", SNAPSHOT)
+            (rows.hint("rebalance", SNAPSHOT) if rebalance else rows)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(SNAPSHOT)

@@ -114,6 +114,14 @@ def test_single_snapshots_equal_one_job(spark, raw_folder, built, tmp_path):
     same(lake.read("silver", "lms"), built.read("silver", "lms", months))
 
 
+def test_months_in_groups_equal_one_job(spark, raw_folder, built, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    backfill(lake, read_raw_sources(spark, raw_folder), "1997-02-01", "1997-04-01", months_per_job=2)
+    months = month_starts("1997-02-01", "1997-04-01")
+    for store in ("label_store", "feature_store"):
+        same(lake.read("gold", store), built.read("gold", store, months))
+
+
 def test_rerun_replaces_only_its_snapshots_and_leaves_nothing_stale(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     first, second = date(2023, 1, 1), date(2023, 2, 1)
