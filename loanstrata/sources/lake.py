@@ -74,7 +74,8 @@ class Lake:
         files = self._load("binaryFile", path, snapshots)
         if files is None or SNAPSHOT not in files.columns:
             return {}
-        return dict(files.groupBy(SNAPSHOT).agg(F.max("path")).collect())
+        # One task per file would be too many tasks for a look at the file's name.
+        return dict(files.coalesce(256).groupBy(SNAPSHOT).agg(F.max("path")).collect())
 
     def _load(
         self,
