@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import argparse
 
-from loanstrata.plans.backfill import backfill
+from loanstrata.functions.dates import month_starts
+from loanstrata.plans.backfill import backfill, load_report
 from loanstrata.plans.quality import store_summary
 from loanstrata.session import builder
 from loanstrata.sources.lake import Lake
@@ -25,6 +26,7 @@ def main() -> None:
     parser.add_argument("--on-missing", choices=["skip", "strict"], default="skip")
     parser.add_argument("--months-per-job", type=int, help="clean the months in groups of this size")
     parser.add_argument("--shuffle-partitions", type=int, help="bytes a job shuffles / 128 MB")
+    parser.add_argument("--report", action="store_true", help="also write run metrics and join audit")
     args = parser.parse_args()
 
     spark = builder(shuffle_partitions=args.shuffle_partitions).getOrCreate()
@@ -39,6 +41,8 @@ def main() -> None:
         args.on_missing,
         args.months_per_job,
     )
+    if args.report:
+        load_report(lake, month_starts(args.start, args.end), args.mob)
 
     stores = {name: lake.read("gold", name) for name in ("label_store", "feature_store")}
     store_summary({name: df for name, df in stores.items() if df is not None}).show()

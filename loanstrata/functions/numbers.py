@@ -8,6 +8,7 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A decimal number as a whole cell, and the first one inside a cell.
 WELL_FORMED = r"^-?\d*\.?\d+([eE][+-]?\d+)?$"
 FIRST_NUMBER = r"-?\d*\.?\d+"
 

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The stand-in for unusable text, the form of a social security number, and the first
+# characters of junk categories.
 UNKNOWN = "unknown"
+SSN_FORM = r"^\d{3}-\d{2}-\d{4}$"
+JUNK_MARKS = ["!", "-", "_"]
 
 
 def normalize_text(c: Column) -> Column:
@@ -26,12 +30,12 @@ def clean_occupation(c: Column) -> Column:
 
 def valid_ssn(c: Column) -> Column:
     """A social security number of the form ddd-dd-dddd, otherwise ``unknown``."""
-    return F.when(c.rlike(r"^\d{3}-\d{2}-\d{4}$"), c).otherwise(UNKNOWN)
+    return F.when(c.rlike(SSN_FORM), c).otherwise(UNKNOWN)
 
 
 def junk_to_unknown(c: Column) -> Column:
     """Values that are missing or start with ``!``, ``-`` or ``_`` become ``unknown``; ``''`` stays."""
-    return F.when(c.isNull() | F.substring(c, 1, 1).isin("!", "-", "_"), UNKNOWN).otherwise(c)
+    return F.when(c.isNull() | F.substring(c, 1, 1).isin(JUNK_MARKS), UNKNOWN).otherwise(c)
 
 
 def loan_types(c: Column) -> Column:

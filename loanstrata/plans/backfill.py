@@ -10,8 +10,10 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from loanstrata.functions.dates import month_starts
+from loanstrata.operators.merge import join_audit
 from loanstrata.plans.bronze import bronze_rows
-from loanstrata.plans.gold import feature_store, label_store
+from loanstrata.plans.gold import feature_rows, feature_store, label_store
+from loanstrata.plans.quality import bronze_metrics, lms_metrics
 from loanstrata.plans.silver import clean
 from loanstrata.schemas import SOURCES, source
 from loanstrata.sources.lake import Lake
@@ -58,6 +60,22 @@ def load_features(
         lake.write(store, "gold", "feature_store", snapshots, rebalance=len(snapshots) > 1)
 
 
+def load_report(lake: Lake, snapshots: list[date], mob: int = 6) -> None:
+    """Write the run metrics and the join audit of the snapshots as tables of the quality layer."""
+    bronze = {name: lake.read("bronze", name, snapshots) for name in SOURCES}
+    silver = {name: lake.read("silver", name, snapshots) for name in SOURCES}
+    bronze = {name: df for name, df in bronze.items() if df is not None}
+    silver = {name: df for name, df in silver.items() if df is not None}
+    if bronze:
+        metrics = bronze_metrics(bronze)
+        if "lms" in silver:
+            metrics = metrics.unionAll(lms_metrics(silver["lms"], mob))
+        lake.write(metrics, "quality", "run_metrics", snapshots)
+    if len(silver) > 1:
+        rows = {name: feature_rows(name, df, mob) for name, df in silver.items()}
+        lake.write(join_audit(rows), "quality", "join_audit", snapshots)
+
+
 def backfill(
     lake: Lake,
     raw: dict[str, DataFrame],

@@ -8,9 +8,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogue import views
+from loanstrata.__main__ import main
 from loanstrata.functions.dates import month_starts
 from loanstrata.plans import quality
-from loanstrata.plans.backfill import backfill, load_bronze, load_labels, load_silver
+from loanstrata.plans.backfill import (
+    backfill,
+    load_bronze,
+    load_labels,
+    load_report,
+    load_silver,
+)
 from loanstrata.plans.gold import feature_store, label_store
 from loanstrata.plans.bronze import bronze_rows
 from loanstrata.plans.silver import clean
@@ -186,6 +193,31 @@ def test_metrics_add_up(spark, built):
     assert sum(at_mob.values()) == built.read("gold", "label_store").count()
 
 
+def test_report_of_the_lake(spark, built):
+    months = month_starts("1997-01-01", "1997-02-01")
+    load_report(built, months)
+    metrics = built.read("quality", "run_metrics").where("metric = 'rows_kept' and source = 'financials'")
+    kept = {r.snapshot_date: r.value for r in metrics.collect()}
+    silver = built.read("silver", "financials", months).groupBy("snapshot_date").count()
+    assert kept == {r.snapshot_date: r["count"] for r in silver.collect()}
+    audit = built.read("quality", "join_audit").where("step = 3").collect()
+    stores = built.read("gold", "feature_store", months).groupBy("snapshot_date").count().collect()
+    assert {r.snapshot_date: r.rows_after for r in audit if r.rows_after} == {
+        r.snapshot_date: r["count"] for r in stores
+    }
+    assert not any(r.has_duplicates for r in audit)
+
+
+def test_command_line(spark, raw_folder, tmp_path, monkeypatch, capsys):
+    options = ["--raw", raw_folder, "--lake", str(tmp_path), "--start", "1997-03-01", "--end", "1997-03-01"]
+    monkeypatch.setattr("sys.argv", ["loanstrata", *options, "--report"])
+    main()
+    lake = Lake(spark, str(tmp_path))
+    labels = lake.read("gold", "label_store")
+    assert str(labels.count()) in capsys.readouterr().out
+    assert not lake.read("quality", "run_metrics").isEmpty()
+
+
 def test_unreadable_snapshots_are_counted(spark):
     raw = spark.createDataFrame([("a", "nope"), ("b", "2023-01-01")], "customer_id string, snapshot_date string")
     got = {(r.snapshot_date, r.metric): r.value for r in quality.bronze_metrics({"lms": raw}).collect()}
