@@ -341,6 +341,11 @@ def _all_silver_sql(body: str, *more: str) -> str:
 FEATURE_PARTS = [CLICKSTREAM_FEATURES, ATTRIBUTES_FEATURES, FINANCIALS_FEATURES, LMS_FEATURES]
 
 
+LAST_FIRST = "installment_num DESC, snapshot_date DESC, dpd_flag DESC, " + ", ".join(
+    f"{c} DESC NULLS LAST" for c in LMS if c not in ("loan_id", "installment_num", "snapshot_date")
+)
+
+
 def _obs_sql(body: str) -> str:
     return _silver_sql("lms", body, OBSERVATIONS)
 
@@ -500,15 +505,13 @@ FROM obs GROUP BY mob"""
     "final_installment": _obs_sql(f"SELECT * FROM obs WHERE installment_num = {FINAL_INSTALLMENT}"),
     "actual_bads_last_obs": _obs_sql(
         f"""SELECT * FROM (SELECT * FROM obs
-  QUALIFY row_number() OVER (PARTITION BY loan_id ORDER BY installment_num DESC,
-    {', '.join(f'{c} DESC NULLS LAST' for c in LMS if c not in ('loan_id', 'installment_num'))}) = 1)
+  QUALIFY row_number() OVER (PARTITION BY loan_id ORDER BY {LAST_FIRST}) = 1)
 WHERE dpd_flag = 1"""
     ),
     "actual_bads_summary": _obs_sql(
         f"""SELECT count(*) AS n_loans, count(*) FILTER (dpd_flag = 1) AS n_bad_loans
 FROM (SELECT * FROM obs
-  QUALIFY row_number() OVER (PARTITION BY loan_id ORDER BY installment_num DESC,
-    {', '.join(f'{c} DESC NULLS LAST' for c in LMS if c not in ('loan_id', 'installment_num'))}) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY loan_id ORDER BY {LAST_FIRST}) = 1)"""
     ),
     "dpd_histogram": _histogram_sql(50),
     "dpd_histogram_60": _histogram_sql(30, "dpd <= 60"),

@@ -41,13 +41,13 @@ def junk_to_unknown(c: Column) -> Column:
 def loan_types(c: Column) -> Column:
     """Split a list joined by commas and the word "and" into its distinct, trimmed items.
 
-    Separators are reduced to single commas before the split, so no lambda is needed and the
-    projection stays inside whole-stage codegen. A missing or empty list gives an empty array.
+    A separator takes the spaces and further commas around it, so items need no trimming by a
+    lambda and the projection stays inside whole-stage codegen. A missing or empty list gives an
+    empty array.
     """
-    joined = F.regexp_replace(F.regexp_replace(c, " and ", ","), " *,[ ,]*", ",")
-    items = F.btrim(joined, F.lit(" ,"))
-    return F.when(items != "", F.array_distinct(F.split(items, ","))).otherwise(
-        F.array().cast("array<string>")
+    items = F.split(F.trim(F.replace(c, F.lit(" and "), F.lit(","))), " *,[ ,]*")
+    return F.coalesce(
+        F.array_remove(F.array_distinct(items), ""), F.array().cast("array<string>")
     )
 
 

@@ -19,8 +19,8 @@ def keep_one(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(row).alias("kept")).select(*keys, "kept.*").select(df.columns)
 
 
-def latest(df: DataFrame, keys: list[str], by: str) -> DataFrame:
+def latest(df: DataFrame, keys: list[str], *by: str) -> DataFrame:
     """Keep the row of each key with the greatest ``by``; ties go to the greatest remaining row."""
-    rest = [c for c in df.columns if c not in keys and c != by]
-    row = F.struct(by, *rest)
+    rest = [c for c in df.columns if c not in keys and c not in by]
+    row = F.struct(*by, *rest)
     return df.groupBy(*keys).agg(F.max(row).alias("kept")).select(*keys, "kept.*").select(df.columns)

@@ -49,8 +49,11 @@ def at_installment(obs: DataFrame, installment: int = 10) -> DataFrame:
 
 
 def last_observation(obs: DataFrame) -> DataFrame:
-    """The observation with the highest installment number of each loan."""
-    return latest(obs, ["loan_id"], "installment_num")
+    """The observation with the highest installment number of each loan.
+
+    Of several with that number the one of the latest snapshot counts, then a bad one.
+    """
+    return latest(obs, ["loan_id"], "installment_num", "snapshot_date", "dpd_flag")
 
 
 def actual_bads(obs: DataFrame) -> DataFrame:
@@ -59,9 +62,13 @@ def actual_bads(obs: DataFrame) -> DataFrame:
 
 
 def actual_bads_summary(obs: DataFrame) -> DataFrame:
-    """Number of loans, and of loans bad at their last observation."""
-    return last_observation(obs).agg(
-        F.count("loan_id").alias("n_loans"), F.count_if(F.col("dpd_flag") == 1).alias("n_bad_loans")
+    """Number of loans, and of loans bad at their last observation.
+
+    Only the columns that decide about the last flag are shuffled.
+    """
+    flags = obs.select("loan_id", "installment_num", "snapshot_date", "dpd_flag")
+    return last_observation(flags).agg(
+        F.count("*").alias("n_loans"), F.count_if(F.col("dpd_flag") == 1).alias("n_bad_loans")
     )
 
 

@@ -10,19 +10,19 @@ from loanstrata.plans import delinquency as d
 from loanstrata.plans import quality
 
 ROWS = [
-    # loan, customer, start, installment, mob, dpd
-    ("l1", "a", date(2023, 1, 1), 1, 1, 0),
-    ("l1", "a", date(2023, 1, 1), 10, 10, 45),
-    ("l2", "b", date(2023, 6, 1), 6, 6, 31),
-    ("l2", "b", date(2023, 6, 1), 7, 7, 0),
-    ("l3", "c", date(2023, 6, 1), 6, 6, None),
-    ("l4", "d", date(2024, 1, 1), 6, 6, 90),
+    # loan, customer, start, installment, mob, dpd, snapshot
+    ("l1", "a", date(2023, 1, 1), 1, 1, 0, date(2023, 1, 1)),
+    ("l1", "a", date(2023, 1, 1), 10, 10, 45, date(2023, 10, 1)),
+    ("l2", "b", date(2023, 6, 1), 6, 6, 31, date(2023, 6, 1)),
+    ("l2", "b", date(2023, 6, 1), 7, 7, 0, date(2023, 7, 1)),
+    ("l3", "c", date(2023, 6, 1), 6, 6, None, date(2023, 6, 1)),
+    ("l4", "d", date(2024, 1, 1), 6, 6, 90, date(2023, 6, 1)),
 ]
 
 
 @pytest.fixture()
 def obs(spark):
-    columns = "loan_id string, customer_id string, loan_start_date date, installment_num int, mob int, dpd int"
+    columns = "loan_id string, customer_id string, loan_start_date date, installment_num int, mob int, dpd int, snapshot_date date"
     return d.observations(spark.createDataFrame(ROWS, columns), dpd=30)
 
 
@@ -47,6 +47,18 @@ def test_last_observations(obs):
     assert [r.loan_id for r in d.at_installment(obs).collect()] == ["l1"]
 
 
+def test_ties_of_the_last_observation(spark, obs):
+    row = obs.where("loan_id = 'l1' and mob = 10").collect()[0]
+    later = {**row.asDict(), "snapshot_date": date(2023, 12, 1), "dpd": 0, "dpd_flag": 0}
+    tied = obs.unionByName(spark.createDataFrame([later], obs.schema))
+    assert rows(d.actual_bads_summary(tied)) == [(3, 0)]
+    assert d.actual_bads(tied).isEmpty()
+    same_day = {**later, "dpd": 31, "dpd_flag": 1}
+    tied = tied.unionByName(spark.createDataFrame([same_day], obs.schema))
+    assert rows(d.actual_bads_summary(tied)) == [(3, 1)]
+    assert d.actual_bads(tied).count() == 1
+
+
 def test_thresholds(obs):
     got = {r.threshold: (r.n_at_or_above, r.pct_at_or_above) for r in d.dpd_thresholds(obs).collect()}
     assert got[1] == got[30] == (2, 40.0) and got[60] == (0, 0.0)

@@ -228,3 +228,6 @@ def test_store_summary(spark, built):
     stores = {"label_store": built.read("gold", "label_store")}
     (row,) = quality.store_summary(stores).collect()
     assert row.n_rows == stores["label_store"].count() >= row.n_customers
+    nulls = spark.createDataFrame([("a",), (None,), (None,), ("a",)], "customer_id string")
+    (row,) = quality.store_summary({"x": nulls}).collect()
+    assert (row.n_rows, row.n_customers) == (4, 2)

@@ -70,8 +70,8 @@ def test_join_audit_matches_real_joins(spark):
     audit = {r.snapshot_date: r for r in join_audit({"clickstream": left, "lms": right}).collect()}
     first, second = audit[S1], audit[S2]
     joined = left.join(right, ["snapshot_date", "customer_id"]).where("snapshot_date = '2023-01-01'")
-    assert (first.rows_before, first.customers_before) == (3, 2)
-    assert (first.right_rows, first.right_customers) == (3, 2)
+    assert (first.rows_before, first.customers_before) == (4, 3)
+    assert (first.right_rows, first.right_customers) == (4, 3)
     assert first.rows_after == joined.count() == 4
     assert first.customers_after == 1
     assert first.has_duplicates and first.rows_lost == 0
@@ -80,7 +80,7 @@ def test_join_audit_matches_real_joins(spark):
 
 
 def test_source_coverage(spark):
-    frames = {"clickstream": keyed(spark, [(S1, "a"), (S1, "b")]), "lms": keyed(spark, [(S1, "b"), (S1, "c")])}
+    frames = {"clickstream": keyed(spark, [(S1, "a"), (S1, "b")]), "lms": keyed(spark, [(S1, "b"), (S1, "c"), (S1, None)])}
     (row,) = source_coverage(frames).collect()
     assert (row.customers_clickstream, row.customers_lms) == (2, 2)
     assert (row.customers_in_all, row.customers_in_any) == (1, 3)
