@@ -9,18 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanstrata.operators.normalize import quoted
+
 
 def keep_one(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keep the smallest row of each key, compared column by column with NULL first."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    row = F.struct(*rest)
-    return df.groupBy(*keys).agg(F.min(row).alias("kept")).select(*keys, "kept.*").select(df.columns)
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*quoted(rest))).alias("kept"))
+    return kept.select(*keys, "kept.*").select(quoted(df.columns))
 
 
 def latest(df: DataFrame, keys: list[str], *by: str) -> DataFrame:
     """Keep the row of each key with the greatest ``by``; ties go to the greatest remaining row."""
     rest = [c for c in df.columns if c not in keys and c not in by]
-    row = F.struct(*by, *rest)
-    return df.groupBy(*keys).agg(F.max(row).alias("kept")).select(*keys, "kept.*").select(df.columns)
+    kept = df.groupBy(*keys).agg(F.max(F.struct(*by, *quoted(rest))).alias("kept"))
+    return kept.select(*keys, "kept.*").select(quoted(df.columns))

@@ -13,6 +13,11 @@ def normal_name(name: str) -> str:
     return name.strip().lower().replace(" ", "_").replace("-", "_")
 
 
+def quoted(names: list[str]) -> list[str]:
+    """Column names in backticks, so that a point in a name is part of it."""
+    return [f"`{name}`" for name in names]
+
+
 def normalize_names(df: DataFrame) -> DataFrame:
     """Give all columns their normal names; names that collide are an error."""
     names = [normal_name(c) for c in df.columns]

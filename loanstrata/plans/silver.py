@@ -16,9 +16,8 @@ from loanstrata.functions.text import (
     valid_ssn,
 )
 from loanstrata.operators.dedup import keep_one
-from loanstrata.operators.normalize import normalize_names, normalize_strings
+from loanstrata.operators.normalize import normalize_names, normalize_strings, quoted
 from loanstrata.schemas import (
-    CUSTOMER,
     FINANCIAL_INTEGERS,
     FINANCIAL_NUMBERS,
     KEYS,
@@ -87,7 +86,7 @@ def repair_age(df: DataFrame) -> DataFrame:
     medians = rows.groupBy(SNAPSHOT).agg(F.percentile("age", F.lit(0.5)).alias("median_age"))
     joined = rows.join(F.broadcast(medians), SNAPSHOT, "left")
     age = F.coalesce(F.col("age").cast("double"), "median_age", F.lit(DEFAULT_AGE))
-    return joined.withColumn("age", age).select(df.columns)
+    return joined.withColumn("age", age).select(quoted(df.columns))
 
 
 def clean_attributes(df: DataFrame) -> DataFrame:
@@ -142,6 +141,3 @@ CLEANERS = {
 def clean(name: str, bronze: DataFrame) -> DataFrame:
     """Clean the bronze rows of a source by its name."""
     return CLEANERS[source(name).name](bronze)
-
-
-__all__ = ["CUSTOMER", "clean", "normalize", "repair_age", *[f.__name__ for f in CLEANERS.values()]]

@@ -116,6 +116,15 @@ def test_financials(spark):
     }
 
 
+def test_point_in_a_column_name(spark):
+    raw = spark.createDataFrame(
+        [("c", "2023-01-01", "20", "X"), ("c", "2023-01-01", "20", "A")],
+        "customer_id string, snapshot_date string, age string, `Note v1.2` string",
+    )
+    (row,) = clean_attributes(bronze_rows(raw)).collect()
+    assert (row.age, row["note_v1.2"]) == (20.0, "a")
+
+
 def test_empty_loan_list(spark):
     raw = spark.createDataFrame(
         [("c", "2023-01-01", None)], "customer_id string, snapshot_date string, type_of_loan string"
