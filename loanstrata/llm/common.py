@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ def rows(batches: Iterator[pa.RecordBatch], by: str, most: int = 4_000_000) -> I
     Bounds what a task holds at a time, however many rows Spark puts into a batch.
     """
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(by)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(by)).fill_null(0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, size in enumerate(sizes.tolist()):
             if held and held + size > most:

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanstrata.llm.best_fit_packing import pack
+from loanstrata.llm.common import written
 from loanstrata.llm.sharding import shard
+from loanstrata.llm.token_output import pack_tokens
+from loanstrata.llm.tokens import pieces
 from loanstrata.llm.url_filters import filter_urls, rule_table
 
 URL_RULES = [
@@ -16,6 +22,9 @@ URL_RULES = [
     ("block", "net/fr/"),
 ]
 
+#: Tokens of a packed sequence.
+SEQUENCE = 2048
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,6 +34,29 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
 
+def vocabulary() -> str:
+    """The vocabulary file of the packing operators; ``LOANSTRATA_VOCABULARY`` names another."""
+    if path := os.environ.get("LOANSTRATA_VOCABULARY"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_tokens(_table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE, end_id=0)
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    """Every piece of every document with its sequence and place."""
+    cut = written(pieces(docs, vocabulary(), SEQUENCE, end_id=0).drop("ids"))
+    return pack(cut, SEQUENCE).drop("uid")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of shards differ by at most one; the number of shards moves rows between old ones."""
     return shard(_table(spark, sf_dir, "documents"), shards=40).select(
@@ -34,5 +66,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op5_token_output": op5_token_output,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op10_sharding": op10_sharding,
 }
