@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loanstrata.llm.best_fit_packing import pack
 from loanstrata.llm.common import written
 from loanstrata.llm.sharding import shard
+from loanstrata.llm.simhash import near_duplicates
 from loanstrata.llm.token_output import pack_tokens
 from loanstrata.llm.tokens import pieces
 from loanstrata.llm.url_filters import filter_urls, rule_table
@@ -53,6 +54,11 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     return pack(cut, SEQUENCE).drop("uid")
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents"), words=4, distance=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(_table(spark, sf_dir, "documents"))
 
@@ -67,6 +73,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op5_token_output": op5_token_output,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_sharding": op10_sharding,
 }
