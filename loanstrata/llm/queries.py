@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loanstrata.llm.best_fit_packing import pack
 from loanstrata.llm.common import written
+from loanstrata.llm.language_id import classify, fit, held_out
 from loanstrata.llm.sharding import shard
 from loanstrata.llm.simhash import near_duplicates
 from loanstrata.llm.token_output import pack_tokens
@@ -35,6 +36,12 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+    return classify(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
+
+
 def vocabulary() -> str:
     """The vocabulary file of the packing operators; ``LOANSTRATA_VOCABULARY`` names another."""
     if path := os.environ.get("LOANSTRATA_VOCABULARY"):
@@ -72,6 +79,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_language_id": op2_language_id,
     "op5_token_output": op5_token_output,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
