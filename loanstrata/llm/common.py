@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -58,3 +59,31 @@ def rows(batches: Iterator[pa.RecordBatch], by: str, most: int = 4_000_000) -> I
             held += size + 16
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+class Sieve:
+    """A bitmap of fixed size over 64-bit hashes: says no only where the table has no such hash.
+
+    Its 2 ** ``bits`` bits are all that reaches the driver and the tasks, whatever the table's size. A
+    full sieve lets more through; whoever uses it checks exactly afterwards.
+    """
+
+    def __init__(self, hashes: DataFrame, column: str, bits: int = 23) -> None:
+        self.bits = bits
+        h = F.col(column)
+        places = F.array(*[F.shiftright(h, s).bitwiseAND(F.lit((1 << bits) - 1)) for s in (0, bits)])
+        words = (
+            hashes.select(F.explode(places).alias("at"))
+            .groupBy(F.shiftright("at", 6).alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("value"))
+            .toArrow()
+        )
+        self.words = np.zeros(1 << (bits - 6), np.int64)
+        self.words[words.column("word").to_numpy()] = words.column("value").to_numpy()
+
+    def passes(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.ones(len(hashes), bool)
+        for s in (0, self.bits):
+            at = (hashes >> s) & ((1 << self.bits) - 1)
+            out &= (self.words[at >> 6] >> (at & 63)) & 1 == 1
+        return out

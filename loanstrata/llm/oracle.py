@@ -25,5 +25,53 @@ SELECT page_id, host, path,
        END AS rule,
        CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM parts
+""",
+    "op4_line_dedup": r"""
+WITH texts AS (
+  SELECT text, min(doc_id) AS first_id FROM documents WHERE text IS NOT NULL GROUP BY text
+), split_lines AS (
+  SELECT text, first_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+  FROM texts
+), lines AS (
+  SELECT first_id, line_no, tokens, len(tokens) AS n, tokens[1:3] AS lead
+  FROM (
+    SELECT first_id, line_no,
+           [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
+            FOR t IN string_split_regex(line, '[ \t\r\f\v]+') IF t <> ''] AS tokens
+    FROM split_lines
+  ) WHERE len(tokens) > 0
+), patterns AS (
+  SELECT n, lead, tokens, count(DISTINCT first_id) AS c FROM lines GROUP BY ALL
+), places AS (
+  SELECT n, lead, tokens, c, unnest(tokens[4:]) AS token, generate_subscripts(tokens[4:], 1) AS place FROM patterns
+), constants AS (
+  SELECT n, lead, place, token FROM places GROUP BY ALL HAVING sum(c) >= 10
+), templates AS (
+  SELECT p.n, p.lead, p.tokens,
+         list(CASE WHEN k.token IS NULL THEN NULL ELSE p.token END ORDER BY p.place) AS template,
+         count(k.token) AS fixed
+  FROM places p LEFT JOIN constants k USING (n, lead, place, token) GROUP BY ALL
+  UNION ALL
+  SELECT n, lead, tokens, NULL, 0 FROM patterns WHERE n <= 3
+), carried AS (
+  SELECT l.first_id, l.line_no, l.n, l.lead, t.template
+  FROM lines l JOIN templates t ON l.tokens = t.tokens
+  WHERE t.fixed + 3 >= 0.7 * greatest(l.n, 3)
+), recurring AS (
+  SELECT n, lead, template, min(first_id) AS keeper FROM carried GROUP BY ALL HAVING count(DISTINCT first_id) >= 10
+), gone AS (
+  SELECT c.first_id, c.line_no
+  FROM carried c JOIN recurring r
+    ON c.n = r.n AND c.lead = r.lead AND c.template IS NOT DISTINCT FROM r.template AND c.first_id <> r.keeper
+), kept AS (
+  SELECT s.text, string_agg(CASE WHEN g.line_no IS NULL THEN s.line END, chr(10) ORDER BY s.line_no) AS kept_text,
+         count(g.line_no) AS n_dropped
+  FROM split_lines s LEFT JOIN gone g USING (first_id, line_no) GROUP BY s.text
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept_text, '') END AS text,
+       CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END::INT AS n_lines,
+       coalesce(k.n_dropped, 0)::INT AS n_dropped
+FROM documents d LEFT JOIN kept k USING (text)
 """,
 }

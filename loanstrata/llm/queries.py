@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loanstrata.llm.best_fit_packing import pack
 from loanstrata.llm.common import written
 from loanstrata.llm.language_id import classify, fit, held_out
+from loanstrata.llm.line_dedup import drop_recurring_lines
 from loanstrata.llm.sharding import shard
 from loanstrata.llm.simhash import near_duplicates
 from loanstrata.llm.token_output import pack_tokens
@@ -42,6 +43,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_recurring_lines(docs, depth=3, recur=10, similarity=0.7)
+
+
 def vocabulary() -> str:
     """The vocabulary file of the packing operators; ``LOANSTRATA_VOCABULARY`` names another."""
     if path := os.environ.get("LOANSTRATA_VOCABULARY"):
@@ -80,6 +86,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_language_id": op2_language_id,
+    "op4_line_dedup": op4_line_dedup,
     "op5_token_output": op5_token_output,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
