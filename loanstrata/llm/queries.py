@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loanstrata.llm.best_fit_packing import pack
 from loanstrata.llm.common import written
+from loanstrata.llm.decontamination import find_leaks
 from loanstrata.llm.language_id import classify, fit, held_out
 from loanstrata.llm.line_dedup import drop_recurring_lines
 from loanstrata.llm.sharding import shard
@@ -43,6 +44,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_recurring_lines(docs, depth=3, recur=10, similarity=0.7)
@@ -86,6 +91,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_language_id": op2_language_id,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_output": op5_token_output,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
