@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanstrata.llm.ann import nearest
 from loanstrata.llm.best_fit_packing import pack
 from loanstrata.llm.common import written
 from loanstrata.llm.decontamination import find_leaks
@@ -77,6 +78,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(_table(spark, sf_dir, "documents"))
 
@@ -95,6 +100,7 @@ LLM_QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_token_output": op5_token_output,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_ann_search": op7_ann_search,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_sharding": op10_sharding,
 }
