@@ -15,6 +15,7 @@ from loanstrata.llm.language_id import classify, fit, held_out
 from loanstrata.llm.line_dedup import drop_recurring_lines
 from loanstrata.llm.sharding import shard
 from loanstrata.llm.simhash import near_duplicates
+from loanstrata.llm.suffix_dedup import kept_digests
 from loanstrata.llm.token_output import pack_tokens
 from loanstrata.llm.tokens import pieces
 from loanstrata.llm.url_filters import filter_urls, rule_table
@@ -86,6 +87,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_digests(_table(spark, sf_dir, "documents"), length=400)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of shards differ by at most one; the number of shards moves rows between old ones."""
     return shard(_table(spark, sf_dir, "documents"), shards=40).select(
@@ -102,5 +107,6 @@ LLM_QUERIES = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_ann_search": op7_ann_search,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_sharding": op10_sharding,
 }
