@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -87,3 +88,26 @@ class Sieve:
             at = (hashes >> s) & ((1 << self.bits) - 1)
             out &= (self.words[at >> 6] >> (at & 63)) & 1 == 1
         return out
+
+
+def maybe_in(df: DataFrame, table: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: rows whose key may be in ``table``, and rows whose key surely isn't.
+
+    ``key`` has no nulls. Only the first part needs a join; the other isn't shuffled for it.
+    """
+    h = F.xxhash64(*key)
+    sieve = Sieve(table.select(h.alias("h")), "h", 25)
+
+    @F.pandas_udf("boolean")
+    def passes(hashes: pd.Series) -> pd.Series:
+        return pd.Series(sieve.passes(hashes.to_numpy()))
+
+    marked = df.withColumn("_maybe", passes(h))
+    return marked.filter("_maybe").drop("_maybe"), marked.filter(~F.col("_maybe")).drop("_maybe")
+
+
+def without(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key isn't in ``table``."""
+    table = written(table.select(key).distinct())
+    some, others = maybe_in(df, table, [key])
+    return others.unionByName(some.join(table, key, "left_anti"))

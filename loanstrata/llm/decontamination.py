@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from loanstrata.llm.common import rows
 
@@ -161,8 +163,9 @@ def find_leaks(
     item_col: str = "item_id",
     item_text_col: str = "text",
     block_chars: int = 1_000_000,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(doc_id, contaminated, item_ids, n_windows, least_edits) of every row of ``docs``.
+    """(doc_id, columns to ``carry``, contaminated, item_ids, n_windows, least_edits) of every row.
 
     A document is contaminated if some region of it is within the edit budget of a window of a
     benchmark item (`Index`), both in lower case with single blanks. So a passage of one and a half
@@ -173,13 +176,22 @@ def find_leaks(
     The benchmark goes to the tasks in blocks of about ``block_chars`` characters; documents are read
     once for each block and never shuffled for one block alone. Null and empty texts are clean; equal
     and null ids and repeated rows are kept; an empty benchmark leaves all clean; other columns aren't
-    read.
+    read, and a carried column of one of these names gives way.
     """
-    doc_type = docs.schema[id_col].dataType.simpleString()
-    item_type = benchmark.schema[item_col].dataType.simpleString()
-    schema = f"uid long, doc_id {doc_type}, item_ids array<{item_type}>, n_windows int, least_edits int"
+    results = ["doc_id", "contaminated", "item_ids", "n_windows", "least_edits"]
+    carried = [c for c in carry if c not in results]
+    item_type = benchmark.schema[item_col].dataType
+    schema = T.StructType([T.StructField("_uid", T.LongType()), T.StructField("doc_id", docs.schema[id_col].dataType)])
+    for c in carried:
+        schema.add(c, docs.schema[c].dataType)
+    for c, kind in (("item_ids", T.ArrayType(item_type)), ("n_windows", T.IntegerType()), ("least_edits", T.IntegerType())):
+        schema.add(c, kind)
+    item_arrow = pa.list_(to_arrow_type(item_type))
     keyed = docs.select(
-        F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
+        F.monotonically_increasing_id().alias("_uid"),
+        F.col(id_col).alias("doc_id"),
+        *(F.col(c).alias(f"c{k}") for k, c in enumerate(carried)),
+        F.col(text_col).alias("text"),
     )
 
     def search(block):
@@ -193,28 +205,13 @@ def find_leaks(
                     ids[o].append(index.items[i])
                     n[o] += 1
                     best[o] = e if best[o] is None else min(best[o], e)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "uid": part.column("uid"),
-                        "doc_id": part.column("doc_id"),
-                        "item_ids": [sorted(set(x), key=lambda v: (v is None, v)) for x in ids],
-                        "n_windows": pa.array(n, pa.int32()),
-                        "least_edits": pa.array(best, pa.int32()),
-                    },
-                    schema=arrow,
-                )
+                columns = [part.column(k) for k in range(2 + len(carried))]
+                columns.append(pa.array([sorted(set(x), key=lambda v: (v is None, v)) for x in ids], item_arrow))
+                columns += [pa.array(n, pa.int32()), pa.array(best, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
         return run
 
-    arrow = pa.schema(
-        [
-            ("uid", pa.int64()),
-            ("doc_id", _arrow(doc_type)),
-            ("item_ids", pa.list_(_arrow(item_type))),
-            ("n_windows", pa.int32()),
-            ("least_edits", pa.int32()),
-        ]
-    )
     broadcast = docs.sparkSession.sparkContext.broadcast
     found = [
         keyed.mapInArrow(search(broadcast(block)), schema)
@@ -223,24 +220,22 @@ def find_leaks(
     if not found:
         out = keyed.select(
             "doc_id",
-            F.array().cast(f"array<{item_type}>").alias("item_ids"),
+            *(F.col(f"c{k}").alias(c) for k, c in enumerate(carried)),
+            F.array().cast(T.ArrayType(item_type)).alias("item_ids"),
             F.lit(0).alias("n_windows"),
             F.lit(None).cast("int").alias("least_edits"),
         )
-    elif len(found) == 1:
-        out = found[0]
     else:
-        union = found[0]
+        out = found[0]
         for more in found[1:]:
-            union = union.unionByName(more)
-        out = union.groupBy("uid").agg(
-            F.first("doc_id").alias("doc_id"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-            F.sum("n_windows").cast("int").alias("n_windows"),
-            F.min("least_edits").alias("least_edits"),
-        )
-    return out.select("doc_id", (F.col("n_windows") > 0).alias("contaminated"), "item_ids", "n_windows", "least_edits")
-
-
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+            out = out.unionByName(more)
+        if len(found) > 1:
+            out = out.groupBy("_uid").agg(
+                *(F.first(c).alias(c) for c in ("doc_id", *carried)),
+                F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
+                F.sum("n_windows").cast("int").alias("n_windows"),
+                F.min("least_edits").alias("least_edits"),
+            )
+    return out.select(
+        "doc_id", *carried, (F.col("n_windows") > 0).alias("contaminated"), "item_ids", "n_windows", "least_edits"
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanstrata.llm.common import rows
 
@@ -203,14 +205,18 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score, accepted) of every row, from its whole text alone.
+def classify(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, columns to ``carry``, lang_pred, score, accepted) of every row, from its whole text alone.
 
     ``score`` is the calibrated probability of ``lang_pred``. A text that is null or has no letter is
     `und` with score 0. ``accepted`` is false for `und` and for scores under the model's least one.
-    Rows with equal or null ids are kept; other columns aren't read.
+    Rows with equal or null ids are kept; other columns aren't read, and a carried column of one of
+    these names gives way.
     """
-    doc_type = docs.schema[id_col].dataType.simpleString()
+    results = ["doc_id", "lang_pred", "score", "accepted"]
+    carried = [c for c in carry if c not in results]
 
     def run(batches):
         for part in rows(batches, "text", 2_000_000):
@@ -219,13 +225,21 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
+                    *(part.column(f"c{k}") for k in range(len(carried))),
                     pa.array(names, pa.string()),
                     pa.array(score),
                     pa.array((best >= 0) & (score >= model.least_score)),
                 ],
-                ["doc_id", "lang_pred", "score", "accepted"],
+                ["doc_id", *carried, "lang_pred", "score", "accepted"],
             )
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {doc_type}, lang_pred string, score double, accepted boolean"
+    given = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(text_col).alias("text"),
+        *(F.col(c).alias(f"c{k}") for k, c in enumerate(carried)),
     )
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType)])
+    for c in carried:
+        schema.add(c, docs.schema[c].dataType)
+    schema.add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
+    return given.mapInArrow(run, schema)

@@ -7,12 +7,11 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanstrata.llm.common import Sieve, rows, text_key, written
+from loanstrata.llm.common import Sieve, maybe_in, rows, text_key, written
 
 _GRAM = 16
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -447,16 +446,6 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _passing(df: DataFrame, sieve: Sieve) -> DataFrame:
-    """``df`` with the column maybe: does the sieve let the key pass?"""
-
-    @F.pandas_udf("boolean")
-    def passes(a: pd.Series) -> pd.Series:
-        return pd.Series(sieve.passes(a.to_numpy()))
-
-    return df.withColumn("maybe", passes("a"))
-
-
 def _repeated_spans(texts: DataFrame, length: int, crowd: int, run_bytes: int) -> DataFrame:
     """(a, b, low, high) of the bytes of distinct texts that windows with another start cover."""
     spark = texts.sparkSession
@@ -531,12 +520,9 @@ def repeats(
     copies = written(
         documents.filter(F.col("n_bytes") >= length).groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     )
-    long = _passing(keyed.filter(F.col("n_bytes") >= length).select("a", "b", "data"), Sieve(copies, "a"))
-    texts = written(
-        long.filter(~F.col("maybe")).drop("maybe").unionByName(
-            long.filter("maybe").groupBy("a", "b").agg(F.any_value("data").alias("data"))
-        )
-    )
+    long = keyed.filter(F.col("n_bytes") >= length).select("a", "b", "data")
+    some, single = maybe_in(long, copies, ["a", "b"])
+    texts = written(single.unionByName(some.groupBy("a", "b").agg(F.any_value("data").alias("data"))))
     found = _repeated_spans(texts, length, crowd, run_bytes)
 
     def joined(batches):
@@ -577,9 +563,7 @@ def kept_digests(docs: DataFrame, length: int = 400, crowd: int = 1024, id_col:
 def cut_texts(docs: DataFrame, copies: DataFrame, spans: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(a, b, kept, n_removed, n_spans) of the texts that lose some bytes but aren't copies, by `repeats`."""
     some = spans.join(copies, ["a", "b"], "left_anti")
-    texts = _passing(
-        _keyed(docs, id_col, text_col).filter(F.col("n_bytes") >= length).select("a", "b", "data"), Sieve(spans, "a")
-    ).filter("maybe")
+    texts, _ = maybe_in(_keyed(docs, id_col, text_col).select("a", "b", "data"), some, ["a", "b"])
 
     def cut(batches):
         for part in rows(batches, "data"):
