@@ -33,6 +33,41 @@ def _best_fit(lengths: np.ndarray, items: np.ndarray, genome: np.ndarray, bins:
     return bins
 
 
+def _exchange(lengths: np.ndarray, displaced: np.ndarray, genome: np.ndarray, bins: int, capacity: int) -> np.ndarray:
+    """Trade one or two documents of a bin for a longer displaced one where the bin gets fuller by it:
+    what is left over is shorter and easier to place. Returns the documents displaced now."""
+    if not bins or not len(displaced):
+        return displaced
+    size = lengths.tolist()
+    out = sorted((size[i], i) for i in displaced.tolist())
+    members: list[list[int]] = [[] for _ in range(bins)]
+    for i in np.flatnonzero(genome >= 0).tolist():
+        members[genome[i]].append(i)
+    for b, own in enumerate(members):
+        slack = capacity - sum(size[i] for i in own)
+        while slack > 0:
+            best = None
+            for k, i in enumerate(own):
+                # this one, or this one and another, for a longer one that is displaced
+                for leave in ([i], *([i, j] for j in own[:k])):
+                    now = sum(size[x] for x in leave)
+                    at = bisect_left(out, (now + slack + 1, -1)) - 1
+                    if at >= 0 and out[at][0] > now and (best is None or out[at][0] - now > best[0]):
+                        best = (out[at][0] - now, leave, at)
+            if best is None:
+                break
+            gain, leave, at = best
+            _, i = out.pop(at)
+            genome[i] = b
+            own.append(i)
+            for i in leave:
+                genome[i] = -1
+                own.remove(i)
+                insort(out, (size[i], i))
+            slack -= gain
+    return np.array([i for _, i in out], np.int64)
+
+
 def _renumbered(genome: np.ndarray) -> np.ndarray:
     return np.unique(genome, return_inverse=True)[1].astype(np.int32)
 
@@ -61,7 +96,9 @@ def _offspring(lengths, mother, father, capacity, rng) -> np.ndarray:
     displaced = np.flatnonzero(child < 0)
     stay = child >= 0
     child[stay] = np.unique(child[stay], return_inverse=True)[1]
-    _best_fit(lengths, displaced, child, int(child.max()) + 1 if stay.any() else 0, capacity)
+    bins = int(child.max()) + 1 if stay.any() else 0
+    displaced = _exchange(lengths, displaced, child, bins, capacity)
+    _best_fit(lengths, displaced, child, bins, capacity)
     return _renumbered(child)
 
 
@@ -97,11 +134,11 @@ def _evolve(lengths, genomes, capacity, generations, rng) -> list[np.ndarray]:
 def pack(
     items: DataFrame,
     capacity: int,
-    block: int = 2048,
+    block: int = 4096,
     islands: int = 2,
     population: int = 4,
     epochs: int = 2,
-    generations: int = 8,
+    generations: int = 4,
     seed: int = 0,
 ) -> DataFrame:
     """Pack rows of ``length`` into as few sequences of ``capacity`` as it can: adds sequence_id, offset.
@@ -156,8 +193,10 @@ def pack(
         return run
 
     state = partial.select("block", "uid", "length").groupBy("block").applyInPandas(settle, _STATE)
+    # a number of its own: these rows are few bytes and much work, which AQE would put into one task
+    tasks = min(blocks * islands, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     for number in range(epochs):
-        state = written(state.repartition(F.col("block"), F.col("island")).mapInPandas(epoch(number), _STATE))
+        state = written(state.repartition(tasks, "block", "island").mapInPandas(epoch(number), _STATE))
         if number + 1 < epochs:
             elites = state.select(
                 "block", F.pmod(F.col("island") + 1, F.lit(islands)).alias("island"), F.col("immigrant").alias("elite")
