@@ -47,7 +47,7 @@ def learn(sample: np.ndarray, longest: float, total: int, k: int, share: float,
     full = np.c_[unit, np.sqrt(np.maximum(0, 1 - (unit * unit).sum(1)))]
     mean = full.mean(0)
     rng = np.random.default_rng(seed)
-    _, _, axes = np.linalg.svd(np.cov(full - mean, rowvar=False), hermitian=True)
+    _, _, axes = np.linalg.svd((full - mean).T @ (full - mean), hermitian=True)
     axes = axes[: min(_BITS, full.shape[1])].T
     shown = (full - mean) @ axes
     rotation = np.linalg.qr(rng.normal(size=(axes.shape[1],) * 2))[0]

@@ -102,8 +102,9 @@ def maybe_in(df: DataFrame, table: DataFrame, key: list[str]) -> tuple[DataFrame
     def passes(hashes: pd.Series) -> pd.Series:
         return pd.Series(sieve.passes(hashes.to_numpy()))
 
-    marked = df.withColumn("_maybe", passes(h))
-    return marked.filter("_maybe").drop("_maybe"), marked.filter(~F.col("_maybe")).drop("_maybe")
+    # the row in a struct, so that no column of its own can clash
+    marked = df.select(F.struct(*df.columns).alias("row"), passes(h).alias("maybe"))
+    return marked.filter("maybe").select("row.*"), marked.filter(~F.col("maybe")).select("row.*")
 
 
 def without(df: DataFrame, table: DataFrame, key: str) -> DataFrame:

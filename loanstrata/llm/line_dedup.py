@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanstrata.llm.common import Sieve, rows, text_key, written
+from loanstrata.llm.common import Sieve, maybe_in, rows, text_key, written
 
 _DIGIT = re.compile(rb"[0-9]")
 _ANY = b"<*>"
@@ -161,20 +161,21 @@ def drop_recurring_lines(
     look is told by a bitmap of fixed size.
     """
     drops = written(dropped_lines(docs, depth, recur, similarity, id_col, text_col))
-    lines = F.split(F.col(text_col), "\n", -1)
-    out = docs.withColumn("_key", text_key(text_col)).withColumns({"_a": F.col("_key.a"), "_b": F.col("_key.b")})
-    out = out.join(
-        drops.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("drop").alias("_drop")), ["_a", "_b"], "left"
+    # the row in a struct, so that no column of its own can clash
+    keyed = docs.select(text_key(text_col).alias("key"), F.struct(*docs.columns).alias("doc"))
+    some, others = maybe_in(keyed.select("key.a", "key.b", "doc"), drops, ["a", "b"])
+    out = some.join(drops, ["a", "b"], "left").select("doc", "drop").unionByName(
+        others.select("doc", F.lit(None).cast("array<int>").alias("drop"))
     )
-    kept = F.filter(lines, lambda line, i: ~F.array_contains("_drop", i))
+    text = F.col("doc").getField(text_col)
+    lines = F.split(text, "\n", -1)
+    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("drop", i)), "\n")
     return out.select(
         *[
-            F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(text_col)
-            if c == text_col
-            else F.col(c)
+            (F.when(F.col("drop").isNull(), text).otherwise(kept) if c == text_col else F.col("doc").getField(c)).alias(c)
             for c in docs.columns
             if c not in ("n_lines", "n_dropped")
         ],
         F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
-        F.coalesce(F.size("_drop"), F.lit(0)).alias("n_dropped"),
+        F.coalesce(F.size("drop"), F.lit(0)).alias("n_dropped"),
     )

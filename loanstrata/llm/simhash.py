@@ -118,7 +118,7 @@ def thresholds(costs: list[list[float]], distance: int) -> tuple[float, list[int
     return best[distance + 1]
 
 
-def _layout(fps: DataFrame, distance: int, total: int) -> tuple[list[list[int]], list[int], dict[int, np.ndarray]]:
+def _layout(fps: DataFrame, distance: int, total: int, crowd: int) -> tuple[list[list[int]], list[int], dict[int, np.ndarray]]:
     """The parts, their thresholds, and per part the values that too many fingerprints have.
 
     Candidates are estimated over all fingerprints: pairs of equal values exactly from the counts of
@@ -140,8 +140,8 @@ def _layout(fps: DataFrame, distance: int, total: int) -> tuple[list[list[int]],
     counts = fps.select("fp").mapInArrow(run, "part int, value long, n long").groupBy("part", "value").agg(
         F.sum("n").alias("n")
     )
-    # at most 1000 values of a part can pass this, whatever the data
-    heavy = max(1024, total // 1000)
+    # few values of a part can pass this, whatever the data
+    heavy = max(crowd, total // 1000)
     found = counts.groupBy("part").agg(
         F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"),
         F.collect_list(F.when(F.col("n") > heavy, F.col("value"))).alias("heavy"),
@@ -304,19 +304,21 @@ def _ramp(n: np.ndarray) -> np.ndarray:
     return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
-def similar_links(fps: DataFrame, distance: int) -> DataFrame:
+def similar_links(fps: DataFrame, distance: int, crowd: int = 1024) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of ``fps.fp`` at most ``distance`` bits apart.
 
     ``fps`` holds distinct fingerprints. The 64 bits are grouped into parts; part i has a threshold t_i
     with sum(t_i + 1) = distance + 1, so a pair within ``distance`` is within t_i in some part. Number
     of parts and thresholds are the cheapest by the estimated candidates. All rows that share a part's
     value, or come to it by t_i changed bits, meet in one group and are compared over all 64 bits.
-    Within a group of many the links form stars, so that copies don't give a row for every pair.
+    Values that more than ``crowd`` fingerprints (and a thousandth of all) have are dealt once more by
+    other bits. Within a group of many the links form stars, so that copies don't give a row for every
+    pair.
     """
     total = fps.count()
     if not total:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
-    layout, chosen, heavy = _layout(fps, distance, total)
+    layout, chosen, heavy = _layout(fps, distance, total, crowd)
     signatures = fps.select("fp").mapInArrow(
         _signatures(layout, chosen, heavy, distance), "part byte, value long, sub long, fp long, probe boolean"
     )

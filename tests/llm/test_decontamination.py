@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+from helpers import by_id, documents, table
+
+from loanstrata.llm.decontamination import Index, find_leaks, normalised
+
+
+def least_edits(pattern, text):
+    """Edits of the whole pattern against the best region of the text, by the plain table."""
+    row = np.zeros(len(text) + 1, int)
+    for i, c in enumerate(pattern, 1):
+        new = np.empty_like(row)
+        new[0] = i
+        for j in range(1, len(text) + 1):
+            new[j] = min(row[j - 1] + (text[j - 1] != c), row[j] + 1, new[j - 1] + 1)
+        row = new
+    return int(row.min())
+
+
+def edited(rng, text, n):
+    text = list(text)
+    for _ in range(n):
+        k, kind = rng.randrange(len(text)), rng.randrange(3)
+        text[k : k + 1] = [["x"], ["y", text[k]], []][kind]
+    return "".join(text)
+
+
+def test_against_the_plain_table():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdeß ", k=rng.randint(2, 9))) for _ in range(60)]
+    items = [(i, " ".join(rng.choices(words, k=n))) for i, n in enumerate([4, 5, 8, 20, 30])]
+    items.append((9, "ababababab" * 8))
+    index = Index([(i, normalised(t)) for i, t in items], 60, 0.1, 6)
+    texts = ["", "ab" * 300]
+    for _ in range(30):
+        _, t = rng.choice(items)
+        k = rng.randrange(0, max(1, len(t) // 2))
+        middle = edited(rng, t[k:], rng.randint(0, 12))
+        texts.append(" ".join(rng.choices(words, k=6)) + middle + " ".join(rng.choices(words, k=6)))
+    codes = [normalised(t) for t in texts]
+    owner, item, edits = index.matches(codes)
+    found = {(o, i) for o, i in zip(owner.tolist(), item.tolist(), strict=True)}
+    wanted, best = set(), {}
+    for o, text in enumerate(codes):
+        for w in range(len(index.codes)):
+            e = least_edits(index.codes[w].tolist(), text.tolist())
+            if e <= index.edits[w]:
+                wanted.add((o, int(index.item[w])))
+                key = (o, int(index.item[w]))
+                best[key] = min(best.get(key, 99), e)
+    assert found == wanted and len(wanted) > 10
+    got = {}
+    for o, i, e in zip(owner.tolist(), item.tolist(), edits.tolist(), strict=True):
+        got[o, i] = min(got.get((o, i), 99), e)
+    assert got == best
+
+
+def test_planted_passages_and_blocks(spark):
+    docs, benchmark = table(spark, "documents"), table(spark, "benchmark")
+    items = [(r.item_id, " ".join(r.text.lower().split())) for r in benchmark.collect()]
+    plain = {r.doc_id: sorted(i for i, t in items if t in " ".join((r.text or "").lower().split())) for r in docs.collect()}
+    one = by_id(find_leaks(docs, benchmark))
+    assert all(set(plain[d]) <= set(r.item_ids) for d, r in one.items())
+    assert {d for d, r in one.items() if r.contaminated} == {d for d, p in plain.items() if p}
+    assert by_id(find_leaks(docs, benchmark, block_chars=500)) == one
+
+
+def test_clean_and_edited(spark):
+    passage = "an unusual passage of some length that a benchmark asks about and that nobody writes twice by accident at all"
+    benchmark = documents(spark, [(7, passage)]).withColumnRenamed("doc_id", "item_id")
+    texts = [passage.upper(), passage.replace("benchmark", "test"), "the " * 200, passage[:40], "x" * 500 + passage[5:] + "y" * 500]
+    found = by_id(find_leaks(documents(spark, enumerate(texts)), benchmark))
+    assert [found[i].contaminated for i in range(5)] == [True, True, False, False, True]

@@ -1,0 +1,153 @@
+"""Nulls, empty and long texts, repeated rows, clashing columns and empty tables, for every operator."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+from helpers import CLASHES, LONG, ROWS, edge_documents
+
+from loanstrata.llm import queries as q
+from loanstrata.llm.ann import nearest
+from loanstrata.llm.common import written
+from loanstrata.llm.decontamination import find_leaks
+from loanstrata.llm.language_id import classify, fit
+from loanstrata.llm.line_dedup import drop_recurring_lines
+from loanstrata.llm.sharding import shard
+from loanstrata.llm.simhash import near_duplicates
+from loanstrata.llm.suffix_dedup import kept_digests
+from loanstrata.llm.token_output import pack_tokens
+from loanstrata.llm.tokens import pieces
+from loanstrata.llm.url_filters import filter_urls, rule_table
+
+IDS = Counter(r[0] for r in ROWS)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return written(edge_documents(spark))
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return written(edge_documents(spark).limit(0))
+
+
+def ids(rows):
+    return Counter(r.doc_id for r in rows)
+
+
+def test_url_filters(spark):
+    schema = "page_id long, url string, " + ", ".join(f"{c} string" for c in CLASHES)
+    urls = [(1, "http://a.com"), (1, "http://a.com"), (2, None), (None, "x"), (3, ""), (4, "://?"), (5, "a://b.com/" + "x/" * 5000)]
+    pages = spark.createDataFrame([(*u, *["clash"] * len(CLASHES)) for u in urls], schema)
+    rules = rule_table(spark, [("block", "com/")])
+    out = filter_urls(pages, rules).collect()
+    assert Counter(r.page_id for r in out) == Counter(u[0] for u in urls)
+    assert {r.page_id: r.verdict for r in out} == {1: "allow", 2: "allow", None: "allow", 3: "allow", 4: "allow", 5: "block"}
+    assert {(r.host, r.path) for r in out if r.page_id in (2, None, 3, 4)} == {("", "")}
+    assert filter_urls(pages.limit(0), rules).collect() == []
+    assert {r.rule for r in filter_urls(pages, rules.limit(0)).collect()} == {None}
+
+
+def test_language_id(docs, none):
+    out = classify(docs, fit(docs), carry=["score", "source", "a"])
+    assert out.columns == ["doc_id", "source", "a", "lang_pred", "score", "accepted"]
+    rows = out.collect()
+    assert ids(rows) == IDS
+    assert {r.doc_id for r in rows if r.lang_pred == "und"} == {3, 4, 5, None}
+    assert all(0 <= r.score <= 1 and (r.lang_pred != "und" or not r.accepted) for r in rows)
+    assert classify(none, fit(none)).collect() == []
+    assert {r.lang_pred for r in classify(docs, fit(none)).collect()} == {"und"}
+
+
+def test_decontamination(spark, docs, none):
+    benchmark = spark.createDataFrame(
+        [(1, "THE quick brown  fox jumps over the lazy dog"), (2, None), (3, ""), (None, "word1 und der 1 word2 und der 2"), (4, "fox")],
+        "item_id long, text string",
+    )
+    out = find_leaks(docs, benchmark, carry=["source", "item_ids"])
+    rows = out.collect()
+    assert ids(rows) == IDS
+    assert {r.doc_id: r.item_ids for r in rows if r.contaminated} == {1: [1], 2: [1], 6: [None], 7: [None]}
+    assert find_leaks(none, benchmark).collect() == []
+    assert not any(r.contaminated for r in find_leaks(docs, benchmark.limit(0)).collect())
+
+
+def test_line_dedup(docs, none):
+    rows = drop_recurring_lines(docs, recur=2).collect()
+    assert ids(rows) == IDS
+    # equal texts are one: nothing recurs in two texts
+    assert all(r.n_dropped == 0 for r in rows)
+    assert {(r.text is None, r.n_lines) for r in rows if r.doc_id in (3, 4)} == {(True, 0), (False, 1)}
+    assert drop_recurring_lines(none).collect() == []
+
+
+def test_token_output_and_packing(docs, none):
+    rows = pack_tokens(docs, q.vocabulary(), 2048, end_id=0).collect()
+    firsts = Counter(d for r in rows for d, s in zip(r.doc_ids, r.starts, strict=True) if s == 0)
+    assert firsts == IDS
+    rows = pack_tokens(docs, q.vocabulary(), 2048).collect()
+    assert {d for r in rows for d in r.doc_ids} == {1, 2, 5, 6, 7, None}
+    assert pack_tokens(none, q.vocabulary(), 2048).collect() == []
+    rows = q.packed_documents(docs).collect()
+    assert Counter(r.doc_id for r in rows if r.start == 0) == IDS
+    assert q.packed_documents(none).collect() == []
+    assert pieces(none, q.vocabulary(), 8).collect() == []
+
+
+def test_simhash(docs, none):
+    rows = near_duplicates(docs).collect()
+    assert ids(rows) == IDS
+    component = {r.doc_id: r.component_id for r in rows}
+    assert component[1] == component[2] == 1 and component[3] == component[4] == component[None] == 3
+    assert {r.fp for r in rows if r.doc_id in (3, 4, None)} == {0}
+    assert near_duplicates(none).collect() == []
+
+
+def test_suffix_dedup(docs, none):
+    rows = kept_digests(docs).collect()
+    assert ids(rows) == IDS
+    removed = {r.doc_id: (r.n_removed, r.n_spans) for r in rows}
+    assert removed[1] == removed[2] == removed[3] == removed[4] == (0, 0)
+    assert removed[6] == (len(LONG), 1) and removed[7] == (len(LONG), 1)
+    assert kept_digests(none).collect() == []
+
+
+def test_sharding(docs, none):
+    rows = shard(docs, 4).collect()
+    assert ids(rows) == IDS
+    assert sorted(Counter(r.shard for r in rows).values()) == [2, 2, 3, 3]
+    assert {(r.size, r.text_crc32) for r in rows if r.doc_id in (3, 4)} == {(16, 0)}
+    assert shard(none, 4).collect() == []
+
+
+def test_ann(spark):
+    bad = [None, [0.0, 0.0], [None, 1.0], [float("nan"), 1.0], [float("inf"), 1.0], [], [1.0, 2.0, 3.0]]
+    good = [(i, [1.0, float(i)]) for i in (0, 0, 1, 2, 3, 20, 21)] + [(None, [1.0, 1.0])]
+    rows = [(*r, "clash", "clash") for r in [*good, *[(40 + i, v) for i, v in enumerate(bad)]]]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string, rank string")
+    out = nearest(vectors, every=20, k=3).collect()
+    found = {}
+    for r in sorted(out, key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert found == {0: [(1, 1.0), (2, 1.0), (3, 1.0)], 20: [(21, 421.0), (3, 61.0), (2, 41.0)]}
+    assert nearest(vectors.limit(0)).collect() == []
+    assert nearest(vectors.filter("vec_id = 20")).collect() == []
+
+
+def test_pipeline_stages(spark, docs, none, tmp_path):
+    spark.createDataFrame([(1, "nothing that any of the documents holds in it")], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    for given in (docs, none):
+        for name, stage in corpus_pipeline.STAGES:
+            out = written(stage(spark, given, str(tmp_path)))
+            if name == "best-fit packing":
+                assert set(out.columns) >= {"doc_id", "piece", "sequence_id", "offset"}
+            else:
+                assert out.columns == corpus_pipeline.COLUMNS
+            if name == "SimHash near-dedup" and given is docs:
+                # one of the three equal texts, the least of the empty ones, the others
+                assert sorted(r.doc_id or 0 for r in out.collect())[:2] == [0, 1]

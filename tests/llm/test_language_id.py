@@ -1,0 +1,28 @@
+from __future__ import annotations
+
+from helpers import table
+
+from loanstrata.llm.language_id import classify, fit, held_out
+from pyspark.sql import functions as F
+
+
+def test_held_out_accuracy_and_rejection(spark):
+    docs = table(spark, "documents", "/root/testdata/sf0.01")
+    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+    found = classify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").filter(held_out(F.col("doc_id")))
+    rows = found.collect()
+    assert len(rows) > 200
+    assert sum(r.lang == r.lang_pred for r in rows) >= 0.98 * len(rows)
+    assert sum(r.accepted for r in rows) >= 0.99 * len(rows)
+    # scores are probabilities: as many are right as they say, within a few hundredths
+    assert abs(sum(r.score for r in rows) / len(rows) - sum(r.lang == r.lang_pred for r in rows) / len(rows)) < 0.03
+    # a text of no language gets no certain label
+    best, score = model.predict(["", "123", "the of and", "qqqq xxxx zzzz jjjj"])
+    assert best[:2].tolist() == [-1, -1] and score[:2].tolist() == [0, 0]
+    assert model.labels[best[2]] == "en"
+
+
+def test_same_model_twice(spark):
+    docs = table(spark, "documents")
+    one, two = fit(docs, epochs=1), fit(docs.repartition(5), epochs=1)
+    assert one.labels == two.labels and (one.table == two.table).all() and one.least_score == two.least_score

@@ -1,0 +1,39 @@
+from __future__ import annotations
+
+import pytest
+from helpers import SF, by_id, documents
+from oracle import connect, differences
+
+from loanstrata.llm.line_dedup import drop_recurring_lines
+from loanstrata.llm.oracle import LLM_ORACLE
+from loanstrata.llm.queries import LLM_QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(LLM_ORACLE))
+def test_sql(spark, name):
+    assert differences(LLM_QUERIES[name](spark, SF), connect(SF), LLM_ORACLE[name]) is None
+
+
+def test_variable_fields(spark):
+    """A day is a variable field by its digits, a name because each is rare; the first text keeps its line."""
+    names = ["ann", "bob", "cat", "dan", "eve", "fay"]
+    rows = [(i, f"{n} has a text alone\nposted on 2024-0{i + 1}-01 by user {n} from home today") for i, n in enumerate(names)]
+    rows.append((90, "posted on 2024-01-01 with other words at the end alone"))
+    out = by_id(drop_recurring_lines(documents(spark, rows), recur=5, similarity=0.7))
+    assert out[0].n_dropped == 0 and out[0].text == rows[0][1]
+    assert all(out[i].text == f"{names[i]} has a text alone" for i in range(1, 6))
+    assert out[90].n_dropped == 0
+
+
+def test_too_few_fixed_tokens(spark):
+    """Lines that share only their lead are no template."""
+    rows = [(i, f"we saw the {'abcdefgh'[i] * 3} and {'abcdefgh'[i] * 4} {'abcdefgh'[i] * 5} {'abcdefgh'[i] * 6} {'abcdefgh'[i] * 7}") for i in range(8)]
+    assert all(r.n_dropped == 0 for r in drop_recurring_lines(documents(spark, rows), recur=5).collect())
+
+
+def test_copies_are_treated_alike(spark):
+    rows = [(i, "a licence line that recurs\nbody of text") for i in range(4)]
+    rows += [(10 + i, f"a licence line that recurs\nbody of {'xyzuvw'[i] * 4} alone") for i in range(6)]
+    out = by_id(drop_recurring_lines(documents(spark, rows), recur=5))
+    assert all(out[i].n_dropped == 0 for i in range(4))
+    assert all(out[10 + i].n_dropped == 1 for i in range(6))
