@@ -6,6 +6,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -47,6 +48,7 @@ def main() -> None:
         .master(f"local[{cpus}]")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="loanstrata-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -79,7 +79,7 @@ raw_financials AS (
     {_txt('o_totalprice')} || CASE WHEN o_custkey % 6 = 0 THEN '_' ELSE '' END AS annual_income,
     CASE WHEN l_linenumber = 3 THEN '' ELSE {_txt('c_acctbal')} END AS monthly_inhand_salary,
     l_linenumber || '.0.5' AS interest_rate,
-    CASE WHEN l_linenumber = 2 THEN '_' ELSE {_txt('l_discount')} END AS changed_credit_limit,
+    CASE l_linenumber WHEN 2 THEN '_' WHEN 6 THEN '1.5e6' ELSE {_txt('l_discount')} END AS changed_credit_limit,
     {_txt('l_extendedprice')} || CASE WHEN l_returnflag = 'R' THEN '_' ELSE '' END AS outstanding_debt,
     {_txt('p_retailprice')} AS credit_utilization_ratio,
     CASE WHEN l_linestatus = 'F' AND l_linenumber = 4
@@ -125,7 +125,8 @@ kept_{name} AS (
 
 def _number(c: str) -> str:
     first = rf"regexp_extract(regexp_replace({c}, '[^0-9.\-]', '', 'g'), '-?[0-9]*\.?[0-9]+')"
-    return f"coalesce(TRY_CAST({first} AS DOUBLE), 0.0::DOUBLE)"
+    whole = rf"regexp_full_match({c}, '-?[0-9]*\.?[0-9]+(e[+-]?[0-9]+)?')"
+    return f"coalesce(TRY_CAST(CASE WHEN {whole} THEN {c} ELSE {first} END AS DOUBLE), 0.0::DOUBLE)"
 
 
 def _integer(c: str) -> str:
@@ -170,11 +171,11 @@ typed_lms AS (
   FROM kept_lms),
 missed_lms AS (
   SELECT *, installment_num AS mob,
-    coalesce(CAST(ceil(overdue_amt / nullif(due_amt, 0)) AS INTEGER), 0) AS installments_missed
+    coalesce(CAST(ceil(overdue_amt / nullif(due_amt, 0)) AS BIGINT), 0) AS installments_missed
   FROM typed_lms),
 dated_lms AS (
   SELECT *, CASE WHEN installments_missed > 0
-    THEN CAST(snapshot_date - to_months(installments_missed) AS DATE) END AS first_missed_date
+    THEN CAST(snapshot_date - to_months(CAST(installments_missed AS INTEGER)) AS DATE) END AS first_missed_date
   FROM missed_lms),
 silver_lms AS (
   SELECT *, CASE WHEN overdue_amt > 0
@@ -253,7 +254,7 @@ f_lms AS (
 
 LABELS = """
 label_store AS (
-  SELECT loan_id, customer_id, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label,
+  SELECT loan_id, customer_id, CASE WHEN coalesce(dpd >= 30, installments_missed > 0) THEN 1 ELSE 0 END AS label,
     '30dpd_6mob' AS label_def, snapshot_date
   FROM silver_lms WHERE mob = 6)"""
 
@@ -282,14 +283,13 @@ per_customer AS (
 
 SKIP_STORE = f"""
 needed AS (
-  SELECT snapshot_date, max(c) > 0 AS c, max(a) > 0 AS a, max(f) > 0 AS f, max(l) > 0 AS l
+  SELECT snapshot_date, max(c) > 0 AS c, max(l) > 0 AS l
   FROM per_customer GROUP BY snapshot_date),
 skip_store AS (
   SELECT {FEATURE_COLUMNS}
   FROM (SELECT p.snapshot_date, p.customer_id FROM per_customer p JOIN needed n
           ON p.snapshot_date = n.snapshot_date
-        WHERE (p.c > 0 OR NOT n.c) AND (p.a > 0 OR NOT n.a) AND (p.f > 0 OR NOT n.f)
-          AND (p.l > 0 OR NOT n.l))
+        WHERE (p.c > 0 OR NOT n.c) AND p.a > 0 AND p.f > 0 AND (p.l > 0 OR NOT n.l))
     LEFT JOIN f_clickstream USING (customer_id, snapshot_date)
     LEFT JOIN f_attributes USING (customer_id, snapshot_date)
     LEFT JOIN f_financials USING (customer_id, snapshot_date)
@@ -297,7 +297,7 @@ skip_store AS (
 
 OBSERVATIONS = f"""
 obs AS (
-  SELECT *, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS dpd_flag
+  SELECT *, CASE WHEN coalesce(dpd >= 30, installments_missed > 0) THEN 1 ELSE 0 END AS dpd_flag
   FROM silver_lms WHERE loan_start_date < DATE '{STARTED_BEFORE}')"""
 
 _RAW = {
@@ -382,10 +382,18 @@ FROM (SELECT CAST(unnest(range({bins})) AS INTEGER) AS bin) b,
     )
 
 
-JOIN_STEPS = [("attributes", "c", "a"), ("financials", "c*a", "f"), ("lms", "c*a*f", "l")]
+# Clickstream or loans without a row in the snapshot take no part: no step, and a factor of one.
+JOIN_STEPS = [
+    ("attributes", "x", "a", "sum(c) > 0"),
+    ("financials", "x*a", "f", "TRUE"),
+    ("lms", "x*a*f", "l", "sum(l) > 0"),
+]
+CHAIN = """
+chain AS (
+  SELECT *, CASE WHEN sum(c) OVER (PARTITION BY snapshot_date) > 0 THEN c ELSE 1 END AS x FROM per_customer)"""
 
 
-def _audit_step(i: int, name: str, before: str, right: str) -> str:
+def _audit_step(i: int, name: str, before: str, right: str, having: str) -> str:
     after = f"{before}*{right}"
 
     def total(e: str) -> str:
@@ -397,7 +405,7 @@ def _audit_step(i: int, name: str, before: str, right: str) -> str:
   {total(after)} AS rows_after, count(*) FILTER ({after} > 0) AS customers_after,
   greatest({total(before)} - {total(after)}, 0) AS rows_lost,
   {total(after)} > count(*) FILTER ({after} > 0) AS has_duplicates
-FROM per_customer GROUP BY snapshot_date"""
+FROM chain GROUP BY snapshot_date HAVING {having}"""
 
 
 AUDIT = "\nUNION ALL\n".join(
@@ -413,9 +421,17 @@ BRONZE_METRICS = "\nUNION ALL\n".join(
     for name in _RAW
 )
 LMS_METRICS = """SELECT 'silver' AS layer, 'lms' AS source, snapshot_date, metric, value FROM (
-  SELECT snapshot_date, count(*) FILTER (mob = 6) AS at_mob, count(*) FILTER (dpd IS NULL) AS unknown
+  SELECT snapshot_date, count(*) FILTER (mob = 6) AS at_mob,
+    count(*) FILTER (dpd IS NULL AND installments_missed = 0) AS unknown,
+    count(*) FILTER (dpd IS NULL AND installments_missed > 0) AS beyond
   FROM silver_lms GROUP BY snapshot_date) t,
-  LATERAL (VALUES ('rows_at_mob', at_mob), ('dpd_unknown', unknown)) v(metric, value)"""
+  LATERAL (VALUES ('rows_at_mob', at_mob), ('dpd_unknown', unknown), ('dpd_out_of_range', beyond)) v(metric, value)"""
+YEAR = "BETWEEN DATE '1997-01-01' AND DATE '1997-12-01'"
+OFF_CALENDAR = "\nUNION ALL\n".join(
+    f"""SELECT 'bronze', '{name}', snapshot_date, 'rows_off_calendar',
+  count(*) FILTER (snapshot_date NOT {YEAR}) FROM normal_{name} GROUP BY snapshot_date"""
+    for name in _RAW
+)
 
 BACKFILL_LABELS = _silver_sql("lms", "SELECT * FROM label_store", LABELS)
 
@@ -485,8 +501,11 @@ FROM (SELECT customer_id, {LOANS} AS loans FROM normal_financials)""",
     "feature_store": _all_silver_sql(
         "SELECT * FROM skip_store", *FEATURE_PARTS, KEY_ROWS, SKIP_STORE
     ),
+    "feature_store_mob8": _all_silver_sql(
+        "SELECT * FROM skip_store", *(p.replace("mob = 6", "mob = 8") for p in (*FEATURE_PARTS, KEY_ROWS, SKIP_STORE))
+    ),
     "feature_store_strict": _all_silver_sql("SELECT * FROM inner_store", *FEATURE_PARTS, INNER_STORE),
-    "join_audit": _all_silver_sql(AUDIT, KEY_ROWS),
+    "join_audit": _all_silver_sql(AUDIT, KEY_ROWS, CHAIN),
     "source_coverage": _all_silver_sql(
         """SELECT snapshot_date, count(*) FILTER (c > 0) AS customers_clickstream,
   count(*) FILTER (a > 0) AS customers_attributes, count(*) FILTER (f > 0) AS customers_financials,
@@ -549,5 +568,23 @@ UNION ALL SELECT 'feature_store', count(*), count(DISTINCT customer_id) FROM inn
     "backfill_feature_store": _all_silver_sql(
         "SELECT * FROM skip_store", *FEATURE_PARTS, KEY_ROWS, SKIP_STORE
     ),
-    "csv_export": _silver_sql("lms", f"SELECT {', '.join(LMS)} FROM silver_lms"),
+    "widened_clickstream": _silver_sql(
+        "clickstream",
+        """SELECT customer_id, snapshot_date,
+  CASE WHEN snapshot_date <= DATE '1998-06-01' THEN (fe_1 + fe_2) / 2 ELSE (fe_1 + fe_2 + fe_3 + fe_4) / 4 END
+    AS clickstream_total_mean
+FROM (SELECT customer_id, snapshot_date, TRY_CAST(fe_1 AS DOUBLE) AS fe_1, TRY_CAST(fe_2 AS DOUBLE) AS fe_2,
+        TRY_CAST(fe_3 AS DOUBLE) AS fe_3, TRY_CAST(fe_4 AS DOUBLE) AS fe_4
+      FROM normal_clickstream
+      QUALIFY row_number() OVER (PARTITION BY customer_id, snapshot_date
+        ORDER BY fe_1 ASC NULLS FIRST, fe_2 ASC NULLS FIRST, fe_3 ASC NULLS FIRST, fe_4 ASC NULLS FIRST) = 1)""",
+    ),
+    "stored_run_metrics": _all_silver_sql(
+        f"{BRONZE_METRICS}\nUNION ALL\n{OFF_CALENDAR}\nUNION ALL\n"
+        f"SELECT * FROM ({LMS_METRICS}) WHERE snapshot_date {YEAR}"
+    ),
+    "csv_export": _silver_sql("lms", "SELECT * FROM silver_lms"),
+    "csv_export_clickstream": _silver_sql("clickstream", "SELECT * FROM silver_clickstream"),
+    "csv_export_attributes": _silver_sql("attributes", "SELECT * FROM silver_attributes"),
+    "csv_export_financials": _silver_sql("financials", "SELECT * FROM silver_financials"),
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -16,8 +15,8 @@ from loanstrata.operators.merge import inner_merge, join_audit, source_coverage
 from loanstrata.operators.normalize import normalize_names, normalize_strings
 from loanstrata.plans import backfill, delinquency, gold, quality, silver
 from loanstrata.plans.bronze import bronze_rows, dated
-from loanstrata.schemas import FINANCIAL_INTEGERS, FINANCIAL_NUMBERS, LMS_TYPES, SOURCES, ddl
-from loanstrata.sources.lake import Lake, export_csv
+from loanstrata.schemas import FINANCIAL_INTEGERS, FINANCIAL_NUMBERS, SOURCES
+from loanstrata.sources.lake import Lake, export_csv, read_export
 from loanstrata.sources.raw import read_raw
 
 DPD, MOB = 30, 6
@@ -49,9 +48,9 @@ def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder below the shared one the cluster names, or a local one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or tempfile.mkdtemp(prefix='loanstrata-')}/run-{uuid.uuid4().hex}"
+    """A fresh folder that all executors share: below the session's checkpoint folder, or its warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
 # -- sources, calendar, bronze ---------------------------------------------------------------------
@@ -193,7 +192,7 @@ def backfill_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark)
     lake = Lake(spark, f"{root}/lake")
     raw = _raw_files(spark, sf_dir, root, list(SOURCES))
-    backfill.backfill(lake, raw, views.START, views.END, DPD, MOB)
+    backfill.backfill(lake, raw, *views.month_range(spark, sf_dir), DPD, MOB)
     return lake.read("gold", "feature_store")
 
 
@@ -202,7 +201,8 @@ def backfill_label_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark)
     lake = Lake(spark, f"{root}/lake")
     raw = _raw_files(spark, sf_dir, root, ["lms"])
-    for start, end in ((views.START, "1998-06-01"), ("1998-07-01", views.END)):
+    first, last = views.month_range(spark, sf_dir)
+    for start, end in ((first, "1998-06-01"), ("1998-07-01", last)):
         months = month_starts(start, end)
         backfill.load_bronze(lake, "lms", raw["lms"], months)
         backfill.load_silver(lake, "lms", months)
@@ -210,12 +210,41 @@ def backfill_label_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("gold", "label_store")
 
 
-def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned loan rows written as CSV and read back."""
-    path = f"{scratch(spark)}/export"
-    rows = _silver(spark, sf_dir, "lms").select(*LMS_TYPES)
-    export_csv(rows, path)
-    return spark.read.schema(ddl(LMS_TYPES)).option("header", True).csv(path)
+def widened_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs: until June 1998 the raw file has two features, then four; the means as stored tables give them."""
+    root = scratch(spark)
+    lake = Lake(spark, f"{root}/lake")
+    raw = _raw_files(spark, sf_dir, root, ["clickstream"])["clickstream"]
+    first, last = views.month_range(spark, sf_dir)
+    early, late = month_starts(first, "1998-06-01"), month_starts("1998-07-01", last)
+    backfill.load_bronze(lake, "clickstream", raw.drop("fe_3", "fe_4"), early)
+    backfill.load_bronze(lake, "clickstream", raw, late)
+    backfill.load_silver(lake, "clickstream", early + late)
+    return gold.features("clickstream", lake.read("silver", "clickstream"))
+
+
+def stored_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored report of a run over one year: all other rows are off its calendar."""
+    root = scratch(spark)
+    lake = Lake(spark, f"{root}/lake")
+    raw = views.raw_sources(spark, sf_dir)
+    months = month_starts("1997-01-01", "1997-12-01")
+    backfill.load_bronze(lake, "lms", raw["lms"], months)
+    backfill.load_silver(lake, "lms", months)
+    backfill.load_report(lake, raw, months, MOB)
+    return lake.read("quality", "run_metrics")
+
+
+def csv_export(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Cleaned rows of a source, all columns, written as CSV and read back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{scratch(spark)}/export"
+        rows = _silver(spark, sf_dir, name)
+        export_csv(rows, path)
+        return read_export(spark, path, rows.schema)
+
+    return query
 
 
 def _on_observations(report: Callable[[DataFrame], DataFrame]):
@@ -250,6 +279,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merged_features": merged_features,
     "feature_store": feature_store,
     "feature_store_strict": feature_store_strict,
+    "feature_store_mob8": lambda s, d: gold.feature_store(_all_silver(s, d), mob=8),
     "join_audit": lambda s, d: join_audit(feature_rows_by_source(s, d)),
     "source_coverage": lambda s, d: source_coverage(feature_rows_by_source(s, d)),
     "bad_rate_by_mob": _on_observations(delinquency.bad_rate_by_mob),
@@ -273,5 +303,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preview_top_rows": preview_top_rows,
     "backfill_label_store": backfill_label_store,
     "backfill_feature_store": backfill_feature_store,
-    "csv_export": csv_export,
+    "widened_clickstream": widened_clickstream,
+    "stored_run_metrics": stored_run_metrics,
+    "csv_export": csv_export("lms"),
+    "csv_export_clickstream": csv_export("clickstream"),
+    "csv_export_attributes": csv_export("attributes"),
+    "csv_export_financials": csv_export("financials"),
 }

@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The months the test tables cover; the flagship thresholds; a cut-off inside the range.
-START, END = "1995-01-01", "2002-03-01"
+# A cut-off inside the range of the test tables, and their last installment.
 STARTED_BEFORE = "2000-01-01"
 FINAL_INSTALLMENT = 7
 
@@ -18,6 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def month_range(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last month of the raw views, from the data."""
+    first = table(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("a"))
+    last = table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").alias("b"))
+    months = (_month("a").alias("a"), _month("b").alias("b"))
+    return first.select(months[0]).first().a, last.select(months[1]).first().b
+
+
 def _month(name: str) -> Column:
     return F.trunc(F.to_date(name), "MM").cast("string")
 
@@ -122,7 +129,10 @@ def raw_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
         marked(F.col("o_custkey") % 6 == 0, _text(F.col("o_totalprice"))).alias("Annual_Income"),
         F.when(line == 3, "").otherwise(_text(F.col("c_acctbal"))).alias("Monthly_Inhand_Salary"),
         F.concat(line_text, F.lit(".0.5")).alias("Interest_Rate"),
-        F.when(line == 2, "_").otherwise(_text(F.col("l_discount"))).alias("Changed_Credit_Limit"),
+        F.when(line == 2, "_")
+        .when(line == 6, F.concat(F.lit("1.5e"), line_text))
+        .otherwise(_text(F.col("l_discount")))
+        .alias("Changed_Credit_Limit"),
         marked(F.col("l_returnflag") == "R", _text(F.col("l_extendedprice"))).alias("Outstanding_Debt"),
         _text(F.col("p_retailprice")).alias("Credit_Utilization_Ratio"),
         F.when((F.col("l_linestatus") == "F") & (line == 4), F.concat_ws("-", quantity, quantity))

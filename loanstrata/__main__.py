@@ -6,9 +6,10 @@
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from loanstrata.functions.dates import month_starts
-from loanstrata.plans.backfill import backfill, load_report
+from loanstrata.plans.backfill import backfill, export_silver, load_analysis, load_report
 from loanstrata.plans.quality import store_summary
 from loanstrata.session import builder
 from loanstrata.sources.lake import Lake
@@ -27,13 +28,18 @@ def main() -> None:
     parser.add_argument("--months-per-job", type=int, help="clean the months in groups of this size")
     parser.add_argument("--shuffle-partitions", type=int, help="bytes a job shuffles / 128 MB")
     parser.add_argument("--report", action="store_true", help="also write run metrics and join audit")
+    parser.add_argument("--analysis", action="store_true", help="also write the delinquency tables")
+    parser.add_argument("--export", type=date.fromisoformat, help="also export this snapshot's cleaned tables")
     args = parser.parse_args()
 
     spark = builder(shuffle_partitions=args.shuffle_partitions).getOrCreate()
     lake = Lake(spark, args.lake)
+    raw = read_raw_sources(spark, args.raw)
+    if not raw:
+        parser.exit(1, f"no raw file found in {args.raw}\n")
     backfill(
         lake,
-        read_raw_sources(spark, args.raw),
+        raw,
         args.start,
         args.end,
         args.dpd,
@@ -42,10 +48,18 @@ def main() -> None:
         args.months_per_job,
     )
     if args.report:
-        load_report(lake, month_starts(args.start, args.end), args.mob)
+        load_report(lake, raw, month_starts(args.start, args.end), args.mob, args.on_missing)
+    if args.analysis:
+        load_analysis(lake, args.dpd, args.mob)
+    if args.export:
+        export_silver(lake, args.export, f"{args.lake.rstrip('/')}/export/{args.export}")
 
     stores = {name: lake.read("gold", name) for name in ("label_store", "feature_store")}
-    store_summary({name: df for name, df in stores.items() if df is not None}).show()
+    stores = {name: df for name, df in stores.items() if df is not None}
+    if stores:
+        store_summary(stores).show()
+    else:
+        print("no store found")
 
 
 if __name__ == "__main__":

@@ -7,9 +7,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Months back from which add_months would leave Spark's date range and fail the whole job.
-_MAX_MONTHS = 70_000_000
-
 
 def month_starts(start: date | str, end: date | str) -> list[date]:
     """First days of the months from the month of ``start`` up to ``end``, as job parameters."""
@@ -26,13 +23,20 @@ def month_calendar(df: DataFrame, column: str) -> DataFrame:
 
 
 def missed_installments(overdue: Column, due: Column) -> Column:
-    """Started installments that are overdue; NULL if nothing is due."""
+    """Started installments that are overdue, as bigint; NULL if nothing is due."""
     return F.ceil(F.try_divide(overdue, due))
 
 
 def months_before(day: Column, months: Column) -> Column:
-    """The date ``months`` (> 0) months earlier, clamped to the month end; otherwise NULL."""
-    return F.when(months.between(1, _MAX_MONTHS), F.add_months(day, -months))
+    """The date ``months`` (> 0) months earlier, clamped to the month end; NULL outside the date range."""
+    back = F.make_ym_interval(F.lit(0), -months.try_cast("int"))
+    return F.when(months > 0, F.try_add(day, back))
+
+
+def is_past_due(dpd: Column, missed: Column, threshold: int) -> Column:
+    """At least ``threshold`` days past due. Where the first missed date lies outside the date range
+    the days are unknown, but more than any threshold."""
+    return F.coalesce(dpd >= threshold, missed > 0, F.lit(False))
 
 
 def installment_due_date(loan_start: Column, installment_num: Column) -> Column:

@@ -20,6 +20,7 @@ def to_number(c: Column) -> Column:
     loses all but digits, points and minus signs, and the first number in the rest counts:
     ``1.2.3`` → 1.2, ``12-34`` → 12, ``--5`` → -5.
     """
+    # fixed value: the characters that a number is made of
     stripped = F.regexp_replace(c, r"[^\d.\-]", "")
     text = F.when(c.rlike(WELL_FORMED), c).otherwise(F.regexp_extract(stripped, FIRST_NUMBER, 0))
     return F.coalesce(text.try_cast("double"), F.lit(0.0))
@@ -31,6 +32,7 @@ def to_integer(c: Column) -> Column:
     Digits before the first point count: ``3_`` → 3, ``-1`` → 1, ``3.0`` → 3. The leading "0"
     turns "no digits" into 0 and leaves every other value alone.
     """
+    # fixed value: the characters that an integer is made of
     digits = F.substring_index(F.regexp_replace(c, r"[^\d.]", ""), ".", 1)
     return F.concat(F.lit("0"), F.coalesce(digits, F.lit(""))).try_cast("int")
 

@@ -58,6 +58,7 @@ def credit_history_years(c: Column) -> Column:
     """
 
     def part(unit: str) -> Column:
+        # fixed value: the form of a duration
         number = F.regexp_extract(c, rf"(?i)(\d+) {unit}", 1)
         return F.coalesce(number.try_cast("double"), F.lit(0.0))
 

@@ -9,7 +9,7 @@ from loanstrata.functions.text import normalize_text
 
 
 def normal_name(name: str) -> str:
-    """Column name in lower case, trimmed, with spaces and hyphens as underscores."""
+    """Column name in lower case, trimmed, with spaces and hyphens as underscores (a fixed rule)."""
     return name.strip().lower().replace(" ", "_").replace("-", "_")
 
 

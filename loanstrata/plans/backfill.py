@@ -8,15 +8,18 @@ from datetime import date
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from loanstrata.functions.dates import month_starts
 from loanstrata.operators.merge import join_audit
+from loanstrata.operators.normalize import normal_name
 from loanstrata.plans.bronze import bronze_rows
-from loanstrata.plans.gold import feature_rows, feature_store, label_store
+from loanstrata.plans.delinquency import tables
+from loanstrata.plans.gold import feature_store, label_store, rows_by_source
 from loanstrata.plans.quality import bronze_metrics, lms_metrics
 from loanstrata.plans.silver import clean
-from loanstrata.schemas import SOURCES, source
-from loanstrata.sources.lake import Lake
+from loanstrata.schemas import SOURCE_COLUMNS, SOURCES, source
+from loanstrata.sources.lake import Lake, export_csv
 
 
 def _side_by_side(lake: Lake, jobs: Iterable[Callable[[], None]]) -> None:
@@ -28,19 +31,26 @@ def _side_by_side(lake: Lake, jobs: Iterable[Callable[[], None]]) -> None:
             run.result()
 
 
-def load_bronze(lake: Lake, name: str, raw: DataFrame, snapshots: list[date]) -> None:
-    """Write the bronze slices of one source, reading the raw table once."""
-    lake.write(bronze_rows(raw, snapshots), "bronze", source(name).name, snapshots)
+def load_bronze(
+    lake: Lake, name: str, raw: DataFrame, snapshots: list[date], rebalance: bool = True
+) -> None:
+    """Write the bronze slices of one source, reading the raw table once.
 
+    Clickstream rows name the ``fe_*`` columns of their raw file, which may differ between runs. Pass
+    ``rebalance=False`` for raw tables that come sorted by snapshot in well-sized files.
+    """
+    rows = bronze_rows(raw, snapshots)
+    if source(name).name == "clickstream":
+        names = sorted(n for c in raw.columns if (n := normal_name(c)).startswith("fe_"))
+        rows = rows.withColumn(SOURCE_COLUMNS, F.lit(",".join(names)))
+    lake.write(rows, "bronze", name, snapshots, rebalance)
 
-def load_silver(lake: Lake, name: str, snapshots: list[date]) -> None:
-    """Clean the bronze slices of one source; a source without bronze is left out.
 
-    Deduplication has just shuffled the rows, so a single snapshot is written as it comes.
-    """
+def load_silver(lake: Lake, name: str, snapshots: list[date], rebalance: bool = True) -> None:
+    """Clean the bronze slices of one source; a source without bronze is left out."""
     rows = lake.read("bronze", source(name).name, snapshots)
     if rows is not None:
-        lake.write(clean(name, rows), "silver", name, snapshots, rebalance=len(snapshots) > 1)
+        lake.write(clean(name, rows), "silver", name, snapshots, rebalance)
 
 
 def load_labels(lake: Lake, snapshots: list[date], dpd: int = 30, mob: int = 6) -> None:
@@ -51,29 +61,59 @@ def load_labels(lake: Lake, snapshots: list[date], dpd: int = 30, mob: int = 6)
 
 
 def load_features(
-    lake: Lake, snapshots: list[date], mob: int = 6, on_missing: str = "skip"
+    lake: Lake,
+    snapshots: list[date],
+    mob: int = 6,
+    on_missing: str = "skip",
+    rebalance: bool = True,
 ) -> None:
     """Write the feature store from the silver tables there are."""
     silver = {name: lake.read("silver", name, snapshots) for name in SOURCES}
-    if any(df is not None for df in silver.values()):
+    if rows_by_source(silver, mob):
         store = feature_store(silver, mob, on_missing)
-        lake.write(store, "gold", "feature_store", snapshots, rebalance=len(snapshots) > 1)
+        lake.write(store, "gold", "feature_store", snapshots, rebalance)
 
 
-def load_report(lake: Lake, snapshots: list[date], mob: int = 6) -> None:
-    """Write the run metrics and the join audit of the snapshots as tables of the quality layer."""
-    bronze = {name: lake.read("bronze", name, snapshots) for name in SOURCES}
+def load_report(
+    lake: Lake,
+    raw: dict[str, DataFrame],
+    snapshots: list[date],
+    mob: int = 6,
+    on_missing: str = "skip",
+) -> None:
+    """Write the run metrics and the join audit of a run as tables of the quality layer.
+
+    The metrics count the raw tables, so rows that the run leaves out because of their date are in
+    them; the table is that of the last run. The audit is that of the frames the store joins.
+    """
     silver = {name: lake.read("silver", name, snapshots) for name in SOURCES}
-    bronze = {name: df for name, df in bronze.items() if df is not None}
-    silver = {name: df for name, df in silver.items() if df is not None}
-    if bronze:
-        metrics = bronze_metrics(bronze)
-        if "lms" in silver:
+    if raw:
+        metrics = bronze_metrics(raw, snapshots)
+        if silver["lms"] is not None:
             metrics = metrics.unionAll(lms_metrics(silver["lms"], mob))
-        lake.write(metrics, "quality", "run_metrics", snapshots)
-    if len(silver) > 1:
-        rows = {name: feature_rows(name, df, mob) for name, df in silver.items()}
-        lake.write(join_audit(rows), "quality", "join_audit", snapshots)
+        lake.replace(metrics, "quality", "run_metrics")
+    rows = rows_by_source(silver, mob)
+    if len(rows) > 1:
+        lake.write(join_audit(rows, on_missing), "quality", "join_audit", snapshots)
+
+
+def load_analysis(
+    lake: Lake, dpd: int = 30, mob: int = 6, started_before: str = "2024-01-01"
+) -> None:
+    """Write the delinquency tables from all of the stored silver loan table."""
+    lms = lake.read("silver", "lms")
+    if lms is not None:
+        found = tables(lms, dpd, mob, started_before)
+        _side_by_side(lake, [lambda n=n, df=df: lake.replace(df, "analysis", n) for n, df in found.items()])
+
+
+def export_silver(lake: Lake, snapshot: date, folder: str) -> list[str]:
+    """Write the cleaned tables of one snapshot as CSV folders, all columns; the names of those there are."""
+    found = {name: lake.read("silver", name, [snapshot]) for name in SOURCES}
+    found = {name: df for name, df in found.items() if df is not None}
+    for name, df in found.items():
+        export_csv(df, f"{folder.rstrip('/')}/{name}")
+    return list(found)
 
 
 def backfill(
@@ -85,26 +125,28 @@ def backfill(
     mob: int = 6,
     on_missing: str = "skip",
     months_per_job: int | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Rebuild all layers for the months from ``start`` to ``end``.
 
     Each layer is one job per table over all months. ``months_per_job`` bounds what one silver or
     gold job shuffles: the months are then cleaned in groups, while the raw tables are still read
-    once. Every layer is a written table, so a lost executor costs the tasks it ran and a failed run
+    once. ``rebalance=False`` writes every layer as its tasks hold it (see `Lake.write`). Every layer is
+    a written table, so a lost executor costs the tasks it ran and a failed run
     can be started again: it overwrites the same snapshots and no others.
     """
     months = month_starts(start, end)
     _side_by_side(
-        lake, [lambda n=n, df=df: load_bronze(lake, n, df, months) for n, df in raw.items()]
+        lake, [lambda n=n, df=df: load_bronze(lake, n, df, months, rebalance) for n, df in raw.items()]
     )
     size = months_per_job or max(len(months), 1)
     for first in range(0, len(months), size):
         group = months[first : first + size]
-        _side_by_side(lake, [lambda n=n: load_silver(lake, n, group) for n in SOURCES])
+        _side_by_side(lake, [lambda n=n: load_silver(lake, n, group, rebalance) for n in SOURCES])
         _side_by_side(
             lake,
             [
                 lambda: load_labels(lake, group, dpd, mob),
-                lambda: load_features(lake, group, mob, on_missing),
+                lambda: load_features(lake, group, mob, on_missing, rebalance),
             ],
         )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanstrata.functions.dates import is_past_due
 from loanstrata.operators.dedup import latest
 from loanstrata.operators.distribution import equal_width_histogram, exceedance
 
@@ -16,7 +17,8 @@ DEFAULT_THRESHOLDS = [20, 30, 60, 90]
 def observations(lms: DataFrame, dpd: int = 30, started_before: str = "2024-01-01") -> DataFrame:
     """Loans started before a date, with ``dpd_flag`` = 1 from ``dpd`` days past due on."""
     started = F.col("loan_start_date") < F.lit(started_before).cast("date")
-    return lms.where(started).withColumn("dpd_flag", F.when(F.col("dpd") >= dpd, 1).otherwise(0))
+    bad = is_past_due(F.col("dpd"), F.col("installments_missed"), dpd)
+    return lms.where(started).withColumn("dpd_flag", bad.cast("int"))
 
 
 def mob_profile(obs: DataFrame) -> DataFrame:
@@ -107,3 +109,22 @@ def summary(obs: DataFrame) -> DataFrame:
         F.max("dpd").alias("max_dpd"),
         F.avg("dpd_flag").alias("bad_rate"),
     )
+
+
+def tables(lms: DataFrame, dpd: int = 30, mob: int = 6, started_before: str = "2024-01-01") -> dict[str, DataFrame]:
+    """All tables of the analysis, by name."""
+    obs = observations(lms, dpd, started_before)
+    return {
+        "mob_profile": mob_profile(obs),
+        "bad_rate_by_mob": bad_rate_by_mob(obs),
+        "mob_counts": mob_counts(obs),
+        "dpd_by_mob": dpd_by_mob(obs),
+        "final_installment": at_installment(obs),
+        "actual_bads": actual_bads(obs),
+        "actual_bads_summary": actual_bads_summary(obs),
+        "dpd_histogram": dpd_histogram(obs),
+        "dpd_histogram_60": dpd_histogram(obs, bins=30, at_most=60),
+        "dpd_thresholds": dpd_thresholds(obs),
+        "default_split": default_split(obs, mob),
+        "summary": summary(obs),
+    }

@@ -8,10 +8,13 @@ sources' rows, so every source is shuffled once and nothing is joined.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanstrata.functions.dates import installment_due_date, missed_installments
+from loanstrata.functions.dates import installment_due_date, is_past_due, missed_installments
 from loanstrata.functions.numbers import age_band, row_mean, safe_ratio
 from loanstrata.operators.dedup import latest
 from loanstrata.operators.merge import sources_present, union_sources
@@ -22,15 +25,21 @@ from loanstrata.schemas import (
     FEATURES,
     KEYS,
     LABEL_STORE,
+    OPTIONAL,
     SNAPSHOT,
+    SOURCE_COLUMNS,
     SOURCES,
 )
 
 
 def label_store(lms: DataFrame, dpd: int = 30, mob: int = 6) -> DataFrame:
-    """One row per loan at ``mob`` months on book: 1 if at least ``dpd`` days past due, else 0."""
+    """One row per loan at ``mob`` months on book: 1 if at least ``dpd`` days past due, else 0.
+
+    With an overdue amount but nothing due the label is 0.
+    """
     labels = {
-        "label": F.when(F.col("dpd") >= dpd, 1).otherwise(0),
+        "label": is_past_due(F.col("dpd"), F.col("installments_missed"), dpd).cast("int"),
+        # fixed value: the form of the label's definition
         "label_def": F.lit(f"{dpd}dpd_{mob}mob"),
     }
     return lms.where(F.col("mob") == mob).withColumns(labels).select(*LABEL_STORE)
@@ -43,11 +52,26 @@ def latest_records(df: DataFrame, as_of: str | None = None) -> DataFrame:
     return latest(df, [CUSTOMER], SNAPSHOT)
 
 
+def _feature_columns(clickstream: DataFrame) -> list[str]:
+    return [c for c in clickstream.columns if c.startswith("fe_")]
+
+
 def _clickstream_rows(df: DataFrame) -> DataFrame:
-    columns = [c for c in df.columns if c.startswith("fe_")]
+    """Mean of the ``fe_*`` columns that the row's raw file had: NULL if one of them is NULL.
+
+    A table from the lake names these columns; other tables have the same ones in every row. Rows of
+    a file without any are left out, as if the source had no row there.
+    """
+    columns = _feature_columns(df)
     if not columns:
         raise ValueError("clickstream has no fe_* columns")
-    return df.select(*KEYS, row_mean([F.col(c) for c in columns]).alias("total_mean"))
+    if SOURCE_COLUMNS not in df.columns:
+        return df.select(*KEYS, row_mean([F.col(c) for c in columns]).alias("total_mean"))
+    listed = F.split(SOURCE_COLUMNS, ",")
+    had = {c: F.array_contains(listed, c) for c in columns}
+    total = reduce(add, [F.when(had[c], F.col(c)).otherwise(0.0) for c in columns])
+    n = reduce(add, [had[c].cast("int") for c in columns])
+    return df.where(n > 0).select(*KEYS, F.try_divide(total, n).alias("total_mean"))
 
 
 def _attributes_rows(df: DataFrame) -> DataFrame:
@@ -114,22 +138,29 @@ def features(name: str, silver: DataFrame, mob: int = 6) -> DataFrame:
     return rows.select(*KEYS, *FEATURES[name])
 
 
+def rows_by_source(silver: dict[str, DataFrame | None], mob: int = 6) -> dict[str, DataFrame]:
+    """Row-level features of the sources there are, without a clickstream that has no ``fe_*`` columns."""
+    return {
+        name: feature_rows(name, silver[name], mob)
+        for name in SOURCES
+        if silver.get(name) is not None and (name != "clickstream" or _feature_columns(silver[name]))
+    }
+
+
 def feature_store(
     silver: dict[str, DataFrame | None], mob: int = 6, on_missing: str = "skip"
 ) -> DataFrame:
-    """Customers found in every source of their snapshot, with the features of all four sources.
+    """Customers found in every required source of their snapshot, with the features of all four.
 
-    A source is missing from a snapshot if it has no row there (for loans: none at ``mob``), or if
-    it is absent from ``silver``. With ``on_missing="skip"`` the others decide alone and the missing
-    source's columns are NULL; with ``"strict"`` such a snapshot has no rows.
+    With ``on_missing="skip"`` a source that is absent from ``silver`` is not required, nor is
+    clickstream without ``fe_*`` columns. Clickstream and loans are not required in a snapshot where
+    they have no row (for loans: none at ``mob``); attributes and financials always are, so a
+    snapshot without them has no rows. Columns of a source that is left out are NULL. With
+    ``"strict"`` all four sources are required.
     """
     if on_missing not in ("skip", "strict"):
         raise ValueError(f"on_missing must be 'skip' or 'strict', not {on_missing!r}")
-    rows = {
-        name: feature_rows(name, silver[name], mob)
-        for name in SOURCES
-        if silver.get(name) is not None
-    }
+    rows = rows_by_source(silver, mob)
     if not rows:
         raise ValueError("no source to build features from")
     merged = (
@@ -141,9 +172,14 @@ def feature_store(
     if on_missing == "strict":
         kept = merged.where(F.col("mask") == ALL_SOURCES_MASK)
     else:
-        # One row per snapshot date: the broadcast side cannot grow with the data.
-        present = F.broadcast(sources_present(rows))
-        kept = merged.join(present, SNAPSHOT).where(F.col("mask") == F.col("present"))
+        always = sum(SOURCES[name].bit for name in rows if name not in OPTIONAL)
+        optional = {name: rows[name] for name in rows if name in OPTIONAL}
+        required = F.lit(always)
+        if optional:
+            # One row per snapshot date: the broadcast side cannot grow with the data.
+            merged = merged.join(F.broadcast(sources_present(optional)), SNAPSHOT, "left")
+            required = F.coalesce("present", F.lit(0)).bitwiseOR(required)
+        kept = merged.where(F.col("mask") == required)
     return kept.select(
         *[
             F.col(c) if c in merged.columns else F.lit(None).cast(dtype).alias(c)

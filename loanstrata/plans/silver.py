@@ -52,10 +52,11 @@ def clean_lms(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
     ``keys`` defaults to one row per customer and snapshot; a customer with two loans in a month
     keeps one of them. Pass the loan as a key, too, to keep every loan. Missing numbers become 0.
-    With an overdue amount but nothing due, the days past due are unknown (NULL).
+    With an overdue amount but nothing due, the days past due are unknown (NULL), as they are when the
+    first missed date lies outside the date range; the count of missed installments tells them apart.
     """
     rows = _convert(normalize(df, keys), {n: _typed(n, t) for n, t in LMS_TYPES.items()})
-    missed = missed_installments(F.col("overdue_amt"), F.col("due_amt")).try_cast("int")
+    missed = missed_installments(F.col("overdue_amt"), F.col("due_amt"))
     rows = rows.withColumns({"mob": F.col("installment_num"), "installments_missed": missed})
     numbers = [n for n, t in LMS_TYPES.items() if t in ("int", "double") and n in rows.columns]
     rows = rows.fillna(0, subset=[*numbers, "mob", "installments_missed"])

@@ -26,6 +26,10 @@ SOURCES = {
     "financials": Source("financials", "features_financials.csv", 4),
     "lms": Source("lms", "lms_loan_daily.csv", 8),
 }
+# Sources that a snapshot may lack without losing its rows.
+OPTIONAL = ("clickstream", "lms")
+# Column of the lake's clickstream that names the fe_* columns of the raw file a row came from.
+SOURCE_COLUMNS = "source_columns"
 ALL_SOURCES_MASK = sum(s.bit for s in SOURCES.values())
 
 # Target types of the loan-servicing columns.

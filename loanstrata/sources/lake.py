@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loanstrata.schemas import FIXED, SNAPSHOT, ddl
 
@@ -26,14 +29,21 @@ class Lake:
     def read(
         self, layer: str, table: str, snapshots: Sequence[date] | None = None
     ) -> DataFrame | None:
-        """A table, pruned to the given snapshots; None if it was never written.
+        """A table, opened at the folders of the given snapshots only; None if it was never written.
 
-        The gold tables have fixed schemas: no file footer is read to find them, and a store without
-        any row is an empty table.
+        The gold tables have fixed schemas. Bronze and silver have the columns of all files that are
+        opened: a column that some snapshots lack is NULL there. If no snapshot asked for is there,
+        the table is empty.
         """
+        path = self.path(layer, table)
         fixed = FIXED.get((layer, table))
         schema = ddl(fixed) if fixed else None
-        return self._load("parquet", self.path(layer, table), snapshots, schema)
+        folders = None if snapshots is None else self._folders(path, snapshots)
+        if folders == [] and self._exists(path):
+            # all there is to know about it is the schema
+            whole = self._open("parquet", path, [path], schema, merge=False)
+            return None if whole is None else whole.limit(0)
+        return self._open("parquet", path, folders or [path], schema)
 
     def write(
         self,
@@ -47,7 +57,7 @@ class Lake:
 
         The rebalance lets AQE size the files: small snapshots share a task, one that holds most of
         the rows is split over many. Without it the tasks of ``df`` write what they have, which saves
-        a shuffle where they hold a single snapshot in well-sized partitions already. A snapshot that
+        a shuffle where rows lie in well-sized partitions by snapshot already. A snapshot that
         had rows before and has none now is emptied, so a rerun with other parameters leaves nothing
         behind.
         """
@@ -62,40 +72,58 @@ class Lake:
             .parquet(path)
         )
         after = self._newest_files(path, snapshots) if before else {}
-        for snapshot in [s for s, file in before.items() if after.get(s) == file]:
-            empty = self.spark.createDataFrame([], df.drop(SNAPSHOT).schema).coalesce(1)
+        empty = self.spark.createDataFrame([], df.drop(SNAPSHOT).schema).coalesce(1)
+
+        def clear(snapshot: date) -> None:
             empty.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={snapshot}")
 
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            stale = [s for s, file in before.items() if after.get(s) == file]
+            list(pool.map(inheritable_thread_target(self.spark)(clear), stale))
+
+    def replace(self, df: DataFrame, layer: str, table: str) -> None:
+        """Write a small table that has no snapshots, or no readable ones, in place of what was there."""
+        df.write.mode("overwrite").parquet(self.path(layer, table))
+
+    def _exists(self, path: str) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+
+    def _folders(self, path: str, snapshots: Sequence[date]) -> list[str]:
+        """The partition folders of these snapshots that are there."""
+        return [f for s in snapshots if self._exists(f := f"{path}/{SNAPSHOT}={s}")]
+
     def _newest_files(self, path: str, snapshots: Sequence[date]) -> dict[date, str]:
         """One file name per partition, at most one row each; only lists, opens no file.
 
         File names carry the id of the job that wrote them, so a replaced partition has a new name.
         """
-        files = self._load("binaryFile", path, snapshots)
+        folders = self._folders(path, snapshots)
+        files = self._open("binaryFile", path, folders) if folders else None
         if files is None or SNAPSHOT not in files.columns:
             return {}
         # One task per file would be too many tasks for a look at the file's name.
         return dict(files.coalesce(256).groupBy(SNAPSHOT).agg(F.max("path")).collect())
 
-    def _load(
-        self,
-        file_format: str,
-        path: str,
-        snapshots: Sequence[date] | None,
-        schema: str | None = None,
+    def _open(
+        self, file_format: str, path: str, folders: list[str], schema: str | None = None, merge: bool = True
     ) -> DataFrame | None:
-        reader = self.spark.read.format(file_format)
+        reader = self.spark.read.format(file_format).option("basePath", path)
+        if file_format == "parquet":
+            reader = reader.option("mergeSchema", merge and not schema)
         try:
-            df = (reader.schema(schema) if schema else reader).load(path)
+            return (reader.schema(schema) if schema else reader).load(folders)
         except AnalysisException as error:
             if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
-        if snapshots is None or SNAPSHOT not in df.columns:
-            return df
-        return df.where(F.col(SNAPSHOT).isin(list(snapshots)))
 
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a table as a folder of headered CSV files, one per task."""
     df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_export(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table from `export_csv`: a blank cell is NULL, a quoted empty one is empty text."""
+    return spark.read.schema(schema).option("header", True).option("nullValue", "\0").csv(path)

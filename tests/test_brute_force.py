@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import date
 from statistics import median
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from loanstrata.functions import numbers, text
 from loanstrata.operators.dedup import keep_one
+from loanstrata.operators.merge import join_audit
 from loanstrata.plans import gold
 from loanstrata.plans.silver import repair_age
 from loanstrata.schemas import FEATURE_STORE, KEYS, SOURCES
@@ -145,9 +146,8 @@ def test_feature_store(spark):
     skip, strict = set(), set()
     for s in snapshots:
         customers = [by_snapshot[n][s] for n in SOURCES]
-        present = [found for found in customers if found]
-        if present:
-            skip |= {(c, s) for c in set.intersection(*present)}
+        needed = [by_snapshot[n][s] for n in SOURCES if by_snapshot[n][s] or n in ("attributes", "financials")]
+        skip |= {(c, s) for c in set.intersection(*needed)}
         strict |= {(c, s) for c in set.intersection(*customers)}
 
     store = gold.feature_store(silver).collect()
@@ -156,6 +156,15 @@ def test_feature_store(spark):
     for r in store:
         for name, column in columns.items():
             assert (r[column] is not None) == (r.customer_id in by_snapshot[name][r.snapshot_date])
+    last = {}
+    for r in join_audit(gold.rows_by_source(silver)).orderBy("step").collect():
+        last[r.snapshot_date] = r.rows_after
+    per_snapshot = Counter(s for _, s in skip)
+    assert {s: n for s, n in last.items() if n} == per_snapshot
     found = gold.feature_store(silver, on_missing="strict")
+    last = {}
+    for r in join_audit(gold.rows_by_source(silver), "strict").orderBy("step").collect():
+        last[r.snapshot_date] = r.rows_after
+    assert {s: n for s, n in last.items() if n} == Counter(s for _, s in strict)
     assert found.columns == list(FEATURE_STORE)
     assert {(r.customer_id, r.snapshot_date) for r in found.select(*KEYS).collect()} == strict

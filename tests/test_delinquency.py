@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from loanstrata.plans import delinquency as d
 from loanstrata.plans import quality
@@ -23,7 +24,8 @@ ROWS = [
 @pytest.fixture()
 def obs(spark):
     columns = "loan_id string, customer_id string, loan_start_date date, installment_num int, mob int, dpd int, snapshot_date date"
-    return d.observations(spark.createDataFrame(ROWS, columns), dpd=30)
+    rows = spark.createDataFrame(ROWS, columns).withColumn("installments_missed", F.lit(0))
+    return d.observations(rows, dpd=30)
 
 
 def rows(df):

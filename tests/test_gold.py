@@ -6,7 +6,9 @@ from datetime import date
 
 import pytest
 
-from loanstrata.operators.merge import inner_merge
+from pyspark.sql import functions as F
+
+from loanstrata.operators.merge import inner_merge, join_audit
 from loanstrata.plans import gold
 from loanstrata.schemas import FEATURE_STORE, LABEL_STORE, SOURCES
 
@@ -25,9 +27,9 @@ def silver(spark):
         ("a", S2, 100.0, 0.0, 5.0, 1.0, "2.5", 1.5),
     ]
     loans = [
-        ("a", S1, "l1", date(2022, 7, 1), 6, 6, 200.0, 100.0, 59),
-        ("b", S1, "l2", date(2022, 7, 1), 6, 6, 5.0, 0.0, None),
-        ("a", S2, "l1", date(2022, 7, 1), 7, 7, 0.0, 100.0, 0),
+        ("a", S1, "l1", date(2022, 7, 1), 6, 6, 200.0, 100.0, 59, 2),
+        ("b", S1, "l2", date(2022, 7, 1), 6, 6, 5.0, 0.0, None, 0),
+        ("a", S2, "l1", date(2022, 7, 1), 7, 7, 0.0, 100.0, 0, 0),
     ]
     return {
         "clickstream": spark.createDataFrame(clickstream, f"{keys}, fe_1 double, fe_2 double"),
@@ -40,7 +42,7 @@ def silver(spark):
         "lms": spark.createDataFrame(
             loans,
             f"{keys}, loan_id string, loan_start_date date, installment_num int, mob int,"
-            " overdue_amt double, due_amt double, dpd int",
+            " overdue_amt double, due_amt double, dpd int, installments_missed long",
         ),
     }
 
@@ -77,6 +79,35 @@ def test_feature_store_skips_sources_missing_from_a_snapshot(silver):
     assert second.balance_to_debt is None and second.age_group == "45-56"
 
 
+@pytest.mark.parametrize(
+    ("empty", "kept"),
+    [("clickstream", {"a", "b"}), ("attributes", set()), ("financials", set()), ("lms", {"a", "b"})],
+)
+def test_empty_month_of_a_source(silver, empty, kept):
+    """Clickstream and loans may have no row in a snapshot; attributes and financials may not."""
+    silver[empty] = silver[empty].where(f"snapshot_date <> '{S1}'")
+    store = gold.feature_store(silver)
+    assert {c for c, s in by_key(store) if s == S1} == kept
+    audit = join_audit(gold.rows_by_source(silver)).where(f"snapshot_date = '{S1}'").orderBy("step").collect()
+    assert audit[-1].rows_after == len(kept)
+    left_out = {"clickstream": {"attributes"}, "lms": {"lms"}}.get(empty, set())
+    assert [r.joined_source for r in audit] == [n for n in ("attributes", "financials", "lms") if n not in left_out]
+
+
+def test_clickstream_without_features_is_skipped(silver):
+    silver["clickstream"] = silver["clickstream"].drop("fe_1", "fe_2")
+    assert set(by_key(gold.feature_store(silver))) == {("a", S1), ("b", S1), ("a", S2)}
+    assert gold.feature_store(silver, on_missing="strict").count() == 0
+
+
+def test_columns_that_a_month_never_had(silver):
+    """A row's mean counts the columns of its own raw file; a blank cell in one of them is NULL."""
+    listed = F.when(F.col("snapshot_date") == S2, "fe_1").when(F.col("customer_id") == "b", "").otherwise("fe_1,fe_2")
+    silver["clickstream"] = silver["clickstream"].withColumn("source_columns", listed)
+    got = {k: r.clickstream_total_mean for k, r in by_key(gold.features("clickstream", silver["clickstream"])).items()}
+    assert got == {("a", S1): 2.0, (None, S1): 1.0, ("a", S2): 2.0}
+
+
 def test_feature_store_strict_equals_the_joins(silver):
     strict = gold.feature_store(silver, on_missing="strict")
     joined = inner_merge([gold.features(n, silver[n]) for n in SOURCES])

@@ -18,11 +18,11 @@ from loanstrata.plans.backfill import (
     load_report,
     load_silver,
 )
-from loanstrata.plans.gold import feature_store, label_store
+from loanstrata.plans.gold import feature_store, features, label_store
 from loanstrata.plans.bronze import bronze_rows
 from loanstrata.plans.silver import clean
 from loanstrata.schemas import FEATURE_STORE, LABEL_STORE, LMS_TYPES, SOURCES
-from loanstrata.sources.lake import Lake, export_csv
+from loanstrata.sources.lake import Lake, export_csv, read_export
 from loanstrata.sources.raw import read_raw, read_raw_sources
 
 SF = "/root/testdata/sf0.001"
@@ -75,7 +75,7 @@ def test_stores_equal_the_jobs_without_a_lake(spark, built):
     same(built.read("gold", "label_store"), label_store(silver["lms"]))
     same(built.read("gold", "feature_store"), feature_store(silver))
     for name, df in silver.items():
-        same(built.read("silver", name), df)
+        same(built.read("silver", name).drop("source_columns"), df)
 
 
 def test_schemas_and_partitions(built):
@@ -165,7 +165,7 @@ def test_store_without_rows_is_an_empty_table(spark, raw_folder, tmp_path):
     lake = Lake(spark, str(tmp_path))
     raw = {n: df for n, df in read_raw_sources(spark, raw_folder).items() if n != "lms"}
     backfill(lake, raw, "1990-01-01", "1990-02-01", on_missing="strict")
-    assert lake.read("gold", "label_store") is None
+    assert lake.read("gold", "label_store") is None and lake.read("silver", "attributes") is None
     backfill(lake, read_raw_sources(spark, raw_folder), START, "1997-01-01", mob=99, on_missing="strict")
     labels, features = lake.read("gold", "label_store"), lake.read("gold", "feature_store")
     assert labels.isEmpty() and dict(labels.dtypes) == LABEL_STORE
@@ -195,9 +195,19 @@ def test_metrics_add_up(spark, built):
 
 def test_report_of_the_lake(spark, built):
     months = month_starts("1997-01-01", "1997-02-01")
-    load_report(built, months)
+    raw = views.raw_sources(spark, SF)
+    lost = raw["financials"].limit(3).withColumn("snapshot_date", F.lit("soon"))
+    raw["financials"] = raw["financials"].unionAll(lost)
+    load_report(built, raw, months)
+    metrics = built.read("quality", "run_metrics").where("source = 'financials'").collect()
+    left_out = {r.snapshot_date: r.value for r in metrics if r.metric == "rows_off_calendar"}
+    assert [r.value for r in metrics if r.metric == "rows_loaded" and r.snapshot_date is None] == [3]
+    assert sum(left_out.values()) == raw["financials"].count() - 3 - sum(
+        r.value for r in metrics if r.metric == "rows_loaded" and r.snapshot_date in months
+    )
+    assert all(not left_out[m] for m in months)
     metrics = built.read("quality", "run_metrics").where("metric = 'rows_kept' and source = 'financials'")
-    kept = {r.snapshot_date: r.value for r in metrics.collect()}
+    kept = {r.snapshot_date: r.value for r in metrics.collect() if r.snapshot_date in months}
     silver = built.read("silver", "financials", months).groupBy("snapshot_date").count()
     assert kept == {r.snapshot_date: r["count"] for r in silver.collect()}
     audit = built.read("quality", "join_audit").where("step = 3").collect()
@@ -210,14 +220,56 @@ def test_report_of_the_lake(spark, built):
 
 def test_command_line(spark, raw_folder, tmp_path, monkeypatch, capsys):
     options = ["--raw", raw_folder, "--lake", str(tmp_path), "--start", "1997-03-01", "--end", "1997-03-01"]
-    monkeypatch.setattr("sys.argv", ["loanstrata", *options, "--report"])
+    more = ["--report", "--analysis", "--export", "1997-03-01"]
+    monkeypatch.setattr("sys.argv", ["loanstrata", *options, *more])
     main()
     lake = Lake(spark, str(tmp_path))
+    for name in SOURCES:
+        silver = lake.read("silver", name)
+        same(read_export(spark, f"{tmp_path}/export/1997-03-01/{name}", silver.schema), silver)
+    assert lake.read("analysis", "mob_counts").agg(F.sum("n_obs")).first()[0] == lake.read("silver", "lms").count()
     labels = lake.read("gold", "label_store")
     assert str(labels.count()) in capsys.readouterr().out
     assert not lake.read("quality", "run_metrics").isEmpty()
 
 
+def test_command_line_without_raw_files(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr("sys.argv", ["loanstrata", "--raw", f"{tmp_path}/raw", "--lake", f"{tmp_path}/lake"])
+    with pytest.raises(SystemExit):
+        main()
+    assert "no raw file" in capsys.readouterr().err
+
+
+def test_columns_that_change_between_runs(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    first, second = date(2023, 1, 1), date(2023, 2, 1)
+    shape = "customer_id string, snapshot_date string, fe_1 string"
+    narrow = spark.createDataFrame([("a", "2023-01-01", "1"), ("b", "2023-01-01", "3")], shape)
+    wide = spark.createDataFrame([("a", "2023-02-01", "1", "5"), ("b", "2023-02-01", "3", None)], f"{shape}, fe_2 string")
+    load_bronze(lake, "clickstream", narrow, [first])
+    load_bronze(lake, "clickstream", wide, [second])
+    load_silver(lake, "clickstream", [first, second])
+    assert {"fe_1", "fe_2"} <= set(lake.read("silver", "clickstream", [first]).columns)
+    means = {(r.customer_id, r.snapshot_date): r.clickstream_total_mean
+             for r in features("clickstream", lake.read("silver", "clickstream")).collect()}
+    assert means == {("a", first): 1.0, ("b", first): 3.0, ("a", second): 3.0, ("b", second): None}
+    for day in (first, second):
+        alone = features("clickstream", lake.read("silver", "clickstream", [day])).collect()
+        assert {(r.customer_id, r.snapshot_date): r.clickstream_total_mean for r in alone} == {
+            k: v for k, v in means.items() if k[1] == day
+        }
+
+
+def test_only_requested_folders_are_listed(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    days = month_starts("2023-01-01", "2024-12-01")
+    df = spark.createDataFrame([(str(d), d) for d in days], "v string, snapshot_date date")
+    lake.write(df, "silver", "t", days)
+    assert len(lake.read("silver", "t").inputFiles()) == 24
+    assert len(lake.read("silver", "t", days[3:4]).inputFiles()) == 1
+    assert lake.read("silver", "t", [date(1999, 1, 1)]).isEmpty()
+
+
 def test_unreadable_snapshots_are_counted(spark):
     raw = spark.createDataFrame([("a", "nope"), ("b", "2023-01-01")], "customer_id string, snapshot_date string")
     got = {(r.snapshot_date, r.metric): r.value for r in quality.bronze_metrics({"lms": raw}).collect()}

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanstrata.plans.bronze import bronze_rows
+from loanstrata.plans.gold import label_store
 from loanstrata.plans.silver import clean, clean_attributes, clean_financials, clean_lms, normalize
 from loanstrata.schemas import LMS_TYPES
 
@@ -35,10 +36,15 @@ def test_delinquency(spark):
         ("e", None, "100", "2023-03-01"),
         ("f", "101", "100", "2023-08-01"),
         ("g", "100", "100", "2023-08-01"),
-        ("h", "1e12", "0.001", "2023-08-01"),
+        ("h", "8e8", "0.01", "2023-08-01"),
+        ("i", "70200000", "1", "2023-08-01"),
+        ("j", "71e6", "1", "2023-08-01"),
     )
-    got = {r.customer_id: r for r in clean_lms(bronze_rows(raw)).collect()}
-    assert {c: (r.installments_missed, r.dpd) for c, r in got.items() if c != "h"} == {
+    # Python has no dates before the year 1
+    shown = F.when(F.col("dpd") < 1000, F.col("first_missed_date")).alias("first_missed_date")
+    rows = clean_lms(bronze_rows(raw)).select("customer_id", "installments_missed", "dpd", "mob", "overdue_amt", shown)
+    got = {r.customer_id: r for r in rows.collect()}
+    assert {c: (r.installments_missed, r.dpd) for c, r in got.items() if c < "h"} == {
         "a": (0, 0),
         "b": (0, None),
         "c": (1, 28),
@@ -50,12 +56,17 @@ def test_delinquency(spark):
     assert got["c"].first_missed_date == date(2023, 2, 1)
     assert got["e"].overdue_amt == 0.0
     assert got["a"].mob == 6
-    assert got["h"].installments_missed == 0 and got["h"].dpd is None
+    # the worst arrears: beyond the date range there are no days, but the loan is bad
+    assert got["h"].installments_missed == 80_000_000_000 and got["h"].dpd is None
+    assert got["i"].installments_missed == 70_200_000 and got["i"].dpd > 2_000_000_000
+    assert got["j"].installments_missed == 71_000_000 and got["j"].dpd is None
+    labels = label_store(clean_lms(bronze_rows(raw)), dpd=30, mob=6).collect()
+    assert {r.customer_id for r in labels if r.label} == {"d", "f", "g", "h", "i", "j"}
 
 
 def test_silver_types(spark):
     df = clean_lms(bronze_rows(lms(spark, ("a", "0", "1", "2023-01-01"))))
-    types = {**LMS_TYPES, "mob": "int", "installments_missed": "int", "first_missed_date": "date", "dpd": "int"}
+    types = {**LMS_TYPES, "mob": "int", "installments_missed": "bigint", "first_missed_date": "date", "dpd": "int"}
     assert dict(df.dtypes) == types
 
 
