@@ -223,6 +223,8 @@ def test_command_line(spark, raw_folder, tmp_path, monkeypatch, capsys):
     more = ["--report", "--analysis", "--export", "1997-03-01"]
     monkeypatch.setattr("sys.argv", ["loanstrata", *options, *more])
     main()
+    # the command's own setting, which would stay in the tests' session
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
     lake = Lake(spark, str(tmp_path))
     for name in SOURCES:
         silver = lake.read("silver", name)
