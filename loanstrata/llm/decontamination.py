@@ -154,9 +154,9 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, least: int, most
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
-    window: int = 100,
-    error: float = 0.08,
-    q: int = 10,
+    window: int = 64,
+    error: float = 0.1,
+    q: int = 8,
     least: int = 25,
     id_col: str = "doc_id",
     text_col: str = "text",
