@@ -366,7 +366,7 @@ def _sorted_runs(plan: Plan, splitters: list[bytes], length: int, most: int):
                 _, _, a, b, base, low, high = item
                 spans.append((a, b, base - high, base - low + length))
             if not twin:
-                p = item[0][0] * (len(splitters) + 1) + bisect_left(splitters, item[0][1 : 1 + _PREFIX])
+                p = item[0][0] * (len(splitters) + 1) + bisect_left(splitters, item[0][1 : 1 + _prefix(length)])
                 blocks.setdefault(p, []).append(item)
         for p, block in blocks.items():
             out.append((p, *_encode(block)))
@@ -405,7 +405,11 @@ def _sorted_runs(plan: Plan, splitters: list[bytes], length: int, most: int):
     return run
 
 
-_PREFIX = 32
+def _prefix(length: int) -> int:
+    """Bytes by which suffixes are dealt out: never more than all members of a group share."""
+    return min(32, length - length // 2 + 1)
+
+
 _SPAN_TYPE = pa.schema([(c, pa.int64()) for c in ("a", "b", "low", "high")])
 
 
@@ -474,7 +478,7 @@ def _repeated_spans(texts: DataFrame, length: int, crowd: int, run_bytes: int) -
     def prefixes(batches):
         for _, part in _slices(batches, length):
             some = part.anchor[:: max(1, len(part.anchor) // 1000)]
-            yield pa.RecordBatch.from_arrays([pa.array([part.raw[s : s + _PREFIX] for s in some.tolist()], pa.binary())], ["x"])
+            yield pa.RecordBatch.from_arrays([pa.array([part.raw[s : s + _prefix(length)] for s in some.tolist()], pa.binary())], ["x"])
 
     sample = texts.filter(F.pmod("b", F.lit(every)) == 0).select("data").mapInArrow(prefixes, "x binary").limit(100_000)
     ordered = sorted(r.x for r in sample.toLocalIterator())
@@ -515,6 +519,8 @@ def repeats(
     cut into eighths of its offsets, then into single windows, which need no group: so no group grows
     with the data. A task's copies leave its run as one string. Hashes only choose what is compared.
     """
+    if length < 2 * _GRAM:
+        raise ValueError(f"length must be at least {2 * _GRAM} bytes")
     keyed = _keyed(docs, id_col, text_col)
     documents = written(keyed.select("doc_id", "a", "b", "n_bytes", F.sha2("data", 256).alias("sha256")))
     copies = written(

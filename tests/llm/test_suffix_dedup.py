@@ -57,6 +57,15 @@ def test_against_all_windows(spark, monkeypatch, crowd, segment):
     assert result(rows) == dict(enumerate(plain([t.encode() for t in texts], 64)))
 
 
+@pytest.mark.parametrize("length", [32, 33, 100])
+def test_other_lengths(spark, length):
+    rng = random.Random(length)
+    parts = ["".join(rng.choices("abcdefgh ", k=n)) for n in (31, 32, 40, 99, 100, 150)]
+    texts = ["".join(rng.choice(parts)[rng.randint(0, 9) :] for _ in range(rng.randint(0, 4))) for _ in range(60)]
+    rows = by_id(kept_digests(documents(spark, enumerate(texts)), length))
+    assert result(rows) == dict(enumerate(plain([t.encode() for t in texts], length)))
+
+
 def test_documents(spark):
     rows = by_id(op9_suffix_array_dedup(spark, SF))
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
