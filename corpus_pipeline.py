@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanstrata.llm.common import without, written
+from loanstrata.llm.common import importable, without, written
 from loanstrata.llm.decontamination import find_leaks
 from loanstrata.llm.language_id import classify, fit
 from loanstrata.llm.line_dedup import drop_recurring_lines
@@ -65,6 +65,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written and read again."""
+    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir))

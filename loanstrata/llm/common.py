@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -28,6 +29,19 @@ def scratch(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Workers don't share the driver's ``sys.path``. Where executors have no such folder, install the
+    package there or send it along (``--py-files``); the entry does no harm then.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and not lost with an executor."""
     spark = df.sparkSession

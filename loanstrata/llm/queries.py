@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanstrata.llm.ann import nearest
 from loanstrata.llm.best_fit_packing import pack
-from loanstrata.llm.common import written
+from loanstrata.llm.common import importable, written
 from loanstrata.llm.decontamination import find_leaks
 from loanstrata.llm.language_id import classify, fit, held_out
 from loanstrata.llm.line_dedup import drop_recurring_lines
@@ -33,6 +33,7 @@ SEQUENCE = 2048
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
