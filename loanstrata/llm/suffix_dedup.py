@@ -496,7 +496,7 @@ _SIEVE_BITS = 25
 def repeats(
     docs: DataFrame,
     length: int = 400,
-    crowd: int = 8192,
+    crowd: int = 32_768,
     run_bytes: int = 96_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -547,7 +547,7 @@ def repeats(
     return documents, copies, spans
 
 
-def kept_digests(docs: DataFrame, length: int = 400, crowd: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def kept_digests(docs: DataFrame, length: int = 400, crowd: int = 32_768, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row, see `repeats`."""
     documents, copies, spans = repeats(docs, length, crowd, id_col=id_col, text_col=text_col)
     cut = written(cut_texts(docs, copies, spans, length, id_col, text_col).select("a", "b", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
