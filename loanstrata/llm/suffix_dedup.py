@@ -450,8 +450,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _repeated_spans(texts: DataFrame, length: int, crowd: int, run_bytes: int) -> DataFrame:
-    """(a, b, low, high) of the bytes of distinct texts that windows with another start cover."""
+def _repeated_spans(texts: DataFrame, sample: DataFrame, length: int, crowd: int, run_bytes: int) -> DataFrame:
+    """(a, b, low, high) of the bytes of distinct texts that windows with another start cover.
+
+    ``sample`` is a bounded number of texts that tells how to cut the order into ranges of equal size.
+    """
     spark = texts.sparkSession
     plan = Plan()
     for level in range(3):
@@ -472,16 +475,12 @@ def _repeated_spans(texts: DataFrame, length: int, crowd: int, run_bytes: int) -
         if not plan.crowded[-1].words.any():
             break
 
-    # Ranges of about equal size, from a bounded sample of texts.
-    every = max(1, texts.count() // 1000)
-
     def prefixes(batches):
         for _, part in _slices(batches, length):
             some = part.anchor[:: max(1, len(part.anchor) // 1000)]
             yield pa.RecordBatch.from_arrays([pa.array([part.raw[s : s + _prefix(length)] for s in some.tolist()], pa.binary())], ["x"])
 
-    sample = texts.filter(F.pmod("b", F.lit(every)) == 0).select("data").mapInArrow(prefixes, "x binary").limit(100_000)
-    ordered = sorted(r.x for r in sample.toLocalIterator())
+    ordered = sorted(r.x for r in sample.select("data").mapInArrow(prefixes, "x binary").limit(100_000).toLocalIterator())
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     splitters = sorted({ordered[len(ordered) * k // ranges] for k in range(1, ranges)}) if ordered else []
 
@@ -528,8 +527,11 @@ def repeats(
     )
     long = keyed.filter(F.col("n_bytes") >= length).select("a", "b", "data")
     some, single = maybe_in(long, copies, ["a", "b"])
-    texts = written(single.unionByName(some.groupBy("a", "b").agg(F.any_value("data").alias("data"))))
-    found = _repeated_spans(texts, length, crowd, run_bytes)
+    # only the texts that need a shuffle are written; the others are read where they lie, pass by pass
+    texts = single.unionByName(written(some.groupBy("a", "b").agg(F.any_value("data").alias("data"))))
+    every = max(1, documents.count() // 1000)
+    sample = long.filter(F.pmod("b", F.lit(every)) == 0).limit(2000)
+    found = _repeated_spans(texts, sample, length, crowd, run_bytes)
 
     def joined(batches):
         for batch in batches:
