@@ -312,7 +312,7 @@ def _left(tag: int, length: int) -> int:
     return (length // 2 - 1, max(1, length // 16) - 1, 0)[tag]
 
 
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 
 
 def _slices(batches, length: int) -> Iterator[tuple[pa.RecordBatch, Texts]]:
@@ -395,7 +395,7 @@ def _sorted_runs(plan: Plan, splitters: list[bytes], length: int, most: int):
                     string = mark + raw[s : min(s + length, end)]
                     context = raw[max(begin, s - left) : s][::-1]
                     items.append((string, context, x, y, s + shift, low, high))
-                    held += len(string) + len(context) + 200
+                    held += len(string) + len(context) + 500
             if held > most:
                 yield from flush(items)
                 items, held = [], 0
@@ -496,7 +496,7 @@ def repeats(
     docs: DataFrame,
     length: int = 400,
     crowd: int = 32_768,
-    run_bytes: int = 96_000_000,
+    run_bytes: int = 48_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
