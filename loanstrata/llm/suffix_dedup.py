@@ -450,22 +450,36 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _repeated_spans(texts: DataFrame, sample: DataFrame, length: int, crowd: int, run_bytes: int) -> DataFrame:
+def _unless(sieve: Sieve):
+    """Rows without a hash, and rows whose hash the sieve stops."""
+
+    def keep(batches):
+        for batch in batches:
+            h = batch.column("h")
+            maybe = sieve.passes(h.fill_null(0).to_numpy()) & h.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(~maybe))
+
+    return keep
+
+
+def _repeated_spans(
+    texts: DataFrame, keep, sample: DataFrame, length: int, crowd: int, run_bytes: int
+) -> DataFrame:
     """(a, b, low, high) of the bytes of distinct texts that windows with another start cover.
 
-    ``sample`` is a bounded number of texts that tells how to cut the order into ranges of equal size.
+    The texts are those rows of ``texts`` that ``keep`` lets through. ``sample`` is a bounded number of texts that tells how to cut the order into ranges of equal size.
     """
     spark = texts.sparkSession
     plan = Plan()
     for level in range(3):
 
         def emit(batches, level=level):
-            for _, part in _slices(batches, length):
+            for _, part in _slices(keep(batches), length):
                 h, n = np.unique(plan.level(part, level), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
 
         again = written(
-            texts.select("data").mapInArrow(emit, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
+            texts.select("h", "data").mapInArrow(emit, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
         )
         plan.again.append(Sieve(again, "h", _SIEVE_BITS))
         if level == 2:
@@ -484,7 +498,8 @@ def _repeated_spans(texts: DataFrame, sample: DataFrame, length: int, crowd: int
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     splitters = sorted({ordered[len(ordered) * k // ranges] for k in range(1, ranges)}) if ordered else []
 
-    runs = texts.mapInArrow(_sorted_runs(plan, splitters, length, run_bytes), _RUN)
+    sort = _sorted_runs(plan, splitters, length, run_bytes)
+    runs = texts.mapInArrow(lambda batches: sort(keep(batches)), _RUN)
     return runs.groupBy("p").applyInArrow(_merge(length), "a long, b long, low long, high long")
 
 
@@ -496,7 +511,7 @@ def repeats(
     docs: DataFrame,
     length: int = 400,
     crowd: int = 32_768,
-    run_bytes: int = 48_000_000,
+    run_bytes: int = 24_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -526,12 +541,16 @@ def repeats(
         documents.filter(F.col("n_bytes") >= length).groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     )
     long = keyed.filter(F.col("n_bytes") >= length).select("a", "b", "data")
-    some, single = maybe_in(long, copies, ["a", "b"])
-    # only the texts that need a shuffle are written; the others are read where they lie, pass by pass
-    texts = single.unionByName(written(some.groupBy("a", "b").agg(F.any_value("data").alias("data"))))
+    some, _ = maybe_in(long, copies, ["a", "b"])
+    h = F.xxhash64("a", "b")
+    # Only texts that need a shuffle to be single are written; the others are read where they lie, pass
+    # by pass. They have a hash, by which the passes leave out what is written.
+    apart = written(some.groupBy("a", "b").agg(F.any_value("data").alias("data")))
+    texts = long.withColumn("h", h).unionByName(apart.withColumn("h", F.lit(None).cast("long")))
+    keep = _unless(Sieve(copies.select(h.alias("h")), "h", _SIEVE_BITS))
     every = max(1, documents.count() // 1000)
     sample = long.filter(F.pmod("b", F.lit(every)) == 0).limit(2000)
-    found = _repeated_spans(texts, sample, length, crowd, run_bytes)
+    found = _repeated_spans(texts, keep, sample, length, crowd, run_bytes)
 
     def joined(batches):
         for batch in batches:
