@@ -33,7 +33,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that fingerprints link, the one of the least doc_id stays; of rows
     with equal ids the first. A null id comes before all others."""
-    numbered = docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id())
+    # written, so that a number names the same row in every job, however a scan is cut
+    numbered = written(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()))
     named = numbered.select(F.struct("doc_id", "row").alias("id"), "text")
     found = near_duplicates(named, words=4, distance=4, id_col="id")
     dropped = found.filter("doc_id.row <> component_id.row").select(F.col("doc_id.row").alias("row"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from loanstrata.llm.common import rows
+from loanstrata.llm.common import rows, written
 
 _NONE = 0x110000  # no character: stands between texts
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -213,10 +213,11 @@ def find_leaks(
         return run
 
     broadcast = docs.sparkSession.sparkContext.broadcast
-    found = [
-        keyed.mapInArrow(search(broadcast(block)), schema)
-        for block in _blocks(benchmark, item_col, item_text_col, least, block_chars)
-    ]
+    blocks = [broadcast(block) for block in _blocks(benchmark, item_col, item_text_col, least, block_chars)]
+    if len(blocks) > 1:
+        # so that a number names the same row in the pass of every block
+        keyed = written(keyed)
+    found = [keyed.mapInArrow(search(block), schema) for block in blocks]
     if not found:
         out = keyed.select(
             "doc_id",

@@ -74,3 +74,19 @@ def test_clean_and_edited(spark):
     texts = [passage.upper(), passage.replace("benchmark", "test"), "the " * 200, passage[:40], "x" * 500 + passage[5:] + "y" * 500]
     found = by_id(find_leaks(documents(spark, enumerate(texts)), benchmark))
     assert [found[i].contaminated for i in range(5)] == [True, True, False, False, True]
+
+
+def test_blocks_name_the_same_rows(spark):
+    """Rows come in another order in every pass: each block still counts for its own document."""
+    passages = [" ".join(f"{w}{k}" for k in range(30)) for w in ("alpha", "beta", "gamma", "delta")]
+    benchmark = documents(spark, enumerate(passages)).withColumnRenamed("doc_id", "item_id")
+    rows = [(i, passages[i] if i < 4 else f"clean text number {i}") for i in range(40)]
+
+    def mixed(batches):
+        for batch in batches:
+            yield batch.take(np.random.default_rng().permutation(batch.num_rows))
+
+    docs = documents(spark, rows).coalesce(1).mapInArrow(mixed, "doc_id long, text string")
+    found = find_leaks(docs, benchmark, block_chars=100).collect()
+    assert sorted(r.doc_id for r in found) == list(range(40))
+    assert {r.doc_id: r.item_ids for r in found if r.contaminated} == {i: [i] for i in range(4)}

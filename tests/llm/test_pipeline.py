@@ -50,3 +50,25 @@ def test_stages(spark):
     lengths = [r.length for r in rows]
     assert len({r.sequence_id for r in rows}) <= best_fit_decreasing(lengths, 2048)
     assert corpus_pipeline.run(spark, SF).count() == len(rows)
+
+
+def test_near_dedup_when_scans_are_cut_anew(spark, tmp_path, monkeypatch):
+    """Executors come and go between jobs, and the scan of the documents is cut otherwise: the same rows go."""
+    table(spark, "documents").repartition(8, "doc_id").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    wanted = sorted(corpus_pipeline.simhash_near_dedup(spark, docs, SF).collect())
+    found = corpus_pipeline.near_duplicates
+
+    def cut_anew(*args, **kwargs):
+        out = found(*args, **kwargs)
+        spark.conf.set("spark.sql.files.minPartitionNum", "64")
+        return out
+
+    monkeypatch.setattr(corpus_pipeline, "near_duplicates", cut_anew)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert sorted(corpus_pipeline.simhash_near_dedup(spark, docs, SF).collect()) == wanted
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
