@@ -34,8 +34,8 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
 class Index:
     """Windows of the items, and for every q-gram the windows and places that have it.
 
-    An item is covered by windows of ``window`` characters, half a window apart; a shorter item is one
-    window. A window of w characters allows e = ``error`` * w edits (fewer for short ones, so that the
+    An item is covered by windows of ``window`` characters, an eighth of a window apart; a shorter item
+    is one window. A window of w characters allows e = ``error`` * w edits (fewer for short ones, so that the
     count below is at least one): a text region within e edits shares w + 1 - q * (e + 1) q-grams with
     it, on at most e + 1 neighbouring diagonals.
     """
@@ -49,7 +49,7 @@ class Index:
         for number, (_, codes) in enumerate(items):
             w = min(window, len(codes))
             last = len(codes) - w
-            for s in sorted({*range(0, last, max(1, window // 2)), last}):
+            for s in sorted({*range(0, last, max(1, window // 8)), last}):
                 gram.append(_grams(codes[s : s + w], q))
                 place.append(np.arange(len(gram[-1])))
                 owner.append(np.full(len(gram[-1]), len(self.codes)))
@@ -162,14 +162,15 @@ def find_leaks(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
-    block_chars: int = 1_000_000,
+    block_chars: int = 250_000,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """(doc_id, columns to ``carry``, contaminated, item_ids, n_windows, least_edits) of every row.
 
     A document is contaminated if some region of it is within the edit budget of a window of a
-    benchmark item (`Index`), both in lower case with single blanks. So a passage of one and a half
-    windows is found wherever it lies in its item, and with up to ``error`` of its characters edited.
+    benchmark item (`Index`), both in lower case with single blanks. A passage of nine eighths of a
+    window (72 characters) holds a whole window wherever it lies in its item. It is found if a window
+    that it holds has at most ``error`` of its characters edited (six of 64).
     Items shorter than ``least`` characters say nothing and match nothing. ``item_ids`` lists the
     matched items in order, ``n_windows`` counts matches, ``least_edits`` is null if there are none.
 

@@ -90,3 +90,13 @@ def test_blocks_name_the_same_rows(spark):
     found = find_leaks(docs, benchmark, block_chars=100).collect()
     assert sorted(r.doc_id for r in found) == list(range(40))
     assert {r.doc_id: r.item_ids for r in found if r.contaminated} == {i: [i] for i in range(4)}
+
+
+def test_short_excerpts_of_long_items():
+    """72 characters of a long item are found wherever they are cut from it."""
+    rng = random.Random(8)
+    item = normalised("".join(rng.choices("abcdefghij", k=400)))
+    index = Index([(1, item)], 64, 0.1, 8)
+    owner, _, edits = index.matches([item[k : k + 72] for k in range(329)])
+    assert set(owner.tolist()) == set(range(329))
+    assert {o for o, e in zip(owner.tolist(), edits.tolist(), strict=True) if e == 0} == set(range(329))
