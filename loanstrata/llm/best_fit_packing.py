@@ -138,7 +138,7 @@ def pack(
     islands: int = 2,
     population: int = 4,
     epochs: int = 2,
-    generations: int = 4,
+    generations: int = 8,
     seed: int = 0,
 ) -> DataFrame:
     """Pack rows of ``length`` into as few sequences of ``capacity`` as it can: adds sequence_id, offset.
@@ -146,7 +146,8 @@ def pack(
     ``items`` is a written table with the columns uid, told apart by it, and length (1 to
     ``capacity``). Full pieces are sequences of their own. The others are dealt by a hash of uid into
     blocks of about ``block`` rows, so that lengths, sources and copies mix and every block is a
-    bounded task; a block wastes less than one sequence or so against its own lower bound.
+    bounded task. No bound on the waste is promised: all of sf0.1 takes one sequence more than its lower
+    bound, 400 exact triples take 403.
 
     Every block is solved on ``islands``. An island breeds ``population`` assignments: crossover
     injects the father's well-filled bins whole, dissolves the mother's bins that hold the same

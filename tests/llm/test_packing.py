@@ -113,3 +113,17 @@ def test_evolution_beats_best_fit(spark):
 
     bins = pack(items, 2048, epochs=2, generations=60, population=6).select("sequence_id").distinct().count()
     assert 60 <= bins < best_fit_decreasing(lengths, 2048)
+
+
+def test_evolution_with_the_defaults(spark):
+    """The budget of the query itself: of 400 exact triples at most three sequences over the bound."""
+    rng = random.Random(4)
+    lengths = []
+    for _ in range(400):
+        a, b = rng.randint(300, 900), rng.randint(300, 900)
+        lengths += [a, b, 2048 - a - b]
+    items = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "uid long, length long")
+    from loanstrata.llm.best_fit_packing import pack
+
+    bins = pack(items, 2048).select("sequence_id").distinct().count()
+    assert 400 <= bins <= 403 < best_fit_decreasing(lengths, 2048)
