@@ -2,6 +2,43 @@
 
 from __future__ import annotations
 
+
+
+def _clustering_sql(rounds: int) -> str:
+    """Rounds of assignment and moving, one pair of tables each. Sums are exact: integers far under 2 ** 53."""
+    nearest = """
+assigned{r} AS (
+  SELECT id, v, min({{'d': vv - 2 * list_inner_product(v, c) + list_inner_product(c, c), 'c': number}}) AS best
+  FROM kept CROSS JOIN centroids{r} GROUP BY id, v
+)"""
+    move = """,
+sums{r} AS (
+  SELECT best.c AS number, i, sum(v[i])::BIGINT AS s, count(*) AS n
+  FROM assigned{r}, range(1, 65) AS dims(i) GROUP BY ALL
+), moved{r} AS (
+  SELECT number, list(floor(s / n) ORDER BY i) AS c FROM sums{r} GROUP BY number
+), centroids{next} AS (
+  SELECT number, coalesce(m.c, o.c) AS c FROM centroids{r} o LEFT JOIN moved{r} m USING (number)
+)"""
+    steps = "".join("," + nearest.format(r=r) + move.format(r=r, next=r + 1) for r in range(rounds))
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS id, vec_id, v, list_inner_product(v, v) AS vv
+  FROM (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+        WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)
+), centroids0 AS (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS number, v AS c
+  FROM (SELECT sha256('2:' || vec_id) AS h, v FROM kept ORDER BY h LIMIT 40)
+){steps},{nearest.format(r=rounds)}, rows AS (
+  SELECT vec_id, best.c AS cluster, best.d::BIGINT AS distance FROM assigned{rounds} JOIN kept USING (id)
+)
+SELECT vec_id, cluster::INT AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string([x::BIGINT FOR x IN c], ',')) AS centroid_sha256
+FROM rows JOIN centroids{rounds} ON number = cluster
+"""
+
+
 LLM_ORACLE = {
     "op1_url_filters": """
 WITH cut AS (
@@ -74,4 +111,56 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept_text, '
        coalesce(k.n_dropped, 0)::INT AS n_dropped
 FROM documents d LEFT JOIN kept k USING (text)
 """,
+    "op11_chat_formatting": r"""
+WITH events AS (
+  SELECT conv_id, turn, role AS given_role, text AS given_text,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, t, r, x, r, x
+  FROM (VALUES (0, 'user', '\### Assistant: </turn> ok'), (1, 'assistant', '\### Assistant: </turn> ok')) AS v(t, r, x)
+), measured AS (
+  SELECT *,
+         length(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'))
+           + length(role) - length(replace(role, chr(10), '')) AS role_chars,
+         length(replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')) AS text_chars
+  FROM events
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), ''
+                         ORDER BY turn NULLS FIRST, given_role NULLS FIRST, given_text NULLS FIRST)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, given_text NULLS FIRST)
+                       FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(4 + role_chars + 1 + text_chars + 8)::BIGINT AS formatted_chars
+FROM measured GROUP BY conv_id
+""",
+    "op12_fill_in_middle": r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), numbered AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units,
+         ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM hashed
+), cut AS (
+  SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+         greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbered
+), parts AS (
+  SELECT doc_id, text, n, form, array_to_string(units[1:a], '') AS prefix,
+         array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix
+  FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+""",
+    "op13_centroid_clustering": _clustering_sql(rounds=5),
 }

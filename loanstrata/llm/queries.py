@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from loanstrata.llm.ann import nearest
 from loanstrata.llm.best_fit_packing import pack
+from loanstrata.llm.centroid_clustering import cluster
+from loanstrata.llm.chat_formatting import conversation_log, format_conversations, read_back
 from loanstrata.llm.common import importable, written
 from loanstrata.llm.decontamination import find_leaks
+from loanstrata.llm.fill_in_middle import fill_in_middle, restored
 from loanstrata.llm.language_id import classify, fit, held_out
 from loanstrata.llm.line_dedup import drop_recurring_lines
 from loanstrata.llm.sharding import shard
@@ -99,6 +102,27 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Both turns of conversation -7: a text with the control strings of a template.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)]
+    both = conversations.unionByName(spark.createDataFrame(added, "conv_id long, turn long, role string, text string"))
+    return read_back(format_conversations(conversation_log(both)))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = restored(fill_in_middle(_table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2, dims=64, scale=256)
+
+
 LLM_QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_language_id": op2_language_id,
@@ -110,4 +134,7 @@ LLM_QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_sharding": op10_sharding,
+    "op11_chat_formatting": op11_chat_formatting,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
