@@ -60,11 +60,28 @@ def turns(formatted: str) -> Iterator[tuple[str, str]]:
         at = end + len(TAIL)
 
 
-def conversation_log(conversations: DataFrame) -> DataFrame:
-    """A table of finished turns (conv_id, turn, role, text) as a log: every row is one message event."""
-    none = F.lit(None).cast("string")
-    return conversations.select(
-        "conv_id", F.col("turn").alias("seq"), F.lit(MESSAGE).alias("kind"), none.alias("message_id"), "role", "text"
+def conversation_log(conversations: DataFrame, delta_chars: int = 512) -> DataFrame:
+    """A table of finished turns (conv_id, turn, role, text) as the log that would have led to it.
+
+    Texts of assistants come as a stream: a message event with the first ``delta_chars`` characters, and a
+    delta for each further run of them. Others are one message event each. Null turns come first; rows of
+    equal turns are ordered by role and a hash of the text, and repeated rows are repeated messages.
+    """
+    text = F.coalesce("text", F.lit(""))
+    runs = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{delta_chars}}}"), F.lit(0))
+    streamed = F.when(F.col("role") == TRAINED, runs).otherwise(F.array(text))
+    rows = conversations.select(
+        "conv_id", "turn", "role", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"), streamed.alias("runs")
+    )
+    events = rows.select("conv_id", "turn", "role", "hash", "row", F.posexplode_outer("runs").alias("at", "text"))
+    follows = F.col("at") > 0
+    return events.select(
+        "conv_id",
+        F.struct("turn", "role", "hash", "row", "at").alias("seq"),
+        F.when(follows, DELTA).otherwise(MESSAGE).alias("kind"),
+        F.col("row").cast("string").alias("message_id"),
+        F.when(~follows | F.col("at").isNull(), F.col("role")).alias("role"),
+        "text",
     )
 
 
@@ -191,7 +208,8 @@ def _fold(batches, most: int):
                 nth = -1
             conv, seq, nth = conv_, seq_, nth + 1
             event = _Message.of(seq, nth, message, kind, role, text)
-            key = (seq, nth) if message is None else message
+            # an event that names no message shares no key
+            key = event if message is None else message
             if key in messages:
                 messages[key].add(event)
             else:
@@ -273,7 +291,8 @@ def format_conversations(log: DataFrame, part_chars: int = PART_CHARS) -> DataFr
     ``regenerate`` set a message's text anew, a ``delta`` is appended to it, an ``edit`` sets it and ends it
     (deltas that still arrive don't count, until the message is generated again), ``delete`` removes it.
     A message stands at the place of its first event and has the last role an event named. An event of
-    another or no kind counts as ``message``; one without ``message_id`` is a message of its own.
+    another or no kind counts as ``message``; one without ``message_id`` is a message of its own. ``seq`` is of
+    any type that can be ordered.
 
     Backslashes and control strings in roles and texts are escaped by a backslash, so `turns` reads the
     same turns back. ``loss_starts`` and ``loss_ends`` are offsets into ``formatted``, in code points, of the
