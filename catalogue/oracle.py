@@ -433,6 +433,26 @@ OFF_CALENDAR = "\nUNION ALL\n".join(
     for name in _RAW
 )
 
+COUNTED_METRICS = "\nUNION ALL\n".join(
+    f"""SELECT 'bronze' AS layer, '{name}' AS source, snapshot_date, metric, value FROM (
+  SELECT snapshot_date, count(*) AS loaded, count(DISTINCT customer_id) AS kept
+  FROM normal_{name} WHERE snapshot_date {YEAR} GROUP BY snapshot_date) t,
+  LATERAL (VALUES ('rows_loaded', loaded), ('rows_kept', kept),
+                  ('duplicates_removed', loaded - kept)) v(metric, value)
+UNION ALL
+SELECT 'bronze', '{name}', NULL, 'rows_unreadable', count(*) FILTER (snapshot_date IS NULL) FROM normal_{name}
+UNION ALL
+SELECT 'bronze', '{name}', NULL, 'rows_off_calendar', count(*) FILTER (snapshot_date NOT {YEAR}) FROM normal_{name}"""
+    for name in ("lms", "attributes")
+)
+RAGGED_LINES = f"""WITH {RAW_LMS}
+SELECT CAST(snapshot_date AS DATE) AS snapshot_date,
+  concat_ws(',', loan_id, customer_id, loan_start_date, tenure, installment_num, loan_amt, due_amt, paid_amt,
+            overdue_amt, snapshot_date, CASE WHEN installment_num <> '7' THEN balance END,
+            CASE WHEN installment_num = '6' THEN 'more' END) AS line,
+  count(*) OVER () AS rows_ragged
+FROM raw_lms WHERE installment_num IN ('6', '7')"""
+
 BACKFILL_LABELS = _silver_sql("lms", "SELECT * FROM label_store", LABELS)
 
 ORACLE: dict[str, str] = {
@@ -583,8 +603,25 @@ FROM (SELECT customer_id, snapshot_date, TRY_CAST(fe_1 AS DOUBLE) AS fe_1, TRY_C
         f"{BRONZE_METRICS}\nUNION ALL\n{OFF_CALENDAR}\nUNION ALL\n"
         f"SELECT * FROM ({LMS_METRICS}) WHERE snapshot_date {YEAR}"
     ),
+    "counted_run_metrics": _all_silver_sql(COUNTED_METRICS),
+    "quarantined_lines": RAGGED_LINES,
     "csv_export": _silver_sql("lms", "SELECT * FROM silver_lms"),
     "csv_export_clickstream": _silver_sql("clickstream", "SELECT * FROM silver_clickstream"),
     "csv_export_attributes": _silver_sql("attributes", "SELECT * FROM silver_attributes"),
     "csv_export_financials": _silver_sql("financials", "SELECT * FROM silver_financials"),
 }
+
+# The same tables by another way: what is stored, counted on a cube, or brought up to date.
+for _name, _same in {
+    "write_that_fails": "label_store",
+    "version_before_rerun": "label_store",
+    "audited_feature_store": "feature_store",
+    "stored_join_audit": "join_audit",
+    "cube_mob_profile": "mob_profile",
+    "cube_dpd_histogram_60": "dpd_histogram_60",
+    "cube_dpd_thresholds": "dpd_thresholds",
+    "cube_default_split": "default_split_at_mob",
+    "incremental_eda_summary": "eda_summary",
+    "incremental_actual_bads": "actual_bads_last_obs",
+}.items():
+    ORACLE[_name] = ORACLE[_same]

@@ -13,9 +13,9 @@ from loanstrata.functions import numbers, text
 from loanstrata.functions.dates import month_calendar, month_starts
 from loanstrata.operators.merge import inner_merge, join_audit, source_coverage
 from loanstrata.operators.normalize import normalize_names, normalize_strings
-from loanstrata.plans import backfill, delinquency, gold, quality, silver
+from loanstrata.plans import backfill, cube, delinquency, gold, quality, silver
 from loanstrata.plans.bronze import bronze_rows, dated
-from loanstrata.schemas import FINANCIAL_INTEGERS, FINANCIAL_NUMBERS, SOURCES
+from loanstrata.schemas import FINANCIAL_INTEGERS, FINANCIAL_NUMBERS, RAGGED, SOURCES
 from loanstrata.sources.lake import Lake, export_csv, read_export
 from loanstrata.sources.raw import read_raw
 
@@ -235,6 +235,99 @@ def stored_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("quality", "run_metrics")
 
 
+def write_that_fails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored labels, after a rerun with other labels broke off in the rows of its last months."""
+    lake = Lake(spark, f"{scratch(spark)}/lake")
+    months = month_starts(*views.month_range(spark, sf_dir))
+    lms = _silver(spark, sf_dir, "lms")
+    lake.write(gold.label_store(lms, DPD, MOB), "gold", "label_store", months)
+    breaks = F.when(F.col("snapshot_date") >= F.lit("1998-06-01"), F.raise_error(F.lit("executor lost"))).cast("int")
+    try:
+        broken = gold.label_store(lms, 1, MOB).withColumn("label", F.coalesce(breaks, "label"))
+        lake.write(broken, "gold", "label_store", months)
+    except Exception as error:
+        if "executor lost" not in str(error):
+            raise
+    return lake.read("gold", "label_store")
+
+
+def version_before_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels as they were before a rerun of one year with another threshold."""
+    lake = Lake(spark, f"{scratch(spark)}/lake")
+    lms = _silver(spark, sf_dir, "lms")
+    lake.write(gold.label_store(lms, DPD, MOB), "gold", "label_store", month_starts(*views.month_range(spark, sf_dir)))
+    lake.write(gold.label_store(lms, 1, MOB), "gold", "label_store", month_starts("1997-01-01", "1997-12-01"))
+    return lake.read("gold", "label_store", version=1)
+
+
+def counted_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of a load of one year, as its writes counted them."""
+    lake = Lake(spark, f"{scratch(spark)}/lake")
+    raw = views.raw_sources(spark, sf_dir)
+    months = month_starts("1997-01-01", "1997-12-01")
+    for name in ("lms", "attributes"):
+        backfill.load_bronze(lake, name, raw[name], months)
+        backfill.load_silver(lake, name, months)
+    return quality.counted_metrics(lake, months)
+
+
+def _audited(spark: SparkSession, sf_dir: str) -> Lake:
+    """Feature store and join audit of all months, by one shuffle of the silver rows."""
+    lake = Lake(spark, f"{scratch(spark)}/lake")
+    months = month_starts(*views.month_range(spark, sf_dir))
+    for name, df in _all_silver(spark, sf_dir).items():
+        lake.write(df, "silver", name, months)
+    backfill.load_features(lake, months, MOB, audit=True)
+    return lake
+
+
+def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw table in which seventh installments lack their last cell and sixth ones have one too many: the
+    lines that the load lists, and how many it counted."""
+    root = scratch(spark)
+    lake = Lake(spark, f"{root}/lake")
+    raw = views.raw_lms(spark, sf_dir)
+    # the date must be there for a row to be loaded, so the balance comes last
+    order = [*[c for c in raw.columns if c != "balance"], "balance"]
+    number = F.col("installment_num")
+    cells = [F.coalesce(c, F.lit("")) for c in order[:-1]]
+    line = F.concat_ws(",", *cells, F.when(number != "7", F.col("balance")), F.when(number == "6", "more"))
+    # lines as they are, each file headed by the name of their one column
+    plain = {"header": True, "sep": "\1", "quote": "\0", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw.select(line.alias(",".join(order))).write.options(**plain).csv(f"{root}/raw")
+    months = month_starts(*views.month_range(spark, sf_dir))
+    backfill.load_bronze(lake, "lms", read_raw(spark, f"{root}/raw", checked=True), months)
+    counted = lake.manifest("bronze", "lms").runs
+    ragged = sum(run.measured["rows_ragged"] for run in counted.values())
+    lines = lake.read("quarantine", "lms").withColumnRenamed(RAGGED, "line")
+    return lines.select("snapshot_date", "line", F.lit(ragged).cast("bigint").alias("rows_ragged"))
+
+
+# -- analysis from the cube ------------------------------------------------------------------------
+
+
+def _on_cube(report: Callable[[DataFrame], DataFrame]):
+    """A report on the cells of the cube of all silver loan rows."""
+    return lambda spark, sf_dir: report(
+        cube.cells(cube.loan_cube(_silver(spark, sf_dir, "lms")), DPD, views.STARTED_BEFORE)
+    )
+
+
+def incremental_analysis(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A stored table of the analysis, which was made for the first months and then brought up to date."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake = Lake(spark, f"{scratch(spark)}/lake")
+        lms = _silver(spark, sf_dir, "lms")
+        first, last = views.month_range(spark, sf_dir)
+        for start, end in ((first, "1998-06-01"), ("1998-07-01", last)):
+            lake.write(lms, "silver", "lms", month_starts(start, end))
+            backfill.load_analysis(lake, DPD, MOB, views.STARTED_BEFORE)
+        return lake.read("analysis", table)
+
+    return query
+
+
 def csv_export(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """Cleaned rows of a source, all columns, written as CSV and read back."""
 
@@ -305,6 +398,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_feature_store": backfill_feature_store,
     "widened_clickstream": widened_clickstream,
     "stored_run_metrics": stored_run_metrics,
+    "write_that_fails": write_that_fails,
+    "version_before_rerun": version_before_rerun,
+    "counted_run_metrics": counted_run_metrics,
+    "audited_feature_store": lambda s, d: _audited(s, d).read("gold", "feature_store"),
+    "stored_join_audit": lambda s, d: _audited(s, d).read("quality", "join_audit"),
+    "quarantined_lines": quarantined_lines,
+    "cube_mob_profile": _on_cube(cube.mob_profile),
+    "cube_dpd_histogram_60": _on_cube(lambda cells: cube.dpd_histogram(cells, bins=30, at_most=60)),
+    "cube_dpd_thresholds": _on_cube(cube.dpd_thresholds),
+    "cube_default_split": _on_cube(lambda cells: cube.default_split(cells, MOB)),
+    "incremental_eda_summary": incremental_analysis("summary"),
+    "incremental_actual_bads": incremental_analysis("actual_bads"),
     "csv_export": csv_export("lms"),
     "csv_export_clickstream": csv_export("clickstream"),
     "csv_export_attributes": csv_export("attributes"),

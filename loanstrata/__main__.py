@@ -9,7 +9,7 @@ import argparse
 from datetime import date
 
 from loanstrata.functions.dates import month_starts
-from loanstrata.plans.backfill import backfill, export_silver, load_analysis, load_report
+from loanstrata.plans.backfill import backfill, export_silver, load_analysis, load_metrics
 from loanstrata.plans.quality import store_summary
 from loanstrata.session import builder
 from loanstrata.sources.lake import Lake
@@ -34,7 +34,7 @@ def main() -> None:
 
     spark = builder(shuffle_partitions=args.shuffle_partitions).getOrCreate()
     lake = Lake(spark, args.lake)
-    raw = read_raw_sources(spark, args.raw)
+    raw = read_raw_sources(spark, args.raw, checked=True)
     if not raw:
         parser.exit(1, f"no raw file found in {args.raw}\n")
     backfill(
@@ -46,9 +46,10 @@ def main() -> None:
         args.mob,
         args.on_missing,
         args.months_per_job,
+        audit=args.report,
     )
     if args.report:
-        load_report(lake, raw, month_starts(args.start, args.end), args.mob, args.on_missing)
+        load_metrics(lake, None, month_starts(args.start, args.end), args.mob)
     if args.analysis:
         load_analysis(lake, args.dpd, args.mob)
     if args.export:

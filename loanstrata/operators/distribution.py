@@ -6,17 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+def equal_width_histogram(df: DataFrame, column: str, bins: int, weight: str | None = None) -> DataFrame:
     """Counts in ``bins`` equal bins between the smallest and the largest value, last bin closed.
 
-    Values are counted first; range and bins both come from the counts, so the table is read once.
+    Values are counted first; range and bins both come from the counts, so the table is read once. With
+    a ``weight`` column every row counts that many times.
     A value on a bin edge falls into the bin that starts there. When all values are equal the range
     is one unit around them.
     """
     counts = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("bigint").alias("value"))
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum(weight).alias("n") if weight else F.count("*").alias("n"))
     )
     # The count goes along with the extreme values: without it the optimizer would take them from
     # the table in a second scan instead of from the shuffled counts.
@@ -44,12 +45,23 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
-def exceedance(df: DataFrame, column: str, thresholds: list[int], name: str = "threshold") -> DataFrame:
-    """For each threshold: all rows, rows at or above it, rows below it, and the share above."""
+def exceedance(
+    df: DataFrame, column: str, thresholds: list[int], name: str = "threshold", weight: str | None = None
+) -> DataFrame:
+    """For each threshold: all rows, rows at or above it, rows below it, and the share above.
+
+    With a ``weight`` column every row counts that many times.
+    """
     total = F.col("n_obs")
+
+    def count(condition: Column) -> Column:
+        if weight is None:
+            return F.count_if(condition)
+        return F.coalesce(F.sum(F.when(condition, F.col(weight))), F.lit(0))
+
     counted = df.agg(
-        F.count("*").alias("n_obs"),
-        *[F.count_if(F.col(column) >= t).alias(f"at_{t}") for t in thresholds],
+        count(F.lit(True)).alias("n_obs"),
+        *[count(F.col(column) >= t).alias(f"at_{t}") for t in thresholds],
     )
 
     def line(t: int) -> Column:

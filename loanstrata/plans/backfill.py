@@ -5,20 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loanstrata.functions.dates import month_starts
 from loanstrata.operators.merge import join_audit
 from loanstrata.operators.normalize import normal_name
-from loanstrata.plans.bronze import bronze_rows
-from loanstrata.plans.delinquency import tables
-from loanstrata.plans.gold import feature_store, label_store, rows_by_source
-from loanstrata.plans.quality import bronze_metrics, lms_metrics
+from loanstrata.plans import cube
+from loanstrata.plans.bronze import dated
+from loanstrata.plans.delinquency import DEFAULT_MOB, at_installment, observations
+from loanstrata.plans.gold import audit_of, customer_rows, feature_store, label_store, rows_by_source, store_of
+from loanstrata.plans.quality import bronze_metrics, counted_metrics, lms_metrics, scan_counts
 from loanstrata.plans.silver import clean
-from loanstrata.schemas import SOURCE_COLUMNS, SOURCES, source
+from loanstrata.schemas import RAGGED, SNAPSHOT, SOURCE_COLUMNS, SOURCES, source
 from loanstrata.sources.lake import Lake, export_csv
 
 
@@ -38,19 +40,41 @@ def load_bronze(
 
     Clickstream rows name the ``fe_*`` columns of their raw file, which may differ between runs. Pass
     ``rebalance=False`` for raw tables that come sorted by snapshot in well-sized files.
+
+    What the scan reads is counted on the way and kept with the run (`quality.scan_counts`). Of a
+    checked scan (`read_raw`) the lines with too many or too few cells are also listed in the table
+    ``quarantine/<source>``; they stay in bronze as they were read. That takes a second scan where
+    there are any.
     """
-    rows = bronze_rows(raw, snapshots)
+    rows = dated(raw)
+    counts = scan_counts(rows, snapshots)
+    seen = Observation()
+    scanned = rows.observe(seen, *[c.alias(n) for n, c in counts.items()])
+    kept = scanned.where(F.col(SNAPSHOT).isin(list(snapshots))).drop(RAGGED)
     if source(name).name == "clickstream":
         names = sorted(n for c in raw.columns if (n := normal_name(c)).startswith("fe_"))
-        rows = rows.withColumn(SOURCE_COLUMNS, F.lit(",".join(names)))
-    lake.write(rows, "bronze", name, snapshots, rebalance)
+        kept = kept.withColumn(SOURCE_COLUMNS, F.lit(",".join(names)))
+
+    def measured(written: dict[date, int]) -> dict:
+        found = {n: seen.get[n] for n in counts}
+        left_out = found["rows_unreadable"] + found["rows_off_calendar"]
+        if found["rows_loaded"] - left_out != sum(written.values()):
+            # a lost executor's tasks ran again and were counted twice: count anew
+            found = rows.agg(*[c.alias(n) for n, c in counts.items()]).first().asDict()
+        if found.get("rows_ragged") or RAGGED in raw.columns and lake.manifest("quarantine", name):
+            ragged = rows.where(F.col(RAGGED).isNotNull()).select(SNAPSHOT, RAGGED)
+            lake.replace(ragged, "quarantine", name)
+        return found
+
+    lake.write(kept, "bronze", name, snapshots, rebalance, measured)
 
 
 def load_silver(lake: Lake, name: str, snapshots: list[date], rebalance: bool = True) -> None:
     """Clean the bronze slices of one source; a source without bronze is left out."""
-    rows = lake.read("bronze", source(name).name, snapshots)
+    runs = lake.runs("bronze", source(name).name)
+    rows = lake.read("bronze", name, snapshots)
     if rows is not None:
-        lake.write(clean(name, rows), "silver", name, snapshots, rebalance)
+        lake.write(clean(name, rows), "silver", name, snapshots, rebalance, lambda _: {"made_from": runs})
 
 
 def load_labels(lake: Lake, snapshots: list[date], dpd: int = 30, mob: int = 6) -> None:
@@ -66,45 +90,113 @@ def load_features(
     mob: int = 6,
     on_missing: str = "skip",
     rebalance: bool = True,
+    audit: bool = False,
 ) -> None:
-    """Write the feature store from the silver tables there are."""
+    """Write the feature store from the silver tables there are.
+
+    With ``audit`` the join audit of the quality layer is written, too: one shuffle brings the rows of a
+    customer together for both, its result is written as ``gold/customer_rows``, and store and audit are
+    read from there.
+    """
     silver = {name: lake.read("silver", name, snapshots) for name in SOURCES}
-    if rows_by_source(silver, mob):
+    rows = rows_by_source(silver, mob)
+    if not rows:
+        return
+    if not audit:
         store = feature_store(silver, mob, on_missing)
         lake.write(store, "gold", "feature_store", snapshots, rebalance)
+        return
+    lake.write(customer_rows(rows), "gold", "customer_rows", snapshots, rebalance)
+    together = lake.read("gold", "customer_rows", snapshots)
+    # without a row in any source there is nothing to store and nothing to audit
+    if together is None:
+        together = lake.spark.createDataFrame([], customer_rows(rows).schema)
+    # the files are well-sized already
+    lake.write(store_of(together, list(rows), on_missing), "gold", "feature_store", snapshots, rebalance=False)
+    if len(rows) > 1:
+        lake.write(audit_of(together, list(rows), on_missing), "quality", "join_audit", snapshots)
 
 
 def load_report(
     lake: Lake,
-    raw: dict[str, DataFrame],
+    raw: dict[str, DataFrame] | None,
     snapshots: list[date],
     mob: int = 6,
     on_missing: str = "skip",
 ) -> None:
     """Write the run metrics and the join audit of a run as tables of the quality layer.
 
-    The metrics count the raw tables, so rows that the run leaves out because of their date are in
-    them; the table is that of the last run. The audit is that of the frames the store joins.
+    With ``raw`` the metrics count the raw tables, so rows that the run leaves out because of their date
+    are in them, date by date. Without it they are the counts that the loads kept, and no raw table is
+    read again (`quality.counted_metrics`). The table is that of the last run. The audit is that of the
+    frames the store joins.
     """
+    load_metrics(lake, raw, snapshots, mob)
     silver = {name: lake.read("silver", name, snapshots) for name in SOURCES}
-    if raw:
-        metrics = bronze_metrics(raw, snapshots)
-        if silver["lms"] is not None:
-            metrics = metrics.unionAll(lms_metrics(silver["lms"], mob))
-        lake.replace(metrics, "quality", "run_metrics")
     rows = rows_by_source(silver, mob)
     if len(rows) > 1:
         lake.write(join_audit(rows, on_missing), "quality", "join_audit", snapshots)
 
 
+def load_metrics(lake: Lake, raw: dict[str, DataFrame] | None, snapshots: list[date], mob: int = 6) -> None:
+    """Write the run metrics, see `load_report`."""
+    found = [bronze_metrics(raw, snapshots) if raw else counted_metrics(lake, snapshots)]
+    lms = lake.read("silver", "lms", snapshots)
+    if lms is not None:
+        found.append(lms_metrics(lms, mob))
+    lake.replace(reduce(DataFrame.unionAll, found), "quality", "run_metrics")
+
+
+def refresh_cube(lake: Lake) -> list[date]:
+    """Count the snapshots of the silver loan table that changed since they were counted; returns these."""
+    runs, counted = lake.runs("silver", "lms"), lake.made_from("analysis", "loan_cube")
+    changed = [date.fromisoformat(k) for k in sorted(runs.keys() | counted.keys()) if runs.get(k) != counted.get(k)]
+    if changed:
+        cells = cube.loan_cube(lake.read("silver", "lms", changed))
+        lake.write(cells, "analysis", "loan_cube", changed, measured=lambda _: {"made_from": runs})
+    return changed
+
+
+def refresh_last_observations(lake: Lake, dpd: int = 30, started_before: str = "2024-01-01") -> list[date]:
+    """Bring the last observation of each loan up to date; returns the snapshots that were read for it.
+
+    Snapshots that came since are merged with the state. If one that the state has seen was written
+    again, or the state was made with other parameters, it is made anew from all snapshots.
+    """
+    runs = lake.runs("silver", "lms")
+    manifest = lake.manifest("analysis", "last_observation")
+    seen = list(manifest.runs.values())[-1].measured if manifest else {}
+    had = seen.get("made_from", {})
+    asked = {"dpd": dpd, "started_before": started_before}
+    holds = {k: seen.get(k) for k in asked} == asked and had.items() <= runs.items()
+    new = [date.fromisoformat(k) for k in runs if not holds or k not in had]
+    if new or not holds:
+        state = lake.read("analysis", "last_observation") if holds else None
+        obs = observations(lake.read("silver", "lms", new), dpd, started_before)
+        lake.replace(cube.merged_last(state, obs), "analysis", "last_observation", asked | {"made_from": runs})
+    return new
+
+
 def load_analysis(
-    lake: Lake, dpd: int = 30, mob: int = 6, started_before: str = "2024-01-01"
+    lake: Lake, dpd: int = 30, mob: int = DEFAULT_MOB, started_before: str = "2024-01-01"
 ) -> None:
-    """Write the delinquency tables from all of the stored silver loan table."""
+    """Write the delinquency tables of the stored silver loan table.
+
+    All counts come from the cube, all last observations from the state; of the loan table only the
+    snapshots are read that are new to them, and the rows of the final installment.
+    """
     lms = lake.read("silver", "lms")
-    if lms is not None:
-        found = tables(lms, dpd, mob, started_before)
-        _side_by_side(lake, [lambda n=n, df=df: lake.replace(df, "analysis", n) for n, df in found.items()])
+    if lms is None:
+        return
+    _side_by_side(lake, [lambda: refresh_cube(lake), lambda: refresh_last_observations(lake, dpd, started_before)])
+    last = lake.read("analysis", "last_observation")
+    found = cube.count_tables(cube.cells(lake.read("analysis", "loan_cube"), dpd, started_before), last, mob)
+    found |= {
+        "final_installment": at_installment(observations(lms, dpd, started_before)),
+        "actual_bads": last.where(F.col("dpd_flag") == 1),
+        "actual_bads_summary": cube.bads_summary(last),
+    }
+    _side_by_side(lake, [lambda n=n, df=df: lake.replace(df, "analysis", n) for n, df in found.items()])
 
 
 def export_silver(lake: Lake, snapshot: date, folder: str) -> list[str]:
@@ -126,12 +218,14 @@ def backfill(
     on_missing: str = "skip",
     months_per_job: int | None = None,
     rebalance: bool = True,
+    audit: bool = False,
 ) -> None:
     """Rebuild all layers for the months from ``start`` to ``end``.
 
     Each layer is one job per table over all months. ``months_per_job`` bounds what one silver or
     gold job shuffles: the months are then cleaned in groups, while the raw tables are still read
-    once. ``rebalance=False`` writes every layer as its tasks hold it (see `Lake.write`). Every layer is
+    once. ``rebalance=False`` writes every layer as its tasks hold it (see `Lake.write`). ``audit`` writes
+    the join audit with the feature store (see `load_features`). Every layer is
     a written table, so a lost executor costs the tasks it ran and a failed run
     can be started again: it overwrites the same snapshots and no others.
     """
@@ -147,6 +241,6 @@ def backfill(
             lake,
             [
                 lambda: load_labels(lake, group, dpd, mob),
-                lambda: load_features(lake, group, mob, on_missing, rebalance),
+                lambda: load_features(lake, group, mob, on_missing, rebalance, audit),
             ],
         )

@@ -12,6 +12,7 @@ from loanstrata.operators.distribution import equal_width_histogram, exceedance
 # The days-past-due thresholds of the two reports.
 DPD_THRESHOLDS = [1, 5, 10, 15, 20, 30, 60, 90]
 DEFAULT_THRESHOLDS = [20, 30, 60, 90]
+DEFAULT_MOB = 6
 
 
 def observations(lms: DataFrame, dpd: int = 30, started_before: str = "2024-01-01") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from loanstrata.functions.dates import installment_due_date, is_past_due, missed_installments
 from loanstrata.functions.numbers import age_band, row_mean, safe_ratio
 from loanstrata.operators.dedup import latest
-from loanstrata.operators.merge import sources_present, union_sources
+from loanstrata.operators.merge import audit_counts, row_counts, sources_present, union_sources
 from loanstrata.schemas import (
     ALL_SOURCES_MASK,
     CUSTOMER,
@@ -158,8 +158,7 @@ def feature_store(
     snapshot without them has no rows. Columns of a source that is left out are NULL. With
     ``"strict"`` all four sources are required.
     """
-    if on_missing not in ("skip", "strict"):
-        raise ValueError(f"on_missing must be 'skip' or 'strict', not {on_missing!r}")
+    _check(on_missing)
     rows = rows_by_source(silver, mob)
     if not rows:
         raise ValueError("no source to build features from")
@@ -169,15 +168,56 @@ def feature_store(
         .groupBy(*KEYS)
         .agg(F.bit_or("mask").alias("mask"), *[c for name in rows for c in _summary(name)])
     )
+    optional = {name: rows[name] for name in rows if name in OPTIONAL}
+    present = sources_present(optional) if optional and on_missing == "skip" else None
+    return _complete(merged, list(rows), on_missing, present)
+
+
+def customer_rows(rows: dict[str, DataFrame]) -> DataFrame:
+    """What all sources have of each customer and snapshot: the mask of those that have a row, the number
+    of rows of each, and all features. `store_of` and `audit_of` need no more shuffle by customer."""
+    features = [c for name in rows for c in _summary(name)]
+    mask = F.bit_or("mask").alias("mask")
+    return union_sources(rows).groupBy(*KEYS).agg(mask, *row_counts(list(rows)), *features)
+
+
+def _present(together: DataFrame, names: list[str]) -> DataFrame | None:
+    """The optional sources that each snapshot has, from `customer_rows`: one row per snapshot."""
+    optional = sum(SOURCES[name].bit for name in names if name in OPTIONAL)
+    if not optional:
+        return None
+    seen = F.bit_or("mask").bitwiseAND(F.lit(optional))
+    return together.groupBy(SNAPSHOT).agg(seen.alias("present"))
+
+
+def store_of(together: DataFrame, names: list[str], on_missing: str = "skip") -> DataFrame:
+    """The feature store from `customer_rows` of the sources ``names``, see `feature_store`."""
+    _check(on_missing)
+    present = _present(together, names) if on_missing == "skip" else None
+    return _complete(together.where(F.col(CUSTOMER).isNotNull()), names, on_missing, present)
+
+
+def audit_of(together: DataFrame, names: list[str], on_missing: str = "skip") -> DataFrame:
+    """The join audit from `customer_rows` of the sources ``names``, see `join_audit`."""
+    _check(on_missing)
+    counts = together.select(*KEYS, *[f"n_{name}" for name in names])
+    return audit_counts(counts, names, _present(together, names) if on_missing == "skip" else None)
+
+
+def _check(on_missing: str) -> None:
+    if on_missing not in ("skip", "strict"):
+        raise ValueError(f"on_missing must be 'skip' or 'strict', not {on_missing!r}")
+
+
+def _complete(merged: DataFrame, names: list[str], on_missing: str, present: DataFrame | None) -> DataFrame:
+    """Customers whose mask has all required sources, with the columns of the store."""
     if on_missing == "strict":
         kept = merged.where(F.col("mask") == ALL_SOURCES_MASK)
     else:
-        always = sum(SOURCES[name].bit for name in rows if name not in OPTIONAL)
-        optional = {name: rows[name] for name in rows if name in OPTIONAL}
-        required = F.lit(always)
-        if optional:
+        required = F.lit(sum(SOURCES[name].bit for name in names if name not in OPTIONAL))
+        if present is not None:
             # One row per snapshot date: the broadcast side cannot grow with the data.
-            merged = merged.join(F.broadcast(sources_present(optional)), SNAPSHOT, "left")
+            merged = merged.join(F.broadcast(present), SNAPSHOT, "left")
             required = F.coalesce("present", F.lit(0)).bitwiseOR(required)
         kept = merged.where(F.col("mask") == required)
     return kept.select(

@@ -30,6 +30,8 @@ SOURCES = {
 OPTIONAL = ("clickstream", "lms")
 # Column of the lake's clickstream that names the fe_* columns of the raw file a row came from.
 SOURCE_COLUMNS = "source_columns"
+# Column of a checked raw scan: the line of a row that has more or fewer cells than the header.
+RAGGED = "ragged_line"
 ALL_SOURCES_MASK = sum(s.bit for s in SOURCES.values())
 
 # Target types of the loan-servicing columns.
@@ -97,8 +99,22 @@ FEATURE_STORE = {
     **{name: dtype for cols in FEATURES.values() for name, dtype in cols.items()},
 }
 
+# Number of loan observations by everything that the delinquency counts ask for.
+LOAN_CUBE = {
+    "loan_start_date": "date",
+    "mob": "int",
+    "dpd": "int",
+    "missed": "boolean",
+    "n": "bigint",
+    "snapshot_date": "date",
+}
+
 # Tables with a fixed schema, by layer and name.
-FIXED = {("gold", "label_store"): LABEL_STORE, ("gold", "feature_store"): FEATURE_STORE}
+FIXED = {
+    ("gold", "label_store"): LABEL_STORE,
+    ("gold", "feature_store"): FEATURE_STORE,
+    ("analysis", "loan_cube"): LOAN_CUBE,
+}
 
 
 def ddl(columns: dict[str, str]) -> str:

@@ -8,6 +8,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Adaptive execution sizes shuffle partitions, splits skewed ones and rebalances writes.
     "spark.sql.adaptive.enabled": "true",
+    # With more than 2000 partitions Spark keeps the mean size of a map task's blocks, which hides a hot
+    # partition from the skew handling. Blocks of five times the median keep their own size.
+    "spark.shuffle.accurateBlockSkewedFactor": "5",
     # The financial cleaner fills a large generated method, and the JIT compiles none beyond 8000
     # bytes of code. With this limit Spark splits the expressions into small methods instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",

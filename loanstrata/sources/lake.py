@@ -1,24 +1,35 @@
-"""Lake tables: Parquet directories partitioned by ``snapshot_date``, one per layer and table."""
+"""Lake tables: Parquet files by ``snapshot_date``, and manifests that say which of them count."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from loanstrata.schemas import FIXED, SNAPSHOT, ddl
+from loanstrata.sources.manifest import WHOLE, Manifest, Run, Versions
+
+#: How Spark names files by default: those of a table that other tools wrote.
+_FOREIGN = "part"
+#: The count of all rows of a write.
+_ALL = "all rows"
 
 
 @dataclass(frozen=True)
 class Lake:
-    """A lake under one root path; tables live at ``<root>/<layer>/<table>``."""
+    """A lake under one root path; tables live at ``<root>/<layer>/<table>``.
+
+    A write adds files whose names start with the id of its run, and then commits a manifest that names
+    the run for each of its snapshots. Readers open the files of the newest manifest's runs and no
+    others: a write that is killed midway, or fails in its last task, changes nothing, and neither
+    does one that is still at work. The manifest also holds the columns of every run, so a read opens no
+    file for its schema, and the rows of every snapshot.
+    """
 
     spark: SparkSession
     root: str
@@ -26,24 +37,65 @@ class Lake:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    def versions(self, layer: str, table: str) -> Versions:
+        return Versions(self.spark, self.path(layer, table))
+
+    def manifest(self, layer: str, table: str, version: int | None = None) -> Manifest | None:
+        """A table's version, by default the newest; None if it was never written."""
+        return self.versions(layer, table).get(version)
+
     def read(
-        self, layer: str, table: str, snapshots: Sequence[date] | None = None
+        self,
+        layer: str,
+        table: str,
+        snapshots: Sequence[date] | None = None,
+        version: int | None = None,
     ) -> DataFrame | None:
-        """A table, opened at the folders of the given snapshots only; None if it was never written.
+        """A table, opened at the files of the given snapshots only; None if it was never written.
 
-        The gold tables have fixed schemas. Bronze and silver have the columns of all files that are
-        opened: a column that some snapshots lack is NULL there. If no snapshot asked for is there,
-        the table is empty.
+        The gold tables have fixed schemas. Others have the columns of all runs that are opened: a
+        column that some snapshots lack is NULL there. If no snapshot asked for has rows, the table is
+        empty and has all its columns. ``version`` reads the table as it was.
         """
-        path = self.path(layer, table)
+        manifest = self.manifest(layer, table, version)
+        if manifest is None:
+            return None
+        return self._open(manifest, layer, table, snapshots)
+
+    def _open(self, manifest: Manifest, layer: str, table: str, snapshots: Sequence[date] | None) -> DataFrame:
+        asked = None if snapshots is None else {s.isoformat() for s in snapshots}
+        found = {k: run for k, (run, n) in manifest.snapshots.items() if n and (asked is None or k in asked)}
         fixed = FIXED.get((layer, table))
-        schema = ddl(fixed) if fixed else None
-        folders = None if snapshots is None else self._folders(path, snapshots)
-        if folders == [] and self._exists(path):
-            # all there is to know about it is the schema
-            whole = self._open("parquet", path, [path], schema, merge=False)
-            return None if whole is None else whole.limit(0)
-        return self._open("parquet", path, folders or [path], schema)
+        if fixed:
+            schema = StructType.fromDDL(ddl(fixed))
+        else:
+            schema = manifest.columns(set(found.values()))
+            if not manifest.whole:
+                schema = StructType([*schema, StructField(SNAPSHOT, DateType())])
+        if not found:
+            return self.spark.createDataFrame([], schema)
+        path = self.path(layer, table)
+        files = [f"{path}/{_folder(k)}{run}-*.parquet" for k, run in found.items()]
+        return self.spark.read.schema(schema).option("basePath", path).parquet(*files)
+
+    def runs(self, layer: str, table: str) -> dict[str, str]:
+        """The run that wrote each snapshot, by its ISO date: another run, other rows."""
+        manifest = self.manifest(layer, table)
+        return {} if manifest is None else {k: run for k, (run, _) in manifest.snapshots.items()}
+
+    def made_from(self, layer: str, table: str) -> dict[str, str]:
+        """For each snapshot the run of the source table that its rows were made from, as `runs` gave it."""
+        manifest = self.manifest(layer, table)
+        if manifest is None:
+            return {}
+        made = {r: run.measured.get("made_from", {}) for r, run in manifest.runs.items()}
+        return {k: made[run][k] for k, (run, _) in manifest.snapshots.items() if k in made[run]}
+
+    def rows(self, layer: str, table: str) -> dict[date, int]:
+        """Rows of every snapshot that has any, as the writes counted them; reads no data."""
+        manifest = self.manifest(layer, table)
+        found = {} if manifest is None else manifest.snapshots
+        return {date.fromisoformat(k): n for k, (_, n) in found.items() if k != WHOLE}
 
     def write(
         self,
@@ -52,71 +104,118 @@ class Lake:
         table: str,
         snapshots: Sequence[date],
         rebalance: bool = True,
-    ) -> None:
+        measured: Callable[[dict[date, int]], dict] | None = None,
+    ) -> dict[date, int]:
         """Replace the given snapshots of a table with the rows of ``df`` and leave all others.
 
-        The rebalance lets AQE size the files: small snapshots share a task, one that holds most of
-        the rows is split over many. Without it the tasks of ``df`` write what they have, which saves
-        a shuffle where rows lie in well-sized partitions by snapshot already. A snapshot that
-        had rows before and has none now is emptied, so a rerun with other parameters leaves nothing
-        behind.
+        All snapshots change at once, when the manifest is committed; two writers of different snapshots
+        don't disturb each other, and of two writers of one snapshot the later commit counts. The
+        rebalance lets AQE size the files: small snapshots share a task, one that holds most of the rows
+        is split over many. Without it the tasks of ``df`` write what they have, which saves a shuffle
+        where rows lie in well-sized partitions by snapshot already. A snapshot that had rows before
+        and has none now is empty, so a rerun with other parameters leaves nothing behind.
+
+        Returns the rows of each snapshot, counted by the tasks that write them. What ``measured`` makes of
+        them is kept with the run. A column may be new, but may not change its type while other snapshots
+        have it. A table exists from its first row on, one of a fixed schema from its first write on.
         """
-        path = self.path(layer, table)
-        before = self._newest_files(path, snapshots)
+        run = _new_run()
+        versions = self.versions(layer, table)
         rows = df.where(F.col(SNAPSHOT).isin(list(snapshots)))
-        (
-            (rows.hint("rebalance", SNAPSHOT) if rebalance else rows)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(SNAPSHOT)
-            .parquet(path)
+        left = Run(rows.drop(SNAPSHOT).schema)
+        none = {s.isoformat(): 0 for s in snapshots}
+        # a conflict of types ends the write before its job
+        before = versions.get()
+        (before or Manifest()).after(run, left, none | dict.fromkeys(none, 1))
+        counts = [F.expr(f"count_if({SNAPSHOT} = DATE'{k}') AS `{k}`") for k in none]
+        counted = self._append(
+            rows.hint("rebalance", SNAPSHOT) if rebalance else rows, layer, table, run, counts, [SNAPSHOT]
         )
-        after = self._newest_files(path, snapshots) if before else {}
-        empty = self.spark.createDataFrame([], df.drop(SNAPSHOT).schema).coalesce(1)
-
-        def clear(snapshot: date) -> None:
-            empty.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={snapshot}")
-
-        with ThreadPoolExecutor(max_workers=8) as pool:
-            stale = [s for s, file in before.items() if after.get(s) == file]
-            list(pool.map(inheritable_thread_target(self.spark)(clear), stale))
-
-    def replace(self, df: DataFrame, layer: str, table: str) -> None:
-        """Write a small table that has no snapshots, or no readable ones, in place of what was there."""
-        df.write.mode("overwrite").parquet(self.path(layer, table))
-
-    def _exists(self, path: str) -> bool:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
-
-    def _folders(self, path: str, snapshots: Sequence[date]) -> list[str]:
-        """The partition folders of these snapshots that are there."""
-        return [f for s in snapshots if self._exists(f := f"{path}/{SNAPSHOT}={s}")]
+        counted.pop(_ALL)
+        result = {date.fromisoformat(k): n for k, n in counted.items()}
+        if any(counted.values()) or before is not None or (layer, table) in FIXED:
+            left = Run(left.schema, measured(result) if measured else {})
+            versions.commit(lambda newest: newest.after(run, left, none | counted))
+        return result
+
+    def replace(self, df: DataFrame, layer: str, table: str, measured: dict[str, object] | None = None) -> int:
+        """Write a table that has no snapshots, or no readable ones, in place of what was there."""
+        run = _new_run()
+        left = Run(df.schema, measured or {})
+        counted = self._append(df, layer, table, run, [], [])[_ALL]
+        # the only run: columns of earlier ones are forgotten
+        self.versions(layer, table).commit(lambda newest: Manifest(newest.version).after(run, left, {WHOLE: counted}))
+        return counted
+
+    def _append(
+        self, df: DataFrame, layer: str, table: str, run: str, counts: list[Column], by: list[str]
+    ) -> dict[str, int]:
+        """Add files of a run; what its last stage counts on the way, where every row is counted once.
+
+        Tasks leave their files in a folder of this run's own until the job ends, for another job may be
+        adding files to the table at the same time.
+        """
+        path, attempt = self.path(layer, table), int(run[1:8], 16)
+        seen = Observation()
+        own = {
+            "mapreduce.output.basename": run,
+            "mapreduce.job.application.attempt.id": attempt,
+            "mapreduce.fileoutputcommitter.cleanup.skipped": True,
+        }
+        try:
+            counted = df.observe(seen, F.count("*").alias(_ALL), *counts)
+            counted.write.mode("append").options(**own).partitionBy(*by).parquet(path)
+        finally:
+            pending = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_temporary/{attempt}")
+            pending.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(pending, True)
+        return seen.get
 
-    def _newest_files(self, path: str, snapshots: Sequence[date]) -> dict[date, str]:
-        """One file name per partition, at most one row each; only lists, opens no file.
+    def adopt(self, layer: str, table: str) -> None:
+        """Take over a table that is partitioned by snapshot but was written by other tools.
 
-        File names carry the id of the job that wrote them, so a replaced partition has a new name.
+        Its files must be named as Spark names them. They are opened once, for columns and counts.
         """
-        folders = self._folders(path, snapshots)
-        files = self._open("binaryFile", path, folders) if folders else None
-        if files is None or SNAPSHOT not in files.columns:
-            return {}
-        # One task per file would be too many tasks for a look at the file's name.
-        return dict(files.coalesce(256).groupBy(SNAPSHOT).agg(F.max("path")).collect())
-
-    def _open(
-        self, file_format: str, path: str, folders: list[str], schema: str | None = None, merge: bool = True
-    ) -> DataFrame | None:
-        reader = self.spark.read.format(file_format).option("basePath", path)
-        if file_format == "parquet":
-            reader = reader.option("mergeSchema", merge and not schema)
-        try:
-            return (reader.schema(schema) if schema else reader).load(folders)
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
+        versions = self.versions(layer, table)
+        if versions.get() is not None:
+            raise ValueError(f"{self.path(layer, table)} has a manifest already")
+        reader = self.spark.read.option("mergeSchema", True).option("pathGlobFilter", f"{_FOREIGN}-*.parquet")
+        df = reader.parquet(self.path(layer, table))
+        counted = {r[0].isoformat(): r[1] for r in df.groupBy(SNAPSHOT).count().collect()}
+        run = Run(df.drop(SNAPSHOT).schema)
+        versions.commit(lambda newest: newest.after(_FOREIGN, run, counted))
+
+    def expire(self, layer: str, table: str, keep: int = 1, older_than_s: float = 7 * 86_400) -> int:
+        """Delete the manifests before the last ``keep``, and files that none of those kept names.
+
+        Files younger than ``older_than_s`` stay: they may belong to a write that isn't committed yet. So
+        must the time be longer than any write or read takes. Returns the number of files deleted.
+        """
+        path, versions = self.path(layer, table), self.versions(layer, table)
+        numbers = versions.numbers()
+        kept = [versions.get(n) for n in numbers[-keep:]]
+        live = {(_folder(k), run) for m in kept for k, (run, _) in m.snapshots.items()}
+        jvm = self.spark._jvm
+        files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        latest = jvm.java.lang.System.currentTimeMillis() - 1000 * older_than_s
+        deleted = 0
+        for pattern in ("*.parquet", f"{SNAPSHOT}=*/*.parquet"):
+            for status in files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")) or []:
+                file = status.getPath()
+                folder = f"{file.getParent().getName()}/" if "/" in pattern else ""
+                run = file.getName().split("-", 1)[0]
+                if (folder, run) not in live and status.getModificationTime() <= latest:
+                    deleted += files.delete(file, False)
+        for n in numbers[:-keep]:
+            versions.forget(n)
+        return deleted
+
+
+def _new_run() -> str:
+    return f"r{uuid.uuid4().hex}"
+
+
+def _folder(snapshot: str) -> str:
+    return f"{SNAPSHOT}={snapshot}/" if snapshot != WHOLE else ""
 
 
 def export_csv(df: DataFrame, path: str) -> None:
