@@ -3,9 +3,10 @@ from __future__ import annotations
 import random
 
 import numpy as np
-from helpers import by_id, documents, table
+from helpers import SF, by_id, documents, table
 
 from loanstrata.llm.decontamination import Index, find_leaks, normalised
+from loanstrata.llm.queries import op3_benchmark_decontamination
 
 
 def least_edits(pattern, text):
@@ -100,3 +101,36 @@ def test_short_excerpts_of_long_items():
     owner, _, edits = index.matches([item[k : k + 72] for k in range(329)])
     assert set(owner.tolist()) == set(range(329))
     assert {o for o, e in zip(owner.tolist(), edits.tolist(), strict=True) if e == 0} == set(range(329))
+
+
+def test_query(spark):
+    """The registered query against the plain table: documents that hold a window within its budget."""
+    docs = {r.doc_id: r for r in op3_benchmark_decontamination(spark, SF).collect()}
+    texts = {r.doc_id: normalised(r.text) for r in table(spark, "documents").collect()}
+    items = [normalised(r.text) for r in table(spark, "benchmark").collect()]
+    assert set(docs) == set(texts)
+    leaked = [d for d, r in docs.items() if r.contaminated]
+    clean = [d for d, r in docs.items() if not r.contaminated]
+    items = dict(zip((r.item_id for r in table(spark, "benchmark").collect()), items, strict=True))
+    windows = {i: [c[s : s + 64] for s in sorted({*range(0, max(1, len(c) - 64), 8), max(0, len(c) - 64)})] for i, c in items.items()}
+    as_text = {d: "".join(map(chr, t)) for d, t in texts.items()}
+    for i, parts in windows.items():
+        for exact in ("".join(map(chr, w)) for w in parts):
+            assert all(i in docs[d].item_ids for d, t in as_text.items() if exact in t)
+    for d in sorted(leaked, key=lambda d: len(texts[d]))[:2]:
+        found = [least_edits(w, texts[d]) for i in docs[d].item_ids for w in windows[i]]
+        assert min(found) == docs[d].least_edits <= 6 and sum(e <= 6 for e in found) >= 1
+    for d in sorted(clean, key=lambda d: len(texts[d]))[9:11]:
+        assert all(least_edits(parts[0], texts[d]) > 6 for parts in list(windows.values())[:20])
+
+
+def test_long_items_in_many_blocks(spark):
+    """An item of many blocks is found whole and in parts, as it is by one block."""
+    rng = random.Random(4)
+    item = "".join(rng.choices("abcdefghij ", k=6000))
+    benchmark = documents(spark, [(7, item), (8, "short but long enough to say something")]).withColumnRenamed("doc_id", "item_id")
+    texts = [item[k : k + 90] for k in range(0, 5900, 97)] + ["nothing at all", None, item, "x" + item[3000:3400]]
+    docs = documents(spark, enumerate(texts))
+    one, many = (by_id(find_leaks(docs, benchmark, block_chars=n)) for n in (1_000_000, 1500))
+    assert one == many
+    assert [r.contaminated for r in (one[i] for i in range(len(texts)))] == [t not in ("nothing at all", None) for t in texts]
