@@ -20,9 +20,17 @@ _NONE = 0x110000  # no character: stands between texts
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _plain(text: str | None) -> str:
+    return " ".join((text or "").lower().split())
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
 def normalised(text: str | None) -> np.ndarray:
     """Code points of the text in lower case, every run of white space one blank."""
-    return np.frombuffer(" ".join((text or "").lower().split()).encode("utf-32-le", "surrogatepass"), "<u4")
+    return _codes(_plain(text))
 
 
 def _grams(codes: np.ndarray, q: int) -> np.ndarray:
@@ -229,7 +237,7 @@ def _blocks(
         for batch in batches:
             items, pieces = [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                text = " ".join((text or "").lower().split())
+                text = _plain(text)
                 # a rest of less than a window lies in the piece before
                 for at in range(0, max(1, len(text) - 2 * window), size):
                     items.append(i)
@@ -246,7 +254,7 @@ def _blocks(
 
     def blocks():
         for k in range(count):
-            block = [(r.item, normalised(r.text)) for r in dealt.filter(F.col("block") == k).collect()]
+            block = [(r.item, _codes(r.text)) for r in dealt.filter(F.col("block") == k).collect()]
             if block:
                 yield block
 
