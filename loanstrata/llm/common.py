@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -42,6 +43,18 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 4_000_000) -> Iterator[None]:
+    """In here Spark hands batches of some ``most`` bytes to Python, or one row if that is larger."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and not lost with an executor."""
     spark = df.sparkSession
@@ -77,16 +90,17 @@ def rows(batches: Iterator[pa.RecordBatch], by: str, most: int = 4_000_000) -> I
 
 
 class Sieve:
-    """A bitmap of fixed size over 64-bit hashes: says no only where the table has no such hash.
+    """A bitmap over 64-bit hashes: says no only where the table has no such hash.
 
-    Its 2 ** ``bits`` bits are all that reaches the driver and the tasks, whatever the table's size. A
-    full sieve lets more through; whoever uses it checks exactly afterwards.
+    It has some eight bits for each hash, as the written table counts them, but 2 ** ``most`` at the
+    most (32 MB): that is all that reaches the driver and the tasks. A fuller one lets more through;
+    whoever uses it checks exactly afterwards.
     """
 
-    def __init__(self, hashes: DataFrame, column: str, bits: int = 23) -> None:
-        self.bits = bits
+    def __init__(self, hashes: DataFrame, column: str, most: int = 28) -> None:
+        self.bits = bits = min(most, max(16, (8 * hashes.count()).bit_length()))
         h = F.col(column)
-        places = F.array(*[F.shiftright(h, s).bitwiseAND(F.lit((1 << bits) - 1)) for s in (0, bits)])
+        places = F.array(*[F.shiftrightunsigned(h, s).bitwiseAND(F.lit((1 << bits) - 1)) for s in (0, bits)])
         words = (
             hashes.select(F.explode(places).alias("at"))
             .groupBy(F.shiftright("at", 6).alias("word"))
@@ -110,7 +124,7 @@ def maybe_in(df: DataFrame, table: DataFrame, key: list[str]) -> tuple[DataFrame
     ``key`` has no nulls. Only the first part needs a join; the other isn't shuffled for it.
     """
     h = F.xxhash64(*key)
-    sieve = Sieve(table.select(h.alias("h")), "h", 25)
+    sieve = Sieve(table.select(h.alias("h")), "h")
 
     @F.pandas_udf("boolean")
     def passes(hashes: pd.Series) -> pd.Series:

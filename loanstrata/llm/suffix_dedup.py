@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -11,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanstrata.llm.common import Sieve, maybe_in, rows, text_key, written
+from loanstrata.llm.common import Sieve, maybe_in, rows, small_batches, text_key, written
+from loanstrata.llm.passages import powers, shared_passages
 
 _GRAM = 16
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -19,12 +21,6 @@ _BASE = 0x5851F42D4C957F2D
 _PLACE = 24  # low bits of a sampling key: place in the slice
 
 
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 class Texts:
     """Pieces of texts end to end, their window starts sampled by content.
 
@@ -57,9 +53,9 @@ class Texts:
         keep = (self.anchor + self.shift >= low) & (self.anchor + self.shift < high)
         for name in ("anchor", "lo", "hi", "begin", "end", "shift", "text"):
             setattr(self, name, getattr(self, name)[keep])
-        self.back = _powers(len(codes) + 1, pow(_BASE, -1, 1 << 64))
+        self.back = powers(len(codes) + 1, pow(_BASE, -1, 1 << 64))
         self.sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum((codes + np.uint64(1)) * _M2 * _powers(len(codes) + 1, _BASE)[:-1], out=self.sums[1:])
+        np.cumsum((codes + np.uint64(1)) * _M2 * powers(len(codes) + 1, _BASE)[:-1], out=self.sums[1:])
 
     def _anchors(self, codes: np.ndarray) -> np.ndarray:
         """For every place the place of the least 16-gram that begins in the half window from there on."""
@@ -312,7 +308,7 @@ def _left(tag: int, length: int) -> int:
     return (length // 2 - 1, max(1, length // 16) - 1, 0)[tag]
 
 
-_SEGMENT = 1 << 18
+_SEGMENT = 1 << 17
 
 
 def _slices(batches, length: int) -> Iterator[tuple[pa.RecordBatch, Texts]]:
@@ -353,9 +349,12 @@ _RUN_FIELDS = [f.split()[0] for f in _RUN.split(", ")]
 _RUN_TYPE = pa.schema([("p", pa.int32()), *((f, pa.binary()) for f in _RUN_FIELDS[1:])])
 
 
-def _sorted_runs(plan: Plan, splitters: list[bytes], length: int, most: int):
+def _sorted_runs(plan: Plan, splitters: list[bytes], parts: int, length: int, most: int):
     """Each task sorts the suffixes it holds, drops what its own copies decide, and front-codes the rest
-    for the ranges of the splitters. Copies within the run leave as spans, one of them as a string."""
+    for the ranges of the splitters, each in ``parts`` parts by the hash of what all members of a group
+    share: so suffixes that begin alike, but are in no group, don't have to meet. Copies within the run
+    leave as spans, one of them as a string."""
+    core = length - length // 2 + 1
 
     def flush(items: list[tuple]) -> Iterator[pa.RecordBatch]:
         items.sort(key=lambda i: i[:2])
@@ -366,8 +365,9 @@ def _sorted_runs(plan: Plan, splitters: list[bytes], length: int, most: int):
                 _, _, a, b, base, low, high = item
                 spans.append((a, b, base - high, base - low + length))
             if not twin:
-                p = item[0][0] * (len(splitters) + 1) + bisect_left(splitters, item[0][1 : 1 + _prefix(length)])
-                blocks.setdefault(p, []).append(item)
+                string = item[0]
+                p = string[0] * (len(splitters) + 1) + bisect_left(splitters, string[1 : 1 + _prefix(length)])
+                blocks.setdefault(p * parts + zlib.crc32(string[1 : 1 + core]) % parts, []).append(item)
         for p, block in blocks.items():
             out.append((p, *_encode(block)))
         if spans:
@@ -470,7 +470,7 @@ def _repeated_spans(
     The texts are those rows of ``texts`` that ``keep`` lets through. ``sample`` is a bounded number of texts that tells how to cut the order into ranges of equal size.
     """
     spark = texts.sparkSession
-    plan = Plan()
+    plan, suffixes = Plan(), 0
     for level in range(3):
 
         def emit(batches, level=level):
@@ -481,11 +481,12 @@ def _repeated_spans(
         again = written(
             texts.select("h", "data").mapInArrow(emit, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
         )
-        plan.again.append(Sieve(again, "h", _SIEVE_BITS))
+        plan.again.append(Sieve(again, "h"))
+        suffixes += again.agg(F.sum("n")).first()[0] or 0
         if level == 2:
             break
         crowded = again.filter(F.col("n") > crowd)
-        plan.crowded.append(Sieve(crowded, "h", _SIEVE_BITS))
+        plan.crowded.append(Sieve(crowded, "h"))
         if not plan.crowded[-1].words.any():
             break
 
@@ -495,16 +496,18 @@ def _repeated_spans(
             yield pa.RecordBatch.from_arrays([pa.array([part.raw[s : s + _prefix(length)] for s in some.tolist()], pa.binary())], ["x"])
 
     ordered = sorted(r.x for r in sample.select("data").mapInArrow(prefixes, "x binary").limit(100_000).toLocalIterator())
-    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many parts as hold some RANGE_BYTES each; only the ranges have splitters, which every task has
+    wanted = max(suffixes * 3 * length // (2 * RANGE_BYTES), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = min(wanted, 1024)
     splitters = sorted({ordered[len(ordered) * k // ranges] for k in range(1, ranges)}) if ordered else []
 
-    sort = _sorted_runs(plan, splitters, length, run_bytes)
+    sort = _sorted_runs(plan, splitters, -(-wanted // ranges), length, run_bytes)
     runs = texts.mapInArrow(lambda batches: sort(keep(batches)), _RUN)
     return runs.groupBy("p").applyInArrow(_merge(length), "a long, b long, low long, high long")
 
 
-#: Bits of a sieve as a power of two: 4 MB at a task.
-_SIEVE_BITS = 25
+#: Bytes of suffixes, before they are front-coded, that meet in one merge.
+RANGE_BYTES = 4_000_000
 
 
 def repeats(
@@ -514,12 +517,14 @@ def repeats(
     run_bytes: int = 24_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+    words: int | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
     """What to remove: all bytes covered by ``length`` bytes that also start anywhere else.
 
-    Returns three written tables: documents (doc_id, a, b, n_bytes, sha256), where (a, b) stands for
-    the text; copies (a, b), texts of at least ``length`` bytes that several documents have, which go
-    whole; and spans (a, b, spans) of the other texts, joined where they meet, in order.
+    Returns written tables: documents (doc_id, a, b, n_bytes, sha256), where (a, b) stands for the
+    text; copies (a, b, n_bytes), texts that several documents have, which go whole if they have ``length``
+    bytes; spans (a, b, spans) of the other texts, joined where they meet, in order; and with ``words`` the
+    passages of so many words that texts share (`shared_passages`).
 
     Texts are UTF-8 bytes, null is empty; a match may lie in one document, never across two. Repeated
     rows are copies. Ids, null or not, only name documents. Other columns aren't read.
@@ -535,19 +540,24 @@ def repeats(
     """
     if length < 2 * _GRAM:
         raise ValueError(f"length must be at least {2 * _GRAM} bytes")
-    keyed = _keyed(docs, id_col, text_col)
+    with small_batches(docs.sparkSession):
+        return _repeats(_keyed(docs, id_col, text_col), length, crowd, run_bytes, words)
+
+
+def _repeats(keyed: DataFrame, length: int, crowd: int, run_bytes: int, words: int | None) -> tuple:
+    # bytes of a text that has anything to compare
+    least = min(length, 2 * words - 1) if words else length
     documents = written(keyed.select("doc_id", "a", "b", "n_bytes", F.sha2("data", 256).alias("sha256")))
-    copies = written(
-        documents.filter(F.col("n_bytes") >= length).groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    )
-    long = keyed.filter(F.col("n_bytes") >= length).select("a", "b", "data")
+    long = F.col("n_bytes") >= least
+    copies = written(documents.filter(long).groupBy("a", "b", "n_bytes").agg(F.count("*").alias("n")).filter("n > 1").drop("n"))
+    long = keyed.filter(long).select("a", "b", "data")
     some, _ = maybe_in(long, copies, ["a", "b"])
     h = F.xxhash64("a", "b")
     # Only texts that need a shuffle to be single are written; the others are read where they lie, pass
     # by pass. They have a hash, by which the passes leave out what is written.
     apart = written(some.groupBy("a", "b").agg(F.any_value("data").alias("data")))
     texts = long.withColumn("h", h).unionByName(apart.withColumn("h", F.lit(None).cast("long")))
-    keep = _unless(Sieve(copies.select(h.alias("h")), "h", _SIEVE_BITS))
+    keep = _unless(Sieve(copies.select(h.alias("h")), "h"))
     every = max(1, documents.count() // 1000)
     sample = long.filter(F.pmod("b", F.lit(every)) == 0).limit(2000)
     found = _repeated_spans(texts, keep, sample, length, crowd, run_bytes)
@@ -565,30 +575,45 @@ def repeats(
     spans = written(
         found.groupBy("a", "b").agg(F.collect_list(F.struct("low", "high")).alias("spans")).mapInArrow(joined, schema)
     )
-    return documents, copies, spans
+    return documents, copies, spans, shared_passages(texts, keep, words) if words else None
 
 
-def kept_digests(docs: DataFrame, length: int = 400, crowd: int = 32_768, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row, see `repeats`."""
-    documents, copies, spans = repeats(docs, length, crowd, id_col=id_col, text_col=text_col)
-    cut = written(cut_texts(docs, copies, spans, length, id_col, text_col).select("a", "b", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
-    whole = copies.select("a", "b", F.lit(True).alias("whole"))
+def kept_digests(
+    docs: DataFrame,
+    length: int = 400,
+    crowd: int = 32_768,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int | None = None,
+) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row, see `repeats`.
+
+    With ``words`` also n_shared_passages: at how many words of the text a run of so many words begins
+    that another document has, too. Shorter than ``length``, such a run isn't removed."""
+    documents, copies, spans, passages = repeats(docs, length, crowd, id_col=id_col, text_col=text_col, words=words)
+    gone = copies.filter(F.col("n_bytes") >= length).select("a", "b")
+    with small_batches(docs.sparkSession):
+        cut = cut_texts(docs, gone, spans, id_col, text_col)
+        cut = written(cut.select("a", "b", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
+    by_text = documents.join(copies.select("a", "b", F.lit(True).alias("copied")), ["a", "b"], "left").join(cut, ["a", "b"], "left")
+    whole = F.col("copied") & (F.col("n_bytes") >= length)
     nothing = hashlib.sha256().hexdigest()
-    return (
-        documents.join(whole, ["a", "b"], "left")
-        .join(cut, ["a", "b"], "left")
-        .select(
-            "doc_id",
-            "n_bytes",
-            F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-            F.when(F.col("whole"), 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-            F.when(F.col("whole"), nothing).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
-        )
-    )
-
-
-def cut_texts(docs: DataFrame, copies: DataFrame, spans: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(a, b, kept, n_removed, n_spans) of the texts that lose some bytes but aren't copies, by `repeats`."""
+    columns = [
+        "doc_id",
+        "n_bytes",
+        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(whole, nothing).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
+    ]
+    if passages is not None:
+        by_text = by_text.join(passages, ["a", "b"], "left")
+        n = F.when(F.col("copied"), F.col("n_windows")).otherwise(F.col("n_shared"))
+        columns.append(F.coalesce(n, F.lit(0)).alias("n_shared_passages"))
+    return by_text.select(*columns)
+
+
+def cut_texts(docs: DataFrame, copies: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(a, b, kept, n_removed, n_spans) of the texts that lose some bytes but aren't in copies, by `repeats`."""
     some = spans.join(copies, ["a", "b"], "left_anti")
     texts, _ = maybe_in(_keyed(docs, id_col, text_col).select("a", "b", "data"), some, ["a", "b"])
 
