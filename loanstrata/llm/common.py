@@ -92,13 +92,13 @@ def rows(batches: Iterator[pa.RecordBatch], by: str, most: int = 4_000_000) -> I
 class Sieve:
     """A bitmap over 64-bit hashes: says no only where the table has no such hash.
 
-    It has some eight bits for each hash, as the written table counts them, but 2 ** ``most`` at the
+    It has 32 bits or more for each hash, as the written table counts them, but 2 ** ``most`` at the
     most (32 MB): that is all that reaches the driver and the tasks. A fuller one lets more through;
     whoever uses it checks exactly afterwards.
     """
 
     def __init__(self, hashes: DataFrame, column: str, most: int = 28) -> None:
-        self.bits = bits = min(most, max(16, (8 * hashes.count()).bit_length()))
+        self.bits = bits = min(most, max(16, (32 * hashes.count()).bit_length()))
         h = F.col(column)
         places = F.array(*[F.shiftrightunsigned(h, s).bitwiseAND(F.lit((1 << bits) - 1)) for s in (0, bits)])
         words = (

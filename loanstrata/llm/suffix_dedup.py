@@ -507,14 +507,14 @@ def _repeated_spans(
 
 
 #: Bytes of suffixes, before they are front-coded, that meet in one merge.
-RANGE_BYTES = 4_000_000
+RANGE_BYTES = 8_000_000
 
 
 def repeats(
     docs: DataFrame,
     length: int = 400,
     crowd: int = 32_768,
-    run_bytes: int = 24_000_000,
+    run_bytes: int = 12_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
     words: int | None = None,
