@@ -71,11 +71,11 @@ WITH texts AS (
          generate_subscripts(string_split(text, chr(10)), 1) AS line_no
   FROM texts
 ), lines AS (
-  SELECT first_id, line_no, tokens, len(tokens) AS n, tokens[1:3] AS lead
+  SELECT first_id, line_no, tokens, words, len(tokens) AS n, tokens[1:3] AS lead
   FROM (
     SELECT first_id, line_no,
-           [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
-            FOR t IN string_split_regex(line, '[ \t\r\f\v]+') IF t <> ''] AS tokens
+           [t FOR t IN string_split_regex(line, '[ \t\r\f\v]+') IF t <> ''] AS words,
+           [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END FOR t IN words] AS tokens
     FROM split_lines
   ) WHERE len(tokens) > 0
 ), patterns AS (
@@ -97,10 +97,14 @@ WITH texts AS (
   WHERE t.fixed + 3 >= 0.7 * greatest(l.n, 3)
 ), recurring AS (
   SELECT n, lead, template, min(first_id) AS keeper FROM carried GROUP BY ALL HAVING count(DISTINCT first_id) >= 10
+), verbatim AS (
+  SELECT words, min(first_id) AS keeper FROM lines WHERE n >= 8 GROUP BY words HAVING count(DISTINCT first_id) >= 2
 ), gone AS (
   SELECT c.first_id, c.line_no
   FROM carried c JOIN recurring r
     ON c.n = r.n AND c.lead = r.lead AND c.template IS NOT DISTINCT FROM r.template AND c.first_id <> r.keeper
+  UNION
+  SELECT l.first_id, l.line_no FROM lines l JOIN verbatim v ON l.words = v.words AND l.first_id <> v.keeper
 ), kept AS (
   SELECT s.text, string_agg(CASE WHEN g.line_no IS NULL THEN s.line END, chr(10) ORDER BY s.line_no) AS kept_text,
          count(g.line_no) AS n_dropped

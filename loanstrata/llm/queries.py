@@ -56,7 +56,7 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return drop_recurring_lines(docs, depth=3, recur=10, similarity=0.7)
+    return drop_recurring_lines(docs, depth=3, recur=10, similarity=0.7, long=8)
 
 
 def vocabulary() -> str:

@@ -37,3 +37,21 @@ def test_copies_are_treated_alike(spark):
     out = by_id(drop_recurring_lines(documents(spark, rows), recur=5))
     assert all(out[i].n_dropped == 0 for i in range(4))
     assert all(out[10 + i].n_dropped == 1 for i in range(6))
+
+
+@pytest.mark.parametrize("n", [2, 3, 9])
+def test_long_lines_recur_from_the_second_text_on(spark, n):
+    """A line of 50 words in a few texts stays in the first one; short lines need ten."""
+    passage = " ".join(f"w{'abcdefghij'[i % 10] * (1 + i // 10)}" for i in range(50))
+    short = "only seven tokens are in this line"
+    rows = [(i, f"text {'abcdefghij'[i] * 5} begins\n{short}\n{passage if i % 2 else passage.replace(' ', chr(9), 3)}\nand ends") for i in range(n)]
+    # one word differs, digits differ, a text of its own
+    rows += [(50, passage.replace("wa", "wz", 1)), (51, passage + " 1"), (52, passage + " 2"), (53, "alone")]
+    rows += [(60 + i, rows[-1][1]) for i in range(3)]
+    out = by_id(drop_recurring_lines(documents(spark, rows)))
+    assert out[0].n_dropped == 0 and out[0].text == rows[0][1]
+    for i in range(1, n):
+        assert out[i].n_dropped == 1 and out[i].text == f"text {'abcdefghij'[i] * 5} begins\n{short}\nand ends"
+    assert all(out[i].n_dropped == 0 for i in (50, 51, 52, 53, 60, 61, 62))
+    shorter = by_id(drop_recurring_lines(documents(spark, rows), long=7))
+    assert all(shorter[i].n_dropped == 2 for i in range(1, n))
