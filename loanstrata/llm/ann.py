@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanstrata.llm.common import written
+
 _BITS, _PARTS = 64, 4
 _WIDTH = _BITS // _PARTS
 
@@ -123,7 +125,7 @@ def nearest(
     """(query_id, rank, vec_id, score): the ``k`` rows of largest inner product found for each query.
 
     Queries are the rows whose id is divisible by ``every``; candidates are all rows but the query's
-    own. The codes are learned on at most ``fit_rows`` rows, chosen by a hash of the id; every row is
+    own, also those that share its id. The codes are learned on at most ``fit_rows`` rows, chosen by a hash of the id; every row is
     indexed. Rows are dealt into shards, queries into blocks, of bounded size; each meeting of the two
     is one task. A shard retrieves all codes within the learned radius of a query's, or a larger one
     until it has ``k`` rows or all, and ranks them by the inner product of the vectors in double
@@ -131,8 +133,8 @@ def nearest(
     sample's true neighbours are within the radius.
 
     Rows with a null id, and vectors that are null or zero, hold null or non-finite components or
-    have another length than most, take no part. Of several rows with one id the least vector counts.
-    Other columns aren't read; an empty table gives no row.
+    have another length than most, take no part. Several rows with one id are candidates, and queries,
+    of their own. Other columns aren't read; an empty table gives no row.
     """
     x = F.col("v")
     usable = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v")).filter(
@@ -146,13 +148,13 @@ def nearest(
     )
     common = lengths.orderBy(F.desc("n"), "d").first()
     id_type = vectors.schema[id_col].dataType.simpleString()
-    schema = f"query_id {id_type}, vec_id {id_type}, score double"
+    schema = f"query long, query_id {id_type}, uid long, vec_id {id_type}, score double"
     if common is None:
         return vectors.sparkSession.createDataFrame([], f"query_id {id_type}, rank int, vec_id {id_type}, score double")
-    rows = usable.filter(F.size("v") == common.d).groupBy("id").agg(F.min("v").alias("v"))
+    # written, so that a number names the same row in every job
+    rows = written(usable.filter(F.size("v") == common.d).withColumn("uid", F.monotonically_increasing_id()))
     sample = (
-        usable.filter(F.size("v") == common.d)
-        .orderBy(F.xxhash64(F.lit(seed), "id"), "id", "v")
+        rows.orderBy(F.xxhash64(F.lit(seed), "id"), "id", "v")
         .limit(fit_rows)
         .select("v")
         .toArrow()
@@ -161,42 +163,46 @@ def nearest(
     cores = vectors.sparkSession.sparkContext.defaultParallelism
     shards = max(min(cores, -(-common.n // 256)), -(-common.n // shard_rows))
     blocks = max(1, -(-common.n // (every * query_rows)))
-    dealt = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64(F.lit(seed + 2), "id"), F.lit(blocks)).cast("int")
+    dealt = F.pmod(F.xxhash64(F.lit(seed + 1), "uid"), F.lit(shards)).cast("int")
+    block = F.pmod(F.xxhash64(F.lit(seed + 2), "uid"), F.lit(blocks)).cast("int")
 
     def everywhere(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    candidates = rows.select("id", "v", dealt.alias("shard"), everywhere(blocks).alias("block"))
-    queries = rows.filter(F.col("id") % every == 0).select("id", "v", block.alias("block"), everywhere(shards).alias("shard"))
+    candidates = rows.select("uid", "id", "v", dealt.alias("shard"), everywhere(blocks).alias("block"))
+    queries = rows.filter(F.col("id") % every == 0).select("uid", "id", "v", block.alias("block"), everywhere(shards).alias("shard"))
+
+    names = ["query", "query_id", "uid", "vec_id", "score"]
 
     def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [[], [], []]
+        out = [[] for _ in names]
         if left.num_rows and right.num_rows:
-            ids, x = left.column("id").to_numpy(), _matrix(left.column("v"))
+            uids, ids, x = left.column("uid").to_numpy(), left.column("id").to_numpy(), _matrix(left.column("v"))
             index = MultiIndex(codes.of(x))
             asked = _matrix(right.column("v"))
-            for own, q, code in zip(right.column("id").to_numpy(), asked, codes.of(asked, True), strict=True):
+            own_ids, own_uids = right.column("id").to_numpy(), right.column("uid").to_numpy()
+            for own_id, own, q, code in zip(own_ids, own_uids, asked, codes.of(asked, True), strict=True):
                 radius = codes.radius
                 found = index.within(code, radius)
                 while len(found) <= min(k, len(ids) - 1) and radius < _BITS:
                     radius = min(_BITS, radius + _PARTS)
                     found = index.within(code, radius)
-                found = found[ids[found] != own]
+                found = found[uids[found] != own]
                 score = (x[found] * q).sum(1)
                 if len(found) > k:
                     least = np.partition(score, -k)[-k]
                     some = score >= least
                     found, score = found[some], score[some]
-                best = np.lexsort((ids[found], -score))[:k]
-                out[0].append(np.full(len(best), own))
-                out[1].append(ids[found[best]])
-                out[2].append(score[best])
-        columns = [np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(out, (np.int64, np.int64, float), strict=True)]
-        return pa.table(columns, ["query_id", "vec_id", "score"])
+                best = np.lexsort((uids[found], ids[found], -score))[:k]
+                rows = found[best]
+                n = len(best)
+                for column, values in zip(out, (np.full(n, own), np.full(n, own_id), uids[rows], ids[rows], score[best]), strict=True):
+                    column.append(values)
+        kinds = (np.int64, right.schema.field("id").type.to_pandas_dtype(), np.int64, left.schema.field("id").type.to_pandas_dtype(), float)
+        return pa.table([np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(out, kinds, strict=True)], names)
 
     found = candidates.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block")).applyInArrow(search, schema)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "uid")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)

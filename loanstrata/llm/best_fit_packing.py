@@ -6,6 +6,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -205,23 +206,24 @@ def pack(
             state = state.join(elites, ["block", "island"]).withColumn("immigrant", F.col("elite")).drop("elite")
     best = state.groupBy("block").agg(F.min_by("immigrant", F.struct("bins", "island")).alias("genome"))
 
-    def assign(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values("uid", ignore_index=True)
-        genome = np.frombuffer(right.genome.iloc[0], np.int32)
-        left["sequence_id"] = left.block * 2**24 + genome
+    def assign(left: pa.Table, right: pa.Table) -> pa.Table:
+        # a genome numbers the bins of a block's items in the order of uid
+        genome = np.empty(left.num_rows, np.int64)
+        genome[np.argsort(left.column("uid").to_numpy())] = np.frombuffer(right.column("genome")[0].as_py(), np.int32)
         order = np.argsort(genome, kind="stable")
-        length, bins = left.length.to_numpy()[order], genome[order]
+        length, bins = left.column("length").to_numpy()[order], genome[order]
         ends = np.cumsum(length)
         first = np.r_[True, bins[1:] != bins[:-1]]
         base = np.maximum.accumulate(np.where(first, ends - length, 0))
-        offset = np.empty(len(left), np.int64)
+        offset = np.empty(left.num_rows, np.int64)
         offset[order] = ends - length - base
-        left["offset"] = offset
-        return left.drop(columns="block")
+        sequence = left.column("block").to_numpy() * 2**24 + genome
+        placed = left.drop_columns(["block"]).append_column("sequence_id", pa.array(sequence))
+        return placed.append_column("offset", pa.array(offset))
 
     added = [T.StructField(c, T.LongType()) for c in ("sequence_id", "offset")]
     placed_schema = T.StructType([*items.schema.fields, *added])
-    placed = partial.groupBy("block").cogroup(best.groupBy("block")).applyInPandas(assign, placed_schema)
+    placed = partial.groupBy("block").cogroup(best.groupBy("block")).applyInArrow(assign, placed_schema)
     full = items.filter(F.col("length") >= capacity).select(
         "*",
         (-1 - F.monotonically_increasing_id()).alias("sequence_id"),

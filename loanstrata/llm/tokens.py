@@ -12,6 +12,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
 from loanstrata.llm.common import rows
@@ -129,12 +130,10 @@ def pieces(
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
-    doc_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"uid long, doc_id {doc_type}, piece int, start long, length long, ids_crc32 long, ids binary"
+    doc_type = docs.schema[id_col].dataType
+    schema = f"uid long, doc_id {doc_type.simpleString()}, piece int, start long, length long, ids_crc32 long, ids binary"
     names = ["uid", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-    types = [pa.int64(), None, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    if doc_type == "bigint":
-        types[1] = pa.int64()
+    types = [pa.int64(), to_arrow_type(doc_type), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     return docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
     ).mapInArrow(cut, schema)

@@ -4,6 +4,7 @@ import numpy as np
 from helpers import table
 
 from loanstrata.llm.ann import MultiIndex, nearest
+from loanstrata.llm.queries import op7_ann_search
 
 
 def test_index_retrieves_every_code_within_the_radius():
@@ -54,3 +55,32 @@ def test_unequal_lengths_and_copies(spark):
         right += len({v for _, v in own} & set(np.lexsort((np.arange(600), -scores))[:5].tolist()))
     assert [v for _, v in sorted(found[200])] == [100, 101, 102, 103, 104] or (x[100] * x[200]).sum() < ((x * x[200]).sum(1)).max()
     assert right >= 0.9 * 5 * len(found)
+
+
+def test_rows_that_share_an_id(spark):
+    """Each is searched and found for itself; only a query's own row isn't its neighbour."""
+    rows = [(1, [5.0, 0.0]), (1, [9.0, 0.0]), (20, [1.0, 0.0]), (20, [0.0, 2.0]), (3, [-1.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id int, embedding array<double>")
+    out = nearest(vectors, every=20, k=4)
+    assert dict(out.dtypes)["vec_id"] == "int"
+    found = sorted((r["rank"], r.vec_id, r.score) for r in out.collect())
+    one = [(1, 1, 9.0), (2, 1, 5.0), (3, 20, 0.0), (4, 3, -1.0)]
+    other = [(1, 3, 2.0), (2, 1, 0.0), (3, 1, 0.0), (4, 20, 0.0)]
+    assert found == sorted(one + other)
+
+
+def test_query(spark):
+    """The registered query against all pairs: recall, order, exact scores."""
+    vectors = table(spark, "embeddings", "/root/testdata/sf0.01").collect()
+    ids, x = np.array([r.vec_id for r in vectors]), np.array([r.embedding for r in vectors], np.float64)
+    rows = op7_ann_search(spark, "/root/testdata/sf0.01").collect()
+    assert {r.query_id for r in rows} == set(ids[ids % 20 == 0].tolist()) and len(rows) == 20 * len(set(ids[ids % 20 == 0]))
+    right = 0
+    for q in set(ids[ids % 20 == 0].tolist()):
+        scores = (x * x[ids == q][0]).sum(1)
+        scores[ids == q] = -np.inf
+        best = ids[np.lexsort((ids, -scores))[:20]].tolist()
+        own = sorted((r["rank"], r.vec_id, r.score) for r in rows if r.query_id == q)
+        assert all(abs(scores[ids == v][0] - s) < 1e-12 for _, v, s in own)
+        right += len(set(best) & {v for _, v, _ in own})
+    assert right >= 0.9 * len(rows)

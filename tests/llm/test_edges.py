@@ -132,7 +132,8 @@ def test_ann(spark):
     found = {}
     for r in sorted(out, key=lambda r: (r.query_id, r.rank)):
         found.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    assert found == {0: [(1, 1.0), (2, 1.0), (3, 1.0)], 20: [(21, 421.0), (3, 61.0), (2, 41.0)]}
+    # two rows have the id 0: each is a query, and a candidate of the other
+    assert found == {0: [(0, 1.0), (0, 1.0), (1, 1.0), (1, 1.0), (2, 1.0), (2, 1.0)], 20: [(21, 421.0), (3, 61.0), (2, 41.0)]}
     assert nearest(vectors.limit(0)).collect() == []
     assert nearest(vectors.filter("vec_id = 20")).collect() == []
 
@@ -151,3 +152,22 @@ def test_pipeline_stages(spark, docs, none, tmp_path):
             if name == "SimHash near-dedup" and given is docs:
                 # one of the three equal texts, the least of the empty ones, the others
                 assert sorted(r.doc_id or 0 for r in out.collect())[:2] == [0, 1]
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "struct<a:int,b:string>"])
+def test_ids_of_other_types(spark, kind):
+    ids = {"int": [1, None, 3], "string": ["x", None, ""], "struct<a:int,b:string>": [(1, "x"), None, (2, None)]}[kind]
+    given = spark.createDataFrame(list(zip(ids, ["one two", None, LONG], strict=True)), f"doc_id {kind}, text string")
+    cut = pieces(given, q.vocabulary(), 2048, end_id=0)
+    assert dict(cut.dtypes)["doc_id"] == kind
+    assert Counter(r.doc_id for r in cut.collect() if r.start == 0) == Counter(r.doc_id for r in given.collect())
+    packed = q.packed_documents(given).collect()
+    assert sum(r.length for r in packed) == sum(r.length for r in cut.collect())
+
+
+def test_large_ids_beside_null_ones(spark):
+    """A null among 64-bit ids makes no floating-point number of them."""
+    large = 2**62 + 1
+    given = spark.createDataFrame([(large, "one two"), (None, "three"), (large + 1, "four")], "doc_id long, text string")
+    assert {r.doc_id for r in q.packed_documents(given).collect()} == {large, large + 1, None}
+    assert {d for r in pack_tokens(given, q.vocabulary(), 64).collect() for d in r.doc_ids} == {large, large + 1, None}
