@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from loanstrata.llm.ann import nearest
 from loanstrata.llm.best_fit_packing import pack
 from loanstrata.llm.centroid_clustering import cluster
 from loanstrata.llm.chat_formatting import conversation_log, format_conversations, read_back
-from loanstrata.llm.common import importable, written
+from loanstrata.llm.common import importable, scratch, written
 from loanstrata.llm.decontamination import find_leaks
 from loanstrata.llm.fill_in_middle import fill_in_middle, restored
 from loanstrata.llm.language_id import classify, fit, held_out
@@ -19,7 +20,7 @@ from loanstrata.llm.line_dedup import drop_recurring_lines
 from loanstrata.llm.sharding import shard
 from loanstrata.llm.simhash import near_duplicates
 from loanstrata.llm.suffix_dedup import kept_digests
-from loanstrata.llm.token_output import pack_tokens
+from loanstrata.llm.token_output import pack_tokens, write_matrices
 from loanstrata.llm.tokens import pieces
 from loanstrata.llm.url_filters import filter_urls, rule_table
 
@@ -69,7 +70,11 @@ def vocabulary() -> str:
 
 
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_tokens(_table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE, end_id=0)
+    """The packed matrices as files, read again."""
+    packed = pack_tokens(_table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE, end_id=0)
+    folder = f"{scratch(spark)}/matrices/{uuid.uuid4().hex}"
+    write_matrices(packed, folder)
+    return spark.read.schema(packed.schema).parquet(folder)
 
 
 def packed_documents(docs: DataFrame) -> DataFrame:

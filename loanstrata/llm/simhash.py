@@ -15,6 +15,8 @@ from loanstrata.llm.common import rows, written
 from loanstrata.llm.components import components
 
 _BITS = 64
+#: Crowded values that a part may have, and how many times too many fingerprints are far too many.
+_HEAVY, _FAR = 100_000, 64
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -118,8 +120,11 @@ def thresholds(costs: list[list[float]], distance: int) -> tuple[float, list[int
     return best[distance + 1]
 
 
-def _layout(fps: DataFrame, distance: int, total: int, crowd: int) -> tuple[list[list[int]], list[int], dict[int, np.ndarray]]:
-    """The parts, their thresholds, and per part the values that too many fingerprints have.
+def _layout(
+    fps: DataFrame, distance: int, total: int, crowd: int
+) -> tuple[list[list[int]], list[int], dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """The parts, their thresholds, and per part the values that too many fingerprints have, each with
+    whether it is far too many.
 
     Candidates are estimated over all fingerprints: pairs of equal values exactly from the counts of
     the values, pairs t bits apart by the share that bits of these frequencies would give.
@@ -140,11 +145,11 @@ def _layout(fps: DataFrame, distance: int, total: int, crowd: int) -> tuple[list
     counts = fps.select("fp").mapInArrow(run, "part int, value long, n long").groupBy("part", "value").agg(
         F.sum("n").alias("n")
     )
-    # few values of a part can pass this, whatever the data
-    heavy = max(crowd, total // 1000)
+    # at most _HEAVY values of a part can pass this, whatever the data
+    heavy = max(crowd, total // _HEAVY)
     found = counts.groupBy("part").agg(
         F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"),
-        F.collect_list(F.when(F.col("n") > heavy, F.col("value"))).alias("heavy"),
+        F.collect_list(F.when(F.col("n") > heavy, F.struct("value", "n"))).alias("heavy"),
     ).collect()
     pairs, often = {r.part: float(r.pairs) for r in found}, {r.part: r.heavy for r in found}
     p = np.diag(together) / max(1, total)
@@ -166,9 +171,13 @@ def _layout(fps: DataFrame, distance: int, total: int, crowd: int) -> tuple[list
             costs.append([0.0, *(30 * total * probes[t] + near[: t + 1].sum() for t in range(distance + 1))])
         cost, chosen = thresholds(costs, distance)
         if best is None or cost < best[0]:
-            best = (cost, layout, chosen, {j: np.sort(np.array(often[k + j], np.int64)) for j in range(len(layout))})
+            best = (cost, layout, chosen, {j: often[k + j] for j in range(len(layout))})
         k += len(layout)
-    return best[1:]
+    crowded = {}
+    for j, rows in best[3].items():
+        rows = sorted((r.value, r.n > _FAR * heavy) for r in rows)
+        crowded[j] = (np.array([v for v, _ in rows], np.int64), np.array([far for _, far in rows], bool))
+    return best[1], best[2], crowded
 
 
 def _signatures(layout, chosen, heavy, distance):
@@ -176,18 +185,25 @@ def _signatures(layout, chosen, heavy, distance):
 
     A probe changes up to t bits of the part's value, and only where the lowest changed bit was 0, so
     that of two fingerprints just one meets the other. Rows of a value that too many fingerprints have
-    are dealt once more by the exact value of one of distance + 1 groups of the other bits.
+    are dealt once more by the other bits: two near ones agree in one of distance + 1 groups of them,
+    and, where far too many have the value, in two of distance + 2 groups.
     """
     rest = {j: [b for b in range(_BITS) if b not in set(bits)] for j, bits in enumerate(layout)}
-    subs = {j: [rest[j][s :: distance + 1] for s in range(distance + 1)] for j in rest}
+    once = {j: [rest[j][s :: distance + 1] for s in range(distance + 1)] for j in rest}
+    groups = {j: [rest[j][s :: distance + 2] for s in range(distance + 2)] for j in rest}
+    twice = {j: [x + y for x, y in combinations(groups[j], 2)] for j in rest}
 
     def rows_of(part, value, fp, probe):
-        hot = np.isin(value, heavy[part])
+        crowded, far = heavy[part]
+        at = np.searchsorted(crowded, value)
+        hot = crowded[np.minimum(at, len(crowded) - 1)] == value if len(crowded) else np.zeros(len(value), bool)
         yield part, value[~hot], np.full((~hot).sum(), -1, np.int64), fp[~hot], probe
         if hot.any():
-            for s, bits in enumerate(subs[part]):
-                sub = _values(fp[hot], bits) * (distance + 1) + s
-                yield part, value[hot], sub, fp[hot], probe
+            deep = np.zeros(len(value), bool)
+            deep[hot] = far[at[hot]]
+            for rows, subs in ((hot & ~deep, once[part]), (deep, twice[part])):
+                for s, bits in enumerate(subs if rows.any() else ()):
+                    yield part, value[rows], _values(fp[rows], bits) * len(subs) + s, fp[rows], probe
 
     def run(batches):
         for batch in batches:
@@ -311,8 +327,8 @@ def similar_links(fps: DataFrame, distance: int, crowd: int = 1024) -> DataFrame
     with sum(t_i + 1) = distance + 1, so a pair within ``distance`` is within t_i in some part. Number
     of parts and thresholds are the cheapest by the estimated candidates. All rows that share a part's
     value, or come to it by t_i changed bits, meet in one group and are compared over all 64 bits.
-    Values that more than ``crowd`` fingerprints (and a thousandth of all) have are dealt once more by
-    other bits. Within a group of many the links form stars, so that copies don't give a row for every
+    Values that more than ``crowd`` fingerprints (and a hundred-thousandth of all) have are dealt once more
+    by other bits, and by twice as many bits where far more have them. Within a group of many the links form stars, so that copies don't give a row for every
     pair.
     """
     total = fps.count()

@@ -211,4 +211,4 @@ def _assembled(table: pa.Table, capacity: int) -> pa.RecordBatch:
 
 def write_matrices(sequences: DataFrame, folder: str, rows_per_file: int = 65_536) -> None:
     """The packed rows as Parquet files of at most ``rows_per_file`` rows of the id matrix each."""
-    sequences.write.option("maxRecordsPerFile", rows_per_file).parquet(folder)
+    sequences.write.options(maxRecordsPerFile=rows_per_file, compression="zstd").parquet(folder)

@@ -5,6 +5,7 @@ from collections import Counter
 
 from helpers import by_id, table
 
+from loanstrata.llm.queries import op10_sharding
 from loanstrata.llm.sharding import shard
 
 
@@ -43,3 +44,17 @@ def test_same_result_however_the_rows_lie(spark):
 def test_native(spark):
     plan = shard(table(spark, "documents"), 40)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_query(spark):
+    """The registered query: one law for all rows, sizes, checksums, shards of equal counts, gapless slots."""
+    docs = {r.doc_id: r.text for r in table(spark, "documents").collect()}
+    rows = op10_sharding(spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id for r in rows} == set(docs) and len(rows) == len(docs)
+    assert {(r.law, r.grown_shard) for r in rows} == {("rows", None)}
+    for r in rows:
+        text = (docs[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32) == (len(text) + 16, zlib.crc32(text))
+    per = Counter(r.shard for r in rows)
+    assert set(per) == set(range(40)) and max(per.values()) - min(per.values()) <= 1
+    assert {(r.shard, r.slot) for r in rows} == {(s, k) for s, n in per.items() for k in range(n)}

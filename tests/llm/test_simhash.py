@@ -8,7 +8,9 @@ import pytest
 import xxhash
 from helpers import by_id, table
 
+from loanstrata.llm import simhash
 from loanstrata.llm.components import components
+from loanstrata.llm.queries import op6_simhash_near_dedup
 from loanstrata.llm.simhash import fingerprint, near_duplicates, partitions, similar_links, thresholds
 
 
@@ -47,9 +49,11 @@ def test_documents(spark):
     assert {d: r.fp % (1 << 64) for d, r in found.items()} == prints
 
 
-@pytest.mark.parametrize(("crowd", "distance"), [(1024, 4), (3, 4), (3, 2), (1024, 0), (1024, 6)])
-def test_links_against_all_pairs(spark, crowd, distance):
-    """Clusters of every tightness, a large one of near copies, and chains; small and crowded values."""
+@pytest.mark.parametrize(("crowd", "distance", "far"), [(1024, 4, 64), (3, 4, 64), (3, 4, 8), (3, 4, 0), (3, 2, 0), (1024, 0, 64), (1024, 6, 64), (3, 6, 4)])
+def test_links_against_all_pairs(spark, monkeypatch, crowd, distance, far):
+    """Clusters of every tightness, a large one of near copies, and chains; small and crowded values, and
+    values that are crowded far more."""
+    monkeypatch.setattr(simhash, "_FAR", far)
     rng = random.Random(distance)
     fps = set()
     for size in [1] * 200 + [2, 3, 5, 150]:
@@ -86,3 +90,13 @@ def test_correlated_bits_share_a_part():
     parts = partitions(together, 500, 4)
     assert sorted(b for p in parts for b in p) == list(range(64))
     assert any({3, 40} <= set(p) for p in parts)
+
+
+def test_query(spark):
+    """The registered query: sixteen hex digits, least reachable ids, for every row."""
+    docs = {r.doc_id: plain_fingerprint(r.text or "", 4) for r in table(spark, "documents").collect()}
+    near = [(a, b) for a in docs for b in docs if a < b and (docs[a] ^ docs[b]).bit_count() <= 4]
+    roots = plain_components(docs, near)
+    rows = op6_simhash_near_dedup(spark, "/root/testdata/sf0.001").collect()
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in rows} == {(d, f"{f:016x}", roots[d]) for d, f in docs.items()}
+    assert len(rows) == len(docs)
