@@ -99,13 +99,16 @@ def fit(
     rate: float = 0.5,
     lost: float = 0.001,
     seed: int = 0,
+    most_labels: int = 1000,
 ) -> Model:
     """Learn labels from a bounded sample of labelled rows.
 
     The sample has at most ``fit_rows`` rows, each label about the same number, chosen by a hash of
-    id and text; at most 1000 labels, the most frequent ones. Each text is a bag of n-grams in
-    2 ** ``bits`` buckets when it reaches the driver, so its length doesn't count there. A second
-    bag holds a few words in a row of it, so that short texts are learnt too.
+    id and text; at most ``most_labels`` labels, the most frequent ones: others are never predicted. Each
+    text is made a bag of n-grams in 2 ** ``bits`` buckets where it lies, so its length counts neither
+    where the sample comes together nor on the driver. A second bag holds a few words in a row of it, so
+    that short texts are learnt too. Rows without a text or a label teach nothing, no row at all gives a
+    model that predicts nothing; repeated rows count as often as they come.
 
     A fifth of the sample trains nothing: it sets the temperature, so that scores are probabilities,
     and ``least_score``, under which a prediction is rejected. Of its right predictions of whole
@@ -116,17 +119,13 @@ def fit(
         F.col(label_col).cast("string").alias("label"),
         F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("h"),
     ).filter(F.col("text").isNotNull() & F.col("label").isNotNull())
-    sizes = {r.label: r.n for r in labelled.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(1000).collect()}
+    sizes = {r.label: r.n for r in labelled.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(most_labels).collect()}
     labels = sorted(sizes)
     if not labels:
         return Model([], np.zeros((1, 0)), np.zeros(0), bits, 1.0, 0.5)
     each = max(1, fit_rows // len(labels))
     share = F.create_map(*[F.lit(x) for k in labels for x in (k, min(1.0, each / sizes[k]))])
-    sample = (
-        labelled.filter(F.pmod(F.col("h"), F.lit(1_000_003)) < F.try_element_at(share, "label") * 1_000_003)
-        .orderBy("h", "label", F.xxhash64("text"))
-        .limit(fit_rows)
-    )
+    sample = labelled.filter(F.pmod(F.col("h"), F.lit(1_000_003)) < F.try_element_at(share, "label") * 1_000_003)
 
     def bag(batches):
         for part in rows(batches, "text"):
@@ -150,7 +149,9 @@ def fit(
                     ["label", "h", "whole", "bucket", "n"],
                 )
 
-    found = sample.mapInArrow(bag, "label string, h long, whole boolean, bucket array<int>, n array<int>").toArrow()
+    bags = sample.mapInArrow(bag, "label string, h long, whole boolean, bucket array<int>, n array<int>")
+    # two bags of a row have one hash
+    found = bags.orderBy("h", "label", "whole").limit(2 * fit_rows).toArrow()
     keep = [i for i, b in enumerate(found.column("bucket").to_pylist()) if b]
     found = found.take(pa.array(keep, pa.int64())).sort_by([("h", "ascending"), ("label", "ascending"), ("whole", "ascending")])
     target = np.searchsorted(labels, found.column("label").to_pylist()) if keep else np.zeros(0, int)

@@ -1,8 +1,13 @@
 from __future__ import annotations
 
-from helpers import table
+import re
+import zlib
+
+import numpy as np
+from helpers import SF, table
 
 from loanstrata.llm.language_id import classify, fit, held_out
+from loanstrata.llm.queries import op2_language_id
 from pyspark.sql import functions as F
 
 
@@ -26,3 +31,43 @@ def test_same_model_twice(spark):
     docs = table(spark, "documents")
     one, two = fit(docs, epochs=1), fit(docs.repartition(5), epochs=1)
     assert one.labels == two.labels and (one.table == two.table).all() and one.least_score == two.least_score
+
+
+def plain_prediction(model, text):
+    """n-gram by n-gram: embeddings are averaged, then the softmax."""
+    words = [w.encode() for w in re.split(r"[\W\d_]+", text.lower()) if w]
+    if not any(c.isalpha() for c in text):
+        return "und", 0.0
+    total, n = np.zeros(len(model.labels)), 0
+    for word in words:
+        padded = b" " + word + b" "
+        for size in (2, 3, 4):
+            for at in range(len(padded) - size + 1):
+                h = padded[at] + 1
+                for c in padded[at + 1 : at + size]:
+                    h = (h * 0x01000193 & 0xFFFFFFFF) ^ c
+                total += model.table[(h * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - model.bits)]
+                n += 1
+    logits = (total / max(n, 1) + model.bias) / model.temperature
+    p = np.exp(logits - logits.max())
+    return model.labels[int(p.argmax())], float(p.max() / p.sum())
+
+
+def test_query_against_plain_python(spark):
+    docs = table(spark, "documents")
+    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+    rows = {r.doc_id: r for r in op2_language_id(spark, SF).collect()}
+    given = docs.collect()
+    assert set(rows) == {r.doc_id for r in given}
+    for r in given:
+        found = rows[r.doc_id]
+        label, score = plain_prediction(model, r.text or "")
+        assert found.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert found.lang_pred == label and abs(found.score - score) < 1e-9
+
+
+def test_labels_beyond_the_most(spark):
+    docs = table(spark, "documents")
+    model = fit(docs, epochs=1, most_labels=2)
+    assert len(model.labels) == 2
+    assert {r.lang_pred for r in classify(docs, model).select("lang_pred").distinct().collect()} <= {*model.labels, "und"}
