@@ -102,7 +102,7 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of shards differ by at most one; the number of shards moves rows between old ones."""
-    return shard(_table(spark, sf_dir, "documents"), shards=40).select(
+    return shard(_table(spark, sf_dir, "documents"), shards=40, spread=True).select(
         "*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     )
 

@@ -14,12 +14,16 @@ def shard(
     source_col: str = "source",
     seed: int = 0,
     buckets: int = 4096,
+    spread: bool = False,
 ) -> DataFrame:
     """Deal rows into shards of the same mixture: (doc_id, size, text_crc32, shard, slot).
 
     Within a source, rows get the order of a seeded hash. Row r of n gets the fraction (2r + 1) / 2n;
     all rows sorted by fraction, then source, are cut into ``shards`` runs whose lengths differ by at
-    most one. So a source with a share x of the rows has that share, up to rounding, in every run.
+    most one. So a source with a share x of the rows has that share, up to rounding, in every run. With
+    ``spread`` the fraction is (r + u) / n, u from 0 to 1 by a hash of the source: then sources of one row,
+    or of any other number that many have, lie all over the runs instead of at the same fractions, where
+    they would be one run's mixture and one task's range.
 
     No group is sorted whole. Hash and fraction are cut into ``buckets`` ranges; counts per (source,
     range) and per range give each range its offset, and only rows inside a range are sorted. A
@@ -44,6 +48,7 @@ def shard(
         F.floor((F.shiftright("h", 32) + F.lit(2**31)) * buckets / F.lit(2**32)).cast("int"),
     )
 
+    shift = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "source"), 11) / F.lit(2.0**53) if spread else F.lit(0.5)
     per_bucket = rows.groupBy("source", "b").agg(F.count("*").alias("n"))
     within = Window.partitionBy("source")
     offsets = per_bucket.select(
@@ -56,7 +61,7 @@ def shard(
     placed = (
         rows.join(offsets, ["source", "b"])
         .withColumn("rank", F.coalesce("before", F.lit(0)) + F.row_number().over(in_bucket) - 1)
-        .withColumn("fraction", (2 * F.col("rank") + 1) / (2.0 * F.col("n_source")))
+        .withColumn("fraction", (F.col("rank") + shift) / F.col("n_source"))
         .withColumn("f", F.floor(F.col("fraction") * buckets).cast("int"))
         .select("doc_id", "source", "size", "text_crc32", "rank", "fraction", "f")
     )

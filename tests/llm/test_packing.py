@@ -127,3 +127,21 @@ def test_evolution_with_the_defaults(spark):
 
     bins = pack(items, 2048).select("sequence_id").distinct().count()
     assert 400 <= bins <= 403 < best_fit_decreasing(lengths, 2048)
+
+
+def test_blocks_exchange_their_emptiest_bins(spark):
+    """In blocks of 16 each wastes a part of a bin; what they leave is packed together."""
+    from loanstrata.llm.best_fit_packing import pack
+
+    rng = random.Random(2)
+    lengths = [rng.randint(200, 1100) for _ in range(400)]
+    items = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "uid long, length long")
+    alone, together = (pack(items, 2048, block=16, rounds=r, loose=0.3).collect() for r in (1, 4))
+    assert len({r.sequence_id for r in together}) < len({r.sequence_id for r in alone})
+    for rows in (alone, together):
+        assert sorted((r.uid, r.length) for r in rows) == list(enumerate(lengths))
+        bins = {}
+        for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+            assert bins.get(r.sequence_id, 0) == r.offset
+            bins[r.sequence_id] = r.offset + r.length
+        assert max(bins.values()) <= 2048

@@ -58,3 +58,17 @@ def test_query(spark):
     per = Counter(r.shard for r in rows)
     assert set(per) == set(range(40)) and max(per.values()) - min(per.values()) <= 1
     assert {(r.shard, r.slot) for r in rows} == {(s, k) for s, n in per.items() for k in range(n)}
+
+
+def test_many_sources_of_one_row(spark):
+    """Half of the rows have a source of their own: every shard gets its part of them, no range most."""
+    rows = [(i, f"text {i}", f"site{i}" if i % 2 else "large") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for spread in (False, True):
+        out = shard(docs, 10, spread=spread).collect()
+        assert sorted(Counter(r.shard for r in out).values()) == [400] * 10
+        own = Counter(r.shard for r in out if r.doc_id % 2)
+        if spread:
+            assert max(own.values()) < 260 and min(own[s] for s in range(10)) > 140
+        else:
+            assert max(own.values()) == 400  # all at the fraction one half
