@@ -24,7 +24,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines of recurring templates from the texts, and counts the characters of these anew."""
+    """Drops lines of recurring templates from the texts, and counts the characters of these anew.
+
+    Every document stays, also one without lines left: its text is empty then. Null texts stay null, equal
+    texts lose the same lines, and a null id comes after all others where the first text keeps its line."""
     changed = F.col("n_dropped") > 0
     n_chars = F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast("long")
     return drop_recurring_lines(docs.select(*COLUMNS)).withColumn("n_chars", n_chars).select(*COLUMNS)
@@ -42,13 +45,19 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a passage of the benchmark."""
+    """Drops the documents that hold a passage of the benchmark.
+
+    Null and empty texts, and all of them if the benchmark is empty, hold none; rows of equal or null ids
+    are documents of their own."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return find_leaks(docs, benchmark, carry=_CARRIED).filter(~F.col("contaminated")).select(*COLUMNS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in the training sequences."""
+    """The place of every piece of every document in the training sequences.
+
+    A null or empty text is the piece of its end token; rows of equal or null ids are documents of their
+    own; no document gives no row."""
     return packed_documents(docs)
 
 
