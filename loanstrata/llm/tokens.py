@@ -5,7 +5,9 @@ from __future__ import annotations
 import functools
 import json
 import re
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +22,17 @@ from loanstrata.llm.common import rows
 #: Fixed value: the pattern by which vocabulary files of this kind cut texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words whose ids a worker remembers, and the longest such word. Bounds memory, not results.
-MEMO_WORDS, MEMO_CHARS = 400_000, 48
+MEMO_WORDS, MEMO_CHARS = 800_000, 48
 
 _AT_SPACES = re.compile(r"(?<=\S) (?=\S)")
-_ODD_SPACE = re.compile(r"\s | \s|\A | \Z")
+#: All white space but the blank and the line break.
+_RARE_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+
+
+def _odd_space(text: str) -> bool:
+    """May there be a blank that isn't alone between two other characters?"""
+    plain = "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
+    return plain or any(c in text for c in _RARE_SPACE)
 
 
 class Encoder:
@@ -61,28 +70,47 @@ class Encoder:
         self._word = encoding.encode_ordinary
         self._whole = lambda text: encoding.encode(text, allowed_special="all")
         self._memo: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        self._begins = np.zeros(max(ranks.values()) + 1, bool)
+        self._begins[[i for word, i in ranks.items() if word.startswith(b" ")]] = True
 
     def __call__(self, text: str) -> bytes:
         if self._word is None or any(s in text for s in self._special):
             return _bytes(self._whole(text))
-        words = _AT_SPACES.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-        memo = self._memo
-        out = [_bytes(self._word(words[0]))]
-        add = out.append
-        for word in words[1:]:
-            ids = memo.get(word)
-            if ids is None:
-                ids = _bytes(self._word(" " + word))
-                if len(word) <= MEMO_CHARS:
-                    if len(memo) >= MEMO_WORDS:
-                        memo.clear()
-                    memo[word] = ids
-            add(ids)
-        return b"".join(out)
+        first, *words = _AT_SPACES.split(text) if _odd_space(text) else text.split(" ")
+        out = list(map(self._memo.get, words))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        if missing:
+            known = self._lookup(dict.fromkeys(words[i] for i in missing))
+            for i in missing:
+                out[i] = known[words[i]]
+        return b"".join([_bytes(self._word(first)), *out])
+
+    def _lookup(self, words: dict[str, None]) -> dict[str, bytes]:
+        """Ids of words that the newer half of the memo lacks, each with a blank before it.
+
+        Those that are new are encoded together: a token that begins with a blank begins a word."""
+        known = {word: ids for word in words if (ids := self._older.get(word)) is not None}
+        for word in words:
+            # a blank inside a word that other white space made
+            if " " in word and word not in known:
+                known[word] = _bytes(self._word(" " + word))
+        new = [word for word in words if word not in known]
+        if new:
+            ids = np.array(self._word(" " + " ".join(new)), "<u4")
+            raw, cuts = ids.tobytes(), [*(4 * np.flatnonzero(self._begins[ids])).tolist(), 4 * len(ids)]
+            known |= {word: raw[a:b] for word, a, b in zip(new, cuts[:-1], cuts[1:], strict=True)}
+        if len(self._memo) >= MEMO_WORDS // 2:
+            self._older, self._memo = self._memo, {}
+        self._memo.update((word, ids) for word, ids in known.items() if len(word) <= MEMO_CHARS)
+        return known
 
 
 def _bytes(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
 
 
 @functools.cache
