@@ -27,6 +27,9 @@ def main() -> None:
     parser.add_argument("--on-missing", choices=["skip", "strict"], default="skip")
     parser.add_argument("--months-per-job", type=int, help="clean the months in groups of this size")
     parser.add_argument("--shuffle-partitions", type=int, help="bytes a job shuffles / 128 MB")
+    parser.add_argument(
+        "--buckets", type=int, default=0, help="deal silver by customer: bytes of silver / snapshots a job / 128 MB"
+    )
     parser.add_argument("--report", action="store_true", help="also write run metrics and join audit")
     parser.add_argument("--analysis", action="store_true", help="also write the delinquency tables")
     parser.add_argument("--export", type=date.fromisoformat, help="also export this snapshot's cleaned tables")
@@ -47,6 +50,7 @@ def main() -> None:
         args.on_missing,
         args.months_per_job,
         audit=args.report,
+        buckets=args.buckets,
     )
     if args.report:
         load_metrics(lake, None, month_starts(args.start, args.end), args.mob)

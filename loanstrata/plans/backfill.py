@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from datetime import date
 from functools import reduce
 
@@ -69,12 +70,19 @@ def load_bronze(
     lake.write(kept, "bronze", name, snapshots, rebalance, measured)
 
 
-def load_silver(lake: Lake, name: str, snapshots: list[date], rebalance: bool = True) -> None:
-    """Clean the bronze slices of one source; a source without bronze is left out."""
+def load_silver(
+    lake: Lake, name: str, snapshots: list[date], rebalance: bool = True, buckets: int = 0
+) -> None:
+    """Clean the bronze slices of one source; a source without bronze is left out.
+
+    With ``buckets`` the rows are dealt by customer (see `Lake.write`): with the same number for all
+    sources, `load_features` and `load_report` bring customers together without an exchange.
+    """
     runs = lake.runs("bronze", source(name).name)
     rows = lake.read("bronze", name, snapshots)
     if rows is not None:
-        lake.write(clean(name, rows), "silver", name, snapshots, rebalance, lambda _: {"made_from": runs})
+        made = {"made_from": runs}
+        lake.write(clean(name, rows), "silver", name, snapshots, rebalance, lambda _: made, buckets)
 
 
 def load_labels(lake: Lake, snapshots: list[date], dpd: int = 30, mob: int = 6) -> None:
@@ -84,6 +92,11 @@ def load_labels(lake: Lake, snapshots: list[date], dpd: int = 30, mob: int = 6)
         lake.write(label_store(lms, dpd, mob), "gold", "label_store", snapshots)
 
 
+def _silver_by_customer(lake: Lake, opened: ExitStack, snapshots: list[date]) -> dict[str, DataFrame | None]:
+    """The silver tables, with the buckets they were written in; to be read while ``opened`` is open."""
+    return {n: opened.enter_context(lake.by_customer("silver", n, snapshots)) for n in SOURCES}
+
+
 def load_features(
     lake: Lake,
     snapshots: list[date],
@@ -96,17 +109,18 @@ def load_features(
 
     With ``audit`` the join audit of the quality layer is written, too: one shuffle brings the rows of a
     customer together for both, its result is written as ``gold/customer_rows``, and store and audit are
-    read from there.
+    read from there. There is no such shuffle where silver was dealt by customer.
     """
-    silver = {name: lake.read("silver", name, snapshots) for name in SOURCES}
-    rows = rows_by_source(silver, mob)
-    if not rows:
-        return
-    if not audit:
-        store = feature_store(silver, mob, on_missing)
-        lake.write(store, "gold", "feature_store", snapshots, rebalance)
-        return
-    lake.write(customer_rows(rows), "gold", "customer_rows", snapshots, rebalance)
+    with ExitStack() as opened:
+        silver = _silver_by_customer(lake, opened, snapshots)
+        rows = rows_by_source(silver, mob)
+        if not rows:
+            return
+        if not audit:
+            store = feature_store(silver, mob, on_missing)
+            lake.write(store, "gold", "feature_store", snapshots, rebalance)
+            return
+        lake.write(customer_rows(rows), "gold", "customer_rows", snapshots, rebalance)
     together = lake.read("gold", "customer_rows", snapshots)
     # without a row in any source there is nothing to store and nothing to audit
     if together is None:
@@ -132,10 +146,10 @@ def load_report(
     frames the store joins.
     """
     load_metrics(lake, raw, snapshots, mob)
-    silver = {name: lake.read("silver", name, snapshots) for name in SOURCES}
-    rows = rows_by_source(silver, mob)
-    if len(rows) > 1:
-        lake.write(join_audit(rows, on_missing), "quality", "join_audit", snapshots)
+    with ExitStack() as opened:
+        rows = rows_by_source(_silver_by_customer(lake, opened, snapshots), mob)
+        if len(rows) > 1:
+            lake.write(join_audit(rows, on_missing), "quality", "join_audit", snapshots)
 
 
 def load_metrics(lake: Lake, raw: dict[str, DataFrame] | None, snapshots: list[date], mob: int = 6) -> None:
@@ -219,14 +233,15 @@ def backfill(
     months_per_job: int | None = None,
     rebalance: bool = True,
     audit: bool = False,
+    buckets: int = 0,
 ) -> None:
     """Rebuild all layers for the months from ``start`` to ``end``.
 
     Each layer is one job per table over all months. ``months_per_job`` bounds what one silver or
     gold job shuffles: the months are then cleaned in groups, while the raw tables are still read
     once. ``rebalance=False`` writes every layer as its tasks hold it (see `Lake.write`). ``audit`` writes
-    the join audit with the feature store (see `load_features`). Every layer is
-    a written table, so a lost executor costs the tasks it ran and a failed run
+    the join audit with the feature store (see `load_features`). ``buckets`` deals silver by customer, so
+    that gold needs no exchange by customer (see `load_silver`). Every layer is a written table, so a lost executor costs the tasks it ran and a failed run
     can be started again: it overwrites the same snapshots and no others.
     """
     months = month_starts(start, end)
@@ -236,7 +251,7 @@ def backfill(
     size = months_per_job or max(len(months), 1)
     for first in range(0, len(months), size):
         group = months[first : first + size]
-        _side_by_side(lake, [lambda n=n: load_silver(lake, n, group, rebalance) for n in SOURCES])
+        _side_by_side(lake, [lambda n=n: load_silver(lake, n, group, rebalance, buckets) for n in SOURCES])
         _side_by_side(
             lake,
             [

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from loanstrata.schemas import FIXED, SNAPSHOT, ddl
+from loanstrata.operators.normalize import quoted
+from loanstrata.schemas import CUSTOMER, FIXED, SNAPSHOT, ddl
 from loanstrata.sources.manifest import WHOLE, Manifest, Run, Versions
 
 #: How Spark names files by default: those of a table that other tools wrote.
@@ -63,8 +66,7 @@ class Lake:
         return self._open(manifest, layer, table, snapshots)
 
     def _open(self, manifest: Manifest, layer: str, table: str, snapshots: Sequence[date] | None) -> DataFrame:
-        asked = None if snapshots is None else {s.isoformat() for s in snapshots}
-        found = {k: run for k, (run, n) in manifest.snapshots.items() if n and (asked is None or k in asked)}
+        found = _found(manifest, snapshots)
         fixed = FIXED.get((layer, table))
         if fixed:
             schema = StructType.fromDDL(ddl(fixed))
@@ -78,6 +80,62 @@ class Lake:
         files = [f"{path}/{_folder(k)}{run}-*.parquet" for k, run in found.items()]
         return self.spark.read.schema(schema).option("basePath", path).parquet(*files)
 
+    @contextmanager
+    def by_customer(
+        self, layer: str, table: str, snapshots: Sequence[date] | None = None
+    ) -> Iterator[DataFrame | None]:
+        """A table as `read` gives it, known to Spark as dealt by customer if its writes dealt it so.
+
+        If all runs that are opened have the same number of buckets, an aggregate or a join by customer,
+        or by customer and snapshot, needs no exchange, nor does one over a union of such tables with
+        that number. Spark learns of buckets from its catalog only, so the rows can be read while the
+        context lasts: an external table of it, which names the snapshots asked for, ends with it.
+        """
+        manifest = self.manifest(layer, table)
+        found = {} if manifest is None else _found(manifest, snapshots)
+        buckets = manifest.buckets(set(found.values())) if found else 0
+        if not buckets:
+            yield None if manifest is None else self._open(manifest, layer, table, snapshots)
+            return
+        columns = manifest.columns(set(found.values()))
+        with self._catalogued(layer, table, columns, buckets, {}) as name:
+            partitions = " ".join(f"PARTITION ({SNAPSHOT} = '{k}')" for k in found)
+            self.spark.sql(f"ALTER TABLE {name} ADD {partitions}")
+            days: dict[str, list[date]] = {}
+            for k, run in found.items():
+                days.setdefault(run, []).append(date.fromisoformat(k))
+            # files of runs that don't count lie in the same folders
+            file = F.col("_metadata.file_name")
+            counts = [F.col(SNAPSHOT).isin(d) & file.startswith(f"{run}-") for run, d in days.items()]
+            rows = self.spark.table(name).where(reduce(Column.__or__, counts))
+            # New names for the columns: a union keeps the buckets only of columns that don't carry the
+            # table's name.
+            yield rows.toDF(*rows.columns)
+
+    @contextmanager
+    def _catalogued(
+        self, layer: str, table: str, columns: StructType, buckets: int, options: dict[str, object]
+    ) -> Iterator[str]:
+        """A table's folder as an external table of Spark's catalog, for a while; gives its name."""
+        name = f"lake_{uuid.uuid4().hex}"
+        types = [c.dataType.simpleString() for c in columns]
+        fields = ", ".join(f"{c} {t}" for c, t in zip(quoted(columns.names), types))
+        given = ", ".join(f"'{k}' = '{str(v).lower() if isinstance(v, bool) else v}'" for k, v in options.items())
+        # a relative location would be one below the warehouse
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        location = files.makeQualified(folder).toString().replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE {name} ({fields}, {SNAPSHOT} date) USING parquet"
+            f"{f' OPTIONS ({given})' if given else ''} PARTITIONED BY ({SNAPSHOT})"
+            f" CLUSTERED BY ({CUSTOMER}) SORTED BY ({CUSTOMER}) INTO {buckets} BUCKETS LOCATION '{location}'"
+        )
+        try:
+            yield name
+        finally:
+            # an external table: its files stay
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
     def runs(self, layer: str, table: str) -> dict[str, str]:
         """The run that wrote each snapshot, by its ISO date: another run, other rows."""
         manifest = self.manifest(layer, table)
@@ -105,6 +163,7 @@ class Lake:
         snapshots: Sequence[date],
         rebalance: bool = True,
         measured: Callable[[dict[date, int]], dict] | None = None,
+        buckets: int = 0,
     ) -> dict[date, int]:
         """Replace the given snapshots of a table with the rows of ``df`` and leave all others.
 
@@ -115,26 +174,34 @@ class Lake:
         where rows lie in well-sized partitions by snapshot already. A snapshot that had rows before
         and has none now is empty, so a rerun with other parameters leaves nothing behind.
 
+        With ``buckets`` the rows are dealt by customer instead, a task and one file a snapshot for each
+        bucket, and `by_customer` can read them without an exchange. All rows of a customer go to one
+        task: for tables that have few rows of each customer and snapshot, as silver has. A table without
+        the column isn't dealt.
+
         Returns the rows of each snapshot, counted by the tasks that write them. What ``measured`` makes of
         them is kept with the run. A column may be new, but may not change its type while other snapshots
         have it. A table exists from its first row on, one of a fixed schema from its first write on.
         """
         run = _new_run()
         versions = self.versions(layer, table)
+        buckets = buckets if CUSTOMER in df.columns else 0
         rows = df.where(F.col(SNAPSHOT).isin(list(snapshots)))
-        left = Run(rows.drop(SNAPSHOT).schema)
+        left = Run(rows.drop(SNAPSHOT).schema, buckets=buckets)
         none = {s.isoformat(): 0 for s in snapshots}
         # a conflict of types ends the write before its job
         before = versions.get()
         (before or Manifest()).after(run, left, none | dict.fromkeys(none, 1))
         counts = [F.expr(f"count_if({SNAPSHOT} = DATE'{k}') AS `{k}`") for k in none]
-        counted = self._append(
-            rows.hint("rebalance", SNAPSHOT) if rebalance else rows, layer, table, run, counts, [SNAPSHOT]
-        )
+        if buckets:
+            rows = rows.repartition(buckets, CUSTOMER)
+        elif rebalance:
+            rows = rows.hint("rebalance", SNAPSHOT)
+        counted = self._append(rows, layer, table, run, counts, [SNAPSHOT], buckets)
         counted.pop(_ALL)
         result = {date.fromisoformat(k): n for k, n in counted.items()}
         if any(counted.values()) or before is not None or (layer, table) in FIXED:
-            left = Run(left.schema, measured(result) if measured else {})
+            left = replace(left, measured=measured(result) if measured else {})
             versions.commit(lambda newest: newest.after(run, left, none | counted))
         return result
 
@@ -148,7 +215,14 @@ class Lake:
         return counted
 
     def _append(
-        self, df: DataFrame, layer: str, table: str, run: str, counts: list[Column], by: list[str]
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        run: str,
+        counts: list[Column],
+        by: list[str],
+        buckets: int = 0,
     ) -> dict[str, int]:
         """Add files of a run; what its last stage counts on the way, where every row is counted once.
 
@@ -164,7 +238,12 @@ class Lake:
         }
         try:
             counted = df.observe(seen, F.count("*").alias(_ALL), *counts)
-            counted.write.mode("append").options(**own).partitionBy(*by).parquet(path)
+            if buckets:
+                columns = counted.drop(SNAPSHOT).schema
+                with self._catalogued(layer, table, columns, buckets, own) as name:
+                    counted.select(*quoted(columns.names), SNAPSHOT).write.insertInto(name)
+            else:
+                counted.write.mode("append").options(**own).partitionBy(*by).parquet(path)
         finally:
             pending = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_temporary/{attempt}")
             pending.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(pending, True)
@@ -214,6 +293,12 @@ def _new_run() -> str:
     return f"r{uuid.uuid4().hex}"
 
 
+def _found(manifest: Manifest, snapshots: Sequence[date] | None) -> dict[str, str]:
+    """The run of each snapshot that is asked for and has rows."""
+    asked = None if snapshots is None else {s.isoformat() for s in snapshots}
+    return {k: run for k, (run, n) in manifest.snapshots.items() if n and (asked is None or k in asked)}
+
+
 def _folder(snapshot: str) -> str:
     return f"{SNAPSHOT}={snapshot}/" if snapshot != WHOLE else ""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
@@ -36,6 +37,8 @@ class Run:
 
     schema: StructType
     measured: dict[str, object] = field(default_factory=dict)
+    #: into how many buckets by customer its rows are dealt; 0 if they aren't
+    buckets: int = 0
 
 
 @dataclass(frozen=True)
@@ -63,6 +66,11 @@ class Manifest:
         names = {c.name.lower() for r in runs for c in self.runs[r].schema}
         return StructType([c for c in self.schema if c.name.lower() in names])
 
+    def buckets(self, runs: set[str]) -> int:
+        """The number of buckets that all these runs share, 0 if there is none."""
+        numbers = {self.runs[r].buckets for r in runs}
+        return numbers.pop() if len(numbers) == 1 else 0
+
     def after(self, run_id: str, run: Run, rows: dict[str, int]) -> Manifest:
         """The next version: the snapshots in ``rows`` are those of the run, all others stay."""
         snapshots = {k: v for k, v in self.snapshots.items() if k not in rows}
@@ -86,7 +94,10 @@ class Manifest:
                 "committed_at": self.committed_at,
                 "schema": self.schema.jsonValue(),
                 "snapshots": {k: {"run": r, "rows": n} for k, (r, n) in self.snapshots.items()},
-                "runs": {k: {"schema": r.schema.jsonValue(), "measured": r.measured} for k, r in self.runs.items()},
+                "runs": {
+                    k: {"schema": r.schema.jsonValue(), "measured": r.measured, "buckets": r.buckets}
+                    for k, r in self.runs.items()
+                },
             },
             indent=1,
         )
@@ -98,7 +109,11 @@ class Manifest:
             found["version"],
             StructType.fromJson(found["schema"]),
             {k: (s["run"], s["rows"]) for k, s in found["snapshots"].items()},
-            {k: Run(StructType.fromJson(r["schema"]), r["measured"]) for k, r in found["runs"].items()},
+            # manifests of earlier releases know no buckets
+            {
+                k: Run(StructType.fromJson(r["schema"]), r["measured"], r.get("buckets", 0))
+                for k, r in found["runs"].items()
+            },
             found["committed_at"],
         )
 
@@ -160,16 +175,32 @@ class Versions:
         finally:
             out.close()
         target = self._path(name)
+        if not self._renamed(self._files.makeQualified(staged), self._files.makeQualified(target)):
+            self._files.delete(staged, False)
+            return False
+        return True
+
+    def _renamed(self, staged, target) -> bool:
+        """Give the staged file the name of its version; False if another writer has it."""
+        if target.toUri().getScheme() == "file":
+            # Hadoop's local rename looks first and renames then, so two writers could both succeed. A
+            # link fails if the name is there.
+            try:
+                os.link(staged.toUri().getPath(), target.toUri().getPath())
+            except FileExistsError:
+                return False
+            self._files.delete(staged, False)
+            return True
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
             target.toUri(), self._spark._jsc.hadoopConfiguration()
         )
         keep = self._spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
         try:
-            context.rename(self._files.makeQualified(staged), self._files.makeQualified(target), keep)
+            context.rename(staged, target, keep)
         except Exception:
-            self._files.delete(staged, False)
             if self._files.exists(target):
                 return False
+            self._files.delete(staged, False)
             raise
         return True
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from pathlib import Path
 
@@ -99,6 +100,24 @@ def test_of_two_commits_one_is_first(spark, tmp_path):
     assert all(p.name.endswith(".crc") for p in (tmp_path / "_manifests").glob(".*"))
 
 
+def test_many_commits_at_once_lose_none(spark, tmp_path):
+    """Writers that find the same newest version: each commit is there in the end."""
+    tables = [Versions(spark, str(tmp_path / "t")) for _ in range(8)]
+    days = [f"2023-01-{d:02d}" for d in range(1, 25)]
+
+    def commit(i):
+        for day in days[i::8]:
+            tables[i].commit(lambda m: m.after(f"r{day}", Run(StructType()), {day: 1}))
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(commit, range(8)))
+    last = tables[0].get()
+    assert sorted(last.snapshots) == days and last.version == len(days)
+    assert tables[0].numbers() == list(range(1, len(days) + 1))
+    left = [p.name for p in (tmp_path / "t" / "_manifests").iterdir()]
+    assert sorted(left) == [f"{n:010d}.json" for n in range(1, len(days) + 1)]
+
+
 def test_no_file_is_opened_for_a_schema(spark, lake):
     """Files emptied of all content still plan a read of 24 months, with the columns of all runs."""
     wide = "v int, w string"
