@@ -616,6 +616,8 @@ for _name, _same in {
     "write_that_fails": "label_store",
     "version_before_rerun": "label_store",
     "audited_feature_store": "feature_store",
+    "bucketed_feature_store": "feature_store",
+    "merged_store_summary": "store_summary",
     "stored_join_audit": "join_audit",
     "cube_mob_profile": "mob_profile",
     "cube_dpd_histogram_60": "dpd_histogram_60",

@@ -13,7 +13,7 @@ from loanstrata.functions import numbers, text
 from loanstrata.functions.dates import month_calendar, month_starts
 from loanstrata.operators.merge import inner_merge, join_audit, source_coverage
 from loanstrata.operators.normalize import normalize_names, normalize_strings
-from loanstrata.plans import backfill, cube, delinquency, gold, quality, silver
+from loanstrata.plans import backfill, cube, customers, delinquency, gold, quality, silver
 from loanstrata.plans.bronze import bronze_rows, dated
 from loanstrata.schemas import FINANCIAL_INTEGERS, FINANCIAL_NUMBERS, RAGGED, SOURCES
 from loanstrata.sources.lake import Lake, export_csv, read_export
@@ -303,6 +303,29 @@ def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("snapshot_date", "line", F.lit(ragged).cast("bigint").alias("rows_ragged"))
 
 
+def bucketed_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored feature store, from silver tables that were dealt by customer."""
+    lake = Lake(spark, f"{scratch(spark)}/lake")
+    months = month_starts(*views.month_range(spark, sf_dir))
+    for name, df in _all_silver(spark, sf_dir).items():
+        lake.write(df, "silver", name, months, buckets=8)
+    backfill.load_features(lake, months, MOB)
+    return lake.read("gold", "feature_store")
+
+
+def merged_store_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and customers of the stores from bitmaps, which were made for the first months and then brought
+    up to date."""
+    lake = Lake(spark, f"{scratch(spark)}/lake")
+    stores = {"label_store": label_store(spark, sf_dir), "feature_store": feature_store_strict(spark, sf_dir)}
+    first, last = views.month_range(spark, sf_dir)
+    for start, end in ((first, "1998-06-01"), ("1998-07-01", last)):
+        for name, df in stores.items():
+            lake.write(df, "gold", name, month_starts(start, end))
+        backfill.load_customers(lake, buckets=8)
+    return customers.counted_summary(lake)
+
+
 # -- analysis from the cube ------------------------------------------------------------------------
 
 
@@ -404,6 +427,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audited_feature_store": lambda s, d: _audited(s, d).read("gold", "feature_store"),
     "stored_join_audit": lambda s, d: _audited(s, d).read("quality", "join_audit"),
     "quarantined_lines": quarantined_lines,
+    "bucketed_feature_store": bucketed_feature_store,
+    "merged_store_summary": merged_store_summary,
     "cube_mob_profile": _on_cube(cube.mob_profile),
     "cube_dpd_histogram_60": _on_cube(lambda cells: cube.dpd_histogram(cells, bins=30, at_most=60)),
     "cube_dpd_thresholds": _on_cube(cube.dpd_thresholds),

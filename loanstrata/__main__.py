@@ -9,7 +9,8 @@ import argparse
 from datetime import date
 
 from loanstrata.functions.dates import month_starts
-from loanstrata.plans.backfill import backfill, export_silver, load_analysis, load_metrics
+from loanstrata.plans.backfill import backfill, export_silver, load_analysis, load_customers, load_metrics
+from loanstrata.plans.customers import counted_summary
 from loanstrata.plans.quality import store_summary
 from loanstrata.session import builder
 from loanstrata.sources.lake import Lake
@@ -56,13 +57,14 @@ def main() -> None:
         load_metrics(lake, None, month_starts(args.start, args.end), args.mob)
     if args.analysis:
         load_analysis(lake, args.dpd, args.mob)
+        load_customers(lake, args.buckets)
     if args.export:
         export_silver(lake, args.export, f"{args.lake.rstrip('/')}/export/{args.export}")
 
     stores = {name: lake.read("gold", name) for name in ("label_store", "feature_store")}
     stores = {name: df for name, df in stores.items() if df is not None}
     if stores:
-        store_summary(stores).show()
+        (counted_summary(lake) if args.analysis else store_summary(stores)).show()
     else:
         print("no store found")
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loanstrata.functions.dates import month_starts
 from loanstrata.operators.merge import join_audit
 from loanstrata.operators.normalize import normal_name
-from loanstrata.plans import cube
+from loanstrata.plans import cube, customers
 from loanstrata.plans.bronze import dated
 from loanstrata.plans.delinquency import DEFAULT_MOB, at_installment, observations
 from loanstrata.plans.gold import audit_of, customer_rows, feature_store, label_store, rows_by_source, store_of
@@ -213,6 +213,15 @@ def load_analysis(
     _side_by_side(lake, [lambda n=n, df=df: lake.replace(df, "analysis", n) for n, df in found.items()])
 
 
+def load_customers(lake: Lake, buckets: int = 0) -> None:
+    """Bring the customer bitmaps of both stores up to date: `customers.counted_summary` counts them.
+
+    ``buckets`` deals the numbers of the customers, so that only new rows are shuffled to find theirs.
+    """
+    for store in customers.STORES:
+        customers.refresh_customers(lake, store, buckets)
+
+
 def export_silver(lake: Lake, snapshot: date, folder: str) -> list[str]:
     """Write the cleaned tables of one snapshot as CSV folders, all columns; the names of those there are."""
     found = {name: lake.read("silver", name, [snapshot]) for name in SOURCES}

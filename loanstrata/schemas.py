@@ -109,11 +109,17 @@ LOAN_CUBE = {
     "snapshot_date": "date",
 }
 
+CUSTOMER_IDS = {"customer_id": "string", "id": "bigint", "snapshot_date": "date"}
+CUSTOMER_BLOCKS = {"block": "bigint", "bits": "binary", "snapshot_date": "date"}
+
 # Tables with a fixed schema, by layer and name.
 FIXED = {
     ("gold", "label_store"): LABEL_STORE,
     ("gold", "feature_store"): FEATURE_STORE,
     ("analysis", "loan_cube"): LOAN_CUBE,
+    ("analysis", "customer_ids"): CUSTOMER_IDS,
+    ("analysis", "label_store_customers"): CUSTOMER_BLOCKS,
+    ("analysis", "feature_store_customers"): CUSTOMER_BLOCKS,
 }
 
 

@@ -164,6 +164,7 @@ class Lake:
         rebalance: bool = True,
         measured: Callable[[dict[date, int]], dict] | None = None,
         buckets: int = 0,
+        since: int | None = None,
     ) -> dict[date, int]:
         """Replace the given snapshots of a table with the rows of ``df`` and leave all others.
 
@@ -177,7 +178,8 @@ class Lake:
         With ``buckets`` the rows are dealt by customer instead, a task and one file a snapshot for each
         bucket, and `by_customer` can read them without an exchange. All rows of a customer go to one
         task: for tables that have few rows of each customer and snapshot, as silver has. A table without
-        the column isn't dealt.
+        the column isn't dealt. With ``since`` the write fails, and changes nothing, if the table is
+        no longer at that version (0: never written) when it ends.
 
         Returns the rows of each snapshot, counted by the tasks that write them. What ``measured`` makes of
         them is kept with the run. A column may be new, but may not change its type while other snapshots
@@ -202,7 +204,13 @@ class Lake:
         result = {date.fromisoformat(k): n for k, n in counted.items()}
         if any(counted.values()) or before is not None or (layer, table) in FIXED:
             left = replace(left, measured=measured(result) if measured else {})
-            versions.commit(lambda newest: newest.after(run, left, none | counted))
+
+            def change(newest: Manifest) -> Manifest:
+                if since is not None and newest.version != since:
+                    raise RuntimeError(f"{self.path(layer, table)} changed: version {newest.version}, not {since}")
+                return newest.after(run, left, none | counted)
+
+            versions.commit(change)
         return result
 
     def replace(self, df: DataFrame, layer: str, table: str, measured: dict[str, object] | None = None) -> int:
