@@ -162,11 +162,14 @@ def feature_store(
     rows = rows_by_source(silver, mob)
     if not rows:
         raise ValueError("no source to build features from")
+    # Not a filter on the key: pushed below the deduplication of the sources, it would make their shuffles
+    # others than those that the medians and the presence mask read, and these would run again.
+    known = F.bool_or(F.col(CUSTOMER).isNotNull()).alias("known")
     merged = (
         union_sources(rows)
-        .where(F.col(CUSTOMER).isNotNull())
         .groupBy(*KEYS)
-        .agg(F.bit_or("mask").alias("mask"), *[c for name in rows for c in _summary(name)])
+        .agg(known, F.bit_or("mask").alias("mask"), *[c for name in rows for c in _summary(name)])
+        .where("known")
     )
     optional = {name: rows[name] for name in rows if name in OPTIONAL}
     present = sources_present(optional) if optional and on_missing == "skip" else None
