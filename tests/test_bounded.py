@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
+from pyspark.sql import functions as F
+
+from loanstrata.operators.dedup import pack
 from loanstrata.plans.quality import bronze_metrics
+from loanstrata.sources.lake import Lake, _tally
 
 A, B = date(2023, 1, 1), date(2023, 2, 1)
 
@@ -35,3 +39,26 @@ def test_metrics_hold_no_groups_of_a_scan(spark):
     }
     assert found == {(*k, m): n for k, values in expected.items() for m, n in zip(names, values)}
     assert {r.metric for r in bronze_metrics(raw).collect()} == set(names[:3])
+
+
+def test_one_count_for_all_snapshots(spark, tmp_path):
+    """Hundreds of snapshots cost a row of a write one step; the counts are exact."""
+    days = [date(1969, 6, 1) + timedelta(k) for k in range(400)]
+    rows = spark.range(0, 30_000, 1, 16).select(
+        "id", F.date_add(F.lit(days[0]), F.pmod(F.hash("id"), F.lit(390)).cast("int")).alias("snapshot_date")
+    )
+    expected = {r[0]: r[1] for r in rows.groupBy("snapshot_date").count().collect()}
+    lake = Lake(spark, str(tmp_path))
+    # without a shuffle, so that every task meets every snapshot
+    assert lake.write(rows.coalesce(4), "bronze", "t", days, rebalance=False) == dict.fromkeys(days, 0) | expected
+    assert lake.rows("bronze", "t") == expected
+    assert len(_tally(days)) == 1
+
+
+def test_only_one_cell_of_a_packed_row_is_below_the_lambda(spark):
+    """What is below a lambda is interpreted, cell by cell, and not compiled."""
+    df = spark.createDataFrame([("a", None, "", "x\0y", "\1")], "a string, b string, c string, d string, e string")
+    packed = df.select(pack([F.col(c) for c in df.columns]).alias("p"))
+    assert packed.first().p == "\0".join(["\2a", "\1", "\2", "\2x\1\1y", "\2\1\2"])
+    below = packed._jdf.queryExecution().analyzed().toString().split("filter(")[1].split("lambdafunction")[0]
+    assert below.count("coalesce") == 1
