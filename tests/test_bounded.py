@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date, timedelta
 
 from pyspark.sql import functions as F
@@ -41,6 +42,26 @@ def test_metrics_hold_no_groups_of_a_scan(spark):
     assert {r.metric for r in bronze_metrics(raw).collect()} == set(names[:3])
 
 
+def test_few_buckets_are_the_work_of_many_tasks(spark, tmp_path):
+    rows = spark.range(0, 40_000, 1, 8).select(
+        F.concat(F.lit("c"), F.col("id") % 500).alias("customer_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        F.lit(A).alias("snapshot_date"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    lake = Lake(spark, str(tmp_path))
+    try:
+        assert lake.write(rows, "silver", "t", [A, B], buckets=2) == {A: 40_000, B: 0}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "silver" / "t" / "snapshot_date=2023-01-01").glob("*.parquet"))) > 2
+    with lake.by_customer("silver", "t") as df:
+        counted = df.groupBy("customer_id").agg(F.count("*").alias("n"))
+        assert "Exchange hashpartitioning" not in text(counted)
+        assert Counter(r.n for r in counted.collect()) == {80: 500}
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, rows.collect()))
+
+
 def test_one_count_for_all_snapshots(spark, tmp_path):
     """Hundreds of snapshots cost a row of a write one step; the counts are exact."""
     days = [date(1969, 6, 1) + timedelta(k) for k in range(400)]
