@@ -15,7 +15,7 @@ from loanstrata.operators.merge import inner_merge, join_audit, source_coverage
 from loanstrata.operators.normalize import normalize_names, normalize_strings
 from loanstrata.plans import backfill, cube, customers, delinquency, gold, quality, silver
 from loanstrata.plans.bronze import bronze_rows, dated
-from loanstrata.schemas import FINANCIAL_INTEGERS, FINANCIAL_NUMBERS, RAGGED, SOURCES
+from loanstrata.schemas import FEATURE_INPUTS, FINANCIAL_INTEGERS, FINANCIAL_NUMBERS, LABEL_INPUTS, RAGGED, SOURCES
 from loanstrata.sources.lake import Lake, export_csv, read_export
 from loanstrata.sources.raw import read_raw
 
@@ -39,6 +39,16 @@ def _normal(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return normalize_strings(normalize_names(dated(views.RAW[name](spark, sf_dir))))
 
 
+def _stored_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw views of a query that needs them all: the join that three of them begin with is made once."""
+    return views.raw_sources(spark, sf_dir, views.stored_lines(spark, sf_dir, f"{scratch(spark)}/lines"))
+
+
+def _feature_silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Silver tables with the columns that features need, and those before them."""
+    return {n: silver.clean(n, bronze_rows(df), FEATURE_INPUTS[n]) for n, df in raw.items()}
+
+
 def _features(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {n: gold.features(n, df, MOB) for n, df in _all_silver(spark, sf_dir).items()}
 
@@ -147,7 +157,7 @@ def merged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.feature_store(_all_silver(spark, sf_dir), MOB)
+    return gold.feature_store(_feature_silver(_stored_raw(spark, sf_dir)), MOB)
 
 
 def feature_store_strict(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,13 +5,25 @@ One row per line item or order, so customers repeat within a month and deduplica
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanstrata.sources.lake import let_go
+
 # A cut-off inside the range of the test tables, and their last installment.
 STARTED_BEFORE = "2000-01-01"
 FINAL_INSTALLMENT = 7
 
+# What the raw views take from a line item, from its part and from its order.
+_LINE = [
+    "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+    "l_linestatus", "l_shipdate",
+]
+_PART = ["p_size", "p_retailprice", "p_type", "p_name"]
+_ORDER = ["o_custkey", "o_totalprice", "o_orderdate"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,6 +41,17 @@ def _month(name: str) -> Column:
     return F.trunc(F.to_date(name), "MM").cast("string")
 
 
+def rows_by_month(spark: SparkSession, sf_dir: str) -> dict[str, dict[date, int]]:
+    """About how many rows each raw view has in each month: those of the table that has its dates."""
+
+    def counted(name: str, column: str) -> dict[date, int]:
+        month = F.trunc(F.to_date(column), "MM").alias("month")
+        return {r[0]: r[1] for r in table(spark, sf_dir, name).groupBy(month).count().collect()}
+
+    lines, orders = counted("lineitem", "l_shipdate"), counted("orders", "o_orderdate")
+    return {name: orders if name == "attributes" else lines for name in RAW}
+
+
 def _decimal(c: Column, scale: int = 2) -> Column:
     return c.cast(f"decimal(18,{scale})")
 
@@ -47,10 +70,34 @@ def _loan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
-def raw_lms(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _listed(rows: DataFrame, key: str, name: str, columns: list[str]) -> DataFrame:
+    """The rows of each key as one list, so that a join by it neither drops rows nor repeats them."""
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(F.struct(*columns)).alias(name))
+
+
+def stored_lines(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Line items with their orders, written once under ``path`` for all raw views that begin with them.
+
+    ``accounts`` and ``parts`` have what financials take from customer and part, as lists: either may be
+    missing or come twice, and a line item is one row of the other views in any case. The shuffles of
+    these joins are let go before a view has its own.
+    """
+    accounts = _listed(table(spark, sf_dir, "customer"), "c_custkey", "accounts", ["c_acctbal"])
+    parts = _listed(table(spark, sf_dir, "part"), "p_partkey", "parts", _PART)
+    orders = table(spark, sf_dir, "orders").join(accounts, F.col("o_custkey") == F.col("c_custkey"), "left")
+    lines = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = rows.select(*_LINE, *_ORDER, "accounts", "parts")
+    rows.write.parquet(path, compression="zstd")
+    let_go(spark)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def raw_lms(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     price = _decimal(F.col("l_extendedprice"))
     overdue = _text(price * _decimal(F.col("l_discount")), 4)
-    return _loan_lines(spark, sf_dir).select(
+    lines = _loan_lines(spark, sf_dir) if lines is None else lines
+    return lines.select(
         F.col("l_orderkey").cast("string").alias("loan_id"),
         _customer().alias("Customer_ID"),
         F.to_date("o_orderdate").cast("string").alias("loan_start_date"),
@@ -69,8 +116,9 @@ def raw_lms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _loan_lines(spark, sf_dir).select(
+def raw_clickstream(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lines = _loan_lines(spark, sf_dir) if lines is None else lines
+    return lines.select(
         _customer().alias("customer_id"),
         _text(F.col("l_quantity")).alias("fe_1"),
         _text(F.col("l_discount")).alias("fe_2"),
@@ -109,13 +157,15 @@ def raw_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer")
-    parts = table(spark, sf_dir, "part")
-    lines = _loan_lines(spark, sf_dir)
-    rows = lines.join(customers, lines.o_custkey == customers.c_custkey).join(
-        parts, lines.l_partkey == parts.p_partkey
-    )
+def raw_financials(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    if lines is None:
+        # the customers meet the orders, which are fewer than the lines and narrower
+        customers = table(spark, sf_dir, "customer")
+        orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        known = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        rows = known.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    else:
+        rows = lines.select("*", F.inline("accounts")).select("*", F.inline("parts"))
     line = F.col("l_linenumber")
     line_text = line.cast("string")
     size = F.col("p_size").cast("string")
@@ -177,5 +227,7 @@ RAW = {
 }
 
 
-def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: view(spark, sf_dir) for name, view in RAW.items()}
+def raw_sources(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The raw views, those of line items from ``lines`` (`stored_lines`) if given."""
+    given = {name: () if lines is None or name == "attributes" else (lines,) for name in RAW}
+    return {name: view(spark, sf_dir, *given[name]) for name, view in RAW.items()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from loanstrata.functions.text import (
     valid_ssn,
 )
 from loanstrata.operators.dedup import keep_one
-from loanstrata.operators.normalize import normalize_names, normalize_strings, quoted
+from loanstrata.operators.normalize import normal_name, normalize_names, normalize_strings, quoted
 from loanstrata.schemas import (
     FINANCIAL_INTEGERS,
     FINANCIAL_NUMBERS,
@@ -139,6 +141,19 @@ CLEANERS = {
 }
 
 
-def clean(name: str, bronze: DataFrame) -> DataFrame:
-    """Clean the bronze rows of a source by its name."""
-    return CLEANERS[source(name).name](bronze)
+def leading(df: DataFrame, needed: Collection[str]) -> DataFrame:
+    """The keys, and the columns up to the last one of ``needed``, by their normal names; two columns at least.
+
+    Of several rows of a key the smallest is kept, compared column by column: the columns that follow
+    decide between rows that are equal in these, and so change nothing of what is needed. One column
+    alone would be compared otherwise, for its smallest value is none that is NULL.
+    """
+    rest = [c for c in df.columns if normal_name(c) not in KEYS]
+    last = max((i for i, c in enumerate(rest) if normal_name(c) in needed), default=len(rest) - 1)
+    later = rest[max(last, 1) + 1 :]
+    return df.select(quoted([c for c in df.columns if c not in later]))
+
+
+def clean(name: str, bronze: DataFrame, needed: Collection[str] = ()) -> DataFrame:
+    """Clean the bronze rows of a source by its name: all columns, or those up to the last one ``needed``."""
+    return CLEANERS[source(name).name](leading(bronze, needed) if needed else bronze)

@@ -93,6 +93,21 @@ FEATURES = {
         "dpd": "double",
     },
 }
+# Silver columns that the features of a source and the labels are made of; clickstream needs all it has.
+FEATURE_INPUTS = {
+    "clickstream": (),
+    "attributes": ("age", "occupation"),
+    "financials": (
+        "annual_income",
+        "monthly_inhand_salary",
+        "outstanding_debt",
+        "total_emi_per_month",
+        "monthly_balance",
+        "credit_history_age",
+    ),
+    "lms": ("loan_start_date", "installment_num", "due_amt", "overdue_amt"),
+}
+LABEL_INPUTS = ("loan_id", "installment_num", "due_amt", "overdue_amt")
 FEATURE_STORE = {
     "customer_id": "string",
     "snapshot_date": "date",

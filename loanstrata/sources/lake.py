@@ -266,7 +266,7 @@ class Lake:
         # Spark deletes the shuffle files of a job when the driver's collector finds it gone: at once, or
         # those of all writes of a load would lie on the executors' disks together.
         del counted, seen
-        self.spark._jvm.java.lang.System.gc()
+        let_go(self.spark)
         return found
 
     def adopt(self, layer: str, table: str) -> None:
@@ -309,6 +309,15 @@ class Lake:
         return deleted
 
 
+def let_go(spark: SparkSession) -> None:
+    """Delete the shuffle files of jobs that nothing refers to any more.
+
+    Spark does that when the driver's collector finds a job gone: at once, or the shuffles of all writes of
+    a load would lie on the executors' disks together.
+    """
+    spark._jvm.java.lang.System.gc()
+
+
 def _new_run() -> str:
     return f"r{uuid.uuid4().hex}"
 
@@ -344,6 +353,7 @@ def _folder(snapshot: str) -> str:
 def export_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     """Write a table as a folder of headered CSV files, one per task; each is read by one task if compressed."""
     df.write.mode("overwrite").option("header", True).csv(path, compression=compression)
+    let_go(df.sparkSession)
 
 
 def read_export(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
