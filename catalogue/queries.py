@@ -406,7 +406,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merged_features": merged_features,
     "feature_store": feature_store,
     "feature_store_strict": feature_store_strict,
-    "feature_store_mob8": lambda s, d: gold.feature_store(_all_silver(s, d), mob=8),
+    "feature_store_mob8": lambda s, d: gold.feature_store(_feature_silver(_stored_raw(s, d)), mob=8),
     "join_audit": lambda s, d: join_audit(feature_rows_by_source(s, d)),
     "source_coverage": lambda s, d: source_coverage(feature_rows_by_source(s, d)),
     "bad_rate_by_mob": _on_observations(delinquency.bad_rate_by_mob),
