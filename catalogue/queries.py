@@ -161,7 +161,7 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_store_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.feature_store(_all_silver(spark, sf_dir), MOB, on_missing="strict")
+    return gold.feature_store(_feature_silver(_stored_raw(spark, sf_dir)), MOB, on_missing="strict")
 
 
 def feature_rows_by_source(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
