@@ -50,7 +50,7 @@ def _feature_silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _features(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {n: gold.features(n, df, MOB) for n, df in _all_silver(spark, sf_dir).items()}
+    return {n: gold.features(n, df, MOB) for n, df in _feature_silver(_stored_raw(spark, sf_dir)).items()}
 
 
 def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:

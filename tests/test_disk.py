@@ -68,6 +68,20 @@ def plain_joins(plan):
     return [line for line in plan.splitlines() if "SortMergeJoin" in line]
 
 
+def test_the_stores_join_lines_once_and_carry_no_loan_list(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("feature_store", "feature_store_strict", "feature_store_mob8"):
+            plan = text(queries.QUERIES[name](spark, SF))
+            # the one of orders and customers, for the attributes
+            joins = plain_joins(plan)
+            assert joins and all("o_custkey" in line for line in joins), name
+            assert "High_spent" not in plan and "__10000__" in plan, name
+        assert "High_spent" not in text(queries.merged_features(spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_leading_columns_of_the_kept_row(spark):
     chance = random.Random(3)
     cells = [None, "", "1", "2", "10"]
