@@ -363,12 +363,12 @@ def incremental_analysis(table: str) -> Callable[[SparkSession, str], DataFrame]
 
 
 def csv_export(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    """Cleaned rows of a source, all columns, written as CSV and read back."""
+    """Cleaned rows of a source, all columns, written as CSV, compressed as raw files are, and read back."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{scratch(spark)}/export"
         rows = _silver(spark, sf_dir, name)
-        export_csv(rows, path)
+        export_csv(rows, path, "gzip")
         return read_export(spark, path, rows.schema)
 
     return query

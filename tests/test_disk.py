@@ -99,3 +99,9 @@ def test_leading_columns_of_the_kept_row(spark):
     lms = bronze_rows(views.raw_lms(spark, SF))
     part = silver.clean("lms", lms, LABEL_INPUTS)
     assert "balance" not in part.columns and found(part) == found(silver.clean("lms", lms).select(part.columns))
+
+
+def test_exports_are_compressed(spark):
+    rows = queries.QUERIES["csv_export_financials"](spark, SF)
+    assert all(f.endswith(".csv.gz") for f in rows.inputFiles())
+    assert found(rows) == found(queries.QUERIES["silver_financials"](spark, SF))
