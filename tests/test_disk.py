@@ -101,6 +101,15 @@ def test_leading_columns_of_the_kept_row(spark):
     assert "balance" not in part.columns and found(part) == found(silver.clean("lms", lms).select(part.columns))
 
 
+def test_groups_of_months():
+    rows = {A: 5, B: 6, C: 20}
+    assert backfill.job_groups([A, B, C], rows) == [[A, B, C]]
+    assert backfill.job_groups([A, B, C], rows, 11) == [[A, B], [C]]
+    assert backfill.job_groups([A, B, C], rows, 10) == [[A], [B], [C]]
+    assert backfill.job_groups([A, C, B], {C: 1}, 1) == [[A, C, B]]
+    assert backfill.job_groups([], rows) == [[]]
+
+
 def test_exports_are_compressed(spark):
     rows = queries.QUERIES["csv_export_financials"](spark, SF)
     assert all(f.endswith(".csv.gz") for f in rows.inputFiles())
