@@ -110,6 +110,17 @@ def test_groups_of_months():
     assert backfill.job_groups([], rows) == [[]]
 
 
+def test_silver_from_the_views_in_groups(spark, monkeypatch):
+    months = month_starts("1997-01-01", "1997-06-01")
+    whole = queries._silver_lake(spark, SF, months)
+    monkeypatch.setattr(backfill, "ROWS_PER_JOB", 150)
+    parts = queries._silver_lake(spark, SF, months, buckets=3)
+    for name in FEATURE_INPUTS:
+        a, b = whole.read("silver", name), parts.read("silver", name)
+        assert found(a) == found(b.select(a.columns)) and whole.rows("silver", name) == parts.rows("silver", name)
+    assert len(set(parts.runs("silver", "lms").values())) > 1
+
+
 def test_exports_are_compressed(spark):
     rows = queries.QUERIES["csv_export_financials"](spark, SF)
     assert all(f.endswith(".csv.gz") for f in rows.inputFiles())
