@@ -13,7 +13,7 @@ from loanstrata.functions.dates import month_starts
 from loanstrata.plans import backfill, silver
 from loanstrata.plans.bronze import bronze_rows
 from loanstrata.schemas import FEATURE_INPUTS, LABEL_INPUTS, SNAPSHOT
-from loanstrata.sources.lake import Lake
+from loanstrata.sources.lake import Lake, _rebalanced
 
 SF = "/root/testdata/sf0.001"
 A, B, C = date(2023, 1, 1), date(2023, 2, 1), date(2023, 3, 1)
@@ -110,6 +110,22 @@ def test_groups_of_months():
     assert backfill.job_groups([], rows) == [[]]
 
 
+def test_jobs_of_bounded_size_write_the_same(spark, tmp_path, monkeypatch):
+    start, end = "1997-01-01", "1997-04-01"
+    raw = views.raw_sources(spark, SF)
+    lakes = {}
+    for most in (backfill.ROWS_PER_JOB, 150):
+        monkeypatch.setattr(backfill, "ROWS_PER_JOB", most)
+        lakes[most] = Lake(spark, str(tmp_path / str(most)))
+        backfill.backfill(lakes[most], raw, start, end, audit=True)
+    whole, parts = lakes.values()
+    tables = [("silver", n) for n in raw] + [("gold", "label_store"), ("gold", "feature_store"), ("quality", "join_audit")]
+    for table in tables:
+        assert found(whole.read(*table)) == found(parts.read(*table)), table
+    assert len(set(whole.runs("silver", "lms").values())) == 1 < len(set(parts.runs("silver", "lms").values()))
+    assert len(set(parts.runs("gold", "customer_rows").values())) > 1
+
+
 def test_silver_from_the_views_in_groups(spark, monkeypatch):
     months = month_starts("1997-01-01", "1997-06-01")
     whole = queries._silver_lake(spark, SF, months)
@@ -121,6 +137,21 @@ def test_silver_from_the_views_in_groups(spark, monkeypatch):
     assert len(set(parts.runs("silver", "lms").values())) > 1
 
 
+def test_text_rows_travel_packed(spark, tmp_path):
+    names = [f"c {i}" for i in range(7)] + ["x.y", "source_columns"]
+    cells = [None, "", "a", "\0", "\1", "\1\2", "b\0\1", "é", " z "]
+    chance = random.Random(5)
+    rows = [(i, *[chance.choice(cells) for _ in names], chance.choice([A, B])) for i in range(300)]
+    df = spark.createDataFrame(rows, f"n int, {', '.join(f'`{n}` string' for n in names)}, {SNAPSHOT} date")
+    dealt = _rebalanced(df)
+    assert dealt.columns == df.columns and dealt.dtypes == df.dtypes and found(dealt) == found(df)
+    assert "__cells" in text(dealt).split("Exchange")[1]
+    assert "__cells" not in text(_rebalanced(df.drop("c 1", "c 2")))
+    lake = Lake(spark, str(tmp_path))
+    lake.write(df, "bronze", "t", [A, B])
+    assert found(lake.read("bronze", "t")) == found(df)
+
+
 def test_exports_are_compressed(spark):
     rows = queries.QUERIES["csv_export_financials"](spark, SF)
     assert all(f.endswith(".csv.gz") for f in rows.inputFiles())
