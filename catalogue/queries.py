@@ -336,7 +336,12 @@ def merged_store_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and customers of the stores from bitmaps, which were made for the first months and then brought
     up to date."""
     lake = Lake(spark, f"{scratch(spark)}/lake")
-    stores = {"label_store": label_store(spark, sf_dir), "feature_store": feature_store_strict(spark, sf_dir)}
+    raw = _stored_raw(spark, sf_dir)
+    lms = silver.clean("lms", bronze_rows(raw["lms"]), LABEL_INPUTS)
+    stores = {
+        "label_store": gold.label_store(lms, DPD, MOB),
+        "feature_store": gold.feature_store(_feature_silver(raw), MOB, on_missing="strict"),
+    }
     first, last = views.month_range(spark, sf_dir)
     for start, end in ((first, "1998-06-01"), ("1998-07-01", last)):
         for name, df in stores.items():
